@@ -188,13 +188,13 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stored(docs.mapInArrow(text_sets(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "sets")
     copies = stored(sets.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.max("n_shingles").alias("n")), "copies")
-    reps = sets.alias("x").join(copies.alias("c"), F.expr("x.doc_id = c.rep and x.s1 = c.s1 and x.s2 = c.s2"), "left_semi")
+    reps = sets.alias("x").join(copies.hint("shuffle_hash").alias("c"), F.expr("x.doc_id = c.rep and x.s1 = c.s1 and x.s2 = c.s2"), "left_semi")
     keyed = reps.select("doc_id", F.explode("keys").alias("key"))
     least = F.min("doc_id").over(Window.partitionBy("key"))
     stars = keyed.withColumn("a", least).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     blocks = stored(components(stars).withColumnsRenamed({"node": "doc_id", "component": "block"}), "blocks")
 
-    arrays = stored(docs.join(blocks, "doc_id").select("doc_id", "block", "text").mapInArrow(hash_arrays(k, num, den), "doc_id long, block long, band int, n long, hashes binary").where("n > 0").dropDuplicates(["doc_id", "hashes"]), "arrays")
+    arrays = stored(docs.join(blocks.hint("shuffle_hash"), "doc_id").select("doc_id", "block", "text").mapInArrow(hash_arrays(k, num, den), "doc_id long, block long, band int, n long, hashes binary").where("n > 0").dropDuplicates(["doc_id", "hashes"]), "arrays")
     links = stored(tile_pairs(arrays).groupBy("block", "t1", "t2").applyInArrow(tile_links(num, den), "a long, b long"), "links")
     drop_stored(arrays)
     joined = stored(components(links), "joined")

@@ -110,14 +110,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH l AS (
-  SELECT doc_id, at, parts[at] AS line, translate(trim(parts[at], chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
-  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS at FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
+  SELECT doc_id, place, parts[place] AS line, translate(trim(parts[place], chr(32)||chr(9)||chr(10)||chr(11)||chr(12)||chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS place FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))
 ), f AS (
   SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
 ), m AS (
   SELECT l.*, f.key IS NOT NULL AND l.doc_id < f.keeper AS gone FROM l LEFT JOIN f USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """

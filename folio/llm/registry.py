@@ -7,7 +7,10 @@ from importlib import import_module
 #: Modules with a query of the same name each, and ORACLE where there is one.
 NAMES = [
     "op1_ngram_join",
+    "op3_license_scan",
     "op4_suffix_dedup",
+    "op5_decontamination",
+    "op7_quality_rules",
     "op10_line_dedup",
 ]
 

@@ -7,10 +7,13 @@ from importlib import import_module
 #: Modules with a query of the same name each, and ORACLE where there is one.
 NAMES = [
     "op1_ngram_join",
+    "op2_lm_scoring",
     "op3_license_scan",
     "op4_suffix_dedup",
     "op5_decontamination",
+    "op6_sentencepiece",
     "op7_quality_rules",
+    "op9_language_id",
     "op10_line_dedup",
 ]
 

@@ -1,0 +1,96 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import folio.llm.op2_lm_scoring as lm
+from folio.llm.op2_lm_scoring import END, STATES, Model, lm_scores, op2_lm_scoring
+from folio.llm.op9_language_id import learn, op9_language_id, predict
+from pyspark.sql import functions as F
+
+from .helpers import SF, saved, table
+
+
+def tokens(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")) + [None]
+
+
+def base(rows):
+    held = {i: zlib.crc32(str("" if i is None else i).encode()) % 7 == 2 for i, _ in rows}
+    c = Counter(w for i, t in rows if not held[i] for w in tokens(t))
+    n, v = sum(c.values()), len(c)
+    return sorted(((i, held[i], len(tokens(t)), sum(c[w] > 0 for w in tokens(t)), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens(t)), 6)) for i, t in rows), key=str)
+
+
+def result(df):
+    return sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("head", [200_000, 50])
+def test_base_equals_plain(spark, monkeypatch, head):
+    monkeypatch.setattr(lm, "HEAD", head)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    out = op2_lm_scoring(spark, SF)
+    assert result(out) == base(rows)
+    got = [(r.held_out, r.score, r.base_score) for r in out.collect()]
+    assert all(s < 0 for _, s, _ in got)
+    if head > 50:  # on texts it learned nothing from, the model beats the base
+        assert sum(s for h, s, _ in got if h) > sum(b for h, _, b in got if h)
+
+
+def test_forward_equals_all_paths():
+    from itertools import product
+
+    m = Model.start(np.random.default_rng(1).uniform(0.1, 1, END + 1))
+    seq = np.array([5, 9, 5, END])
+    want = sum(m.first[p[0]] * math.prod(m.emit[s, k] for s, k in zip(seq, p)) * math.prod(m.move[a, b] for a, b in zip(p, p[1:])) for p in product(range(STATES), repeat=len(seq)))
+    got = m.log_likelihood(np.concatenate([seq, [END], seq[:2]]), np.array([0, 4, 5, 7]))
+    assert math.isclose(got[0], math.log(want), rel_tol=1e-9) and len(got) == 3
+
+
+def test_rounds_raise_the_likelihood():
+    rng = np.random.default_rng(2)
+    seqs = [np.append(np.tile([3, 4], 40) + rng.integers(0, 2, 80) * 10, END) for _ in range(50)]
+    flat, bounds = np.concatenate(seqs), np.arange(51) * 81
+    share = np.bincount(flat, minlength=END + 1) + 1e-3
+    share = share / share.sum()
+    m, last = Model.start(share), -np.inf
+    for _ in range(5):
+        now = m.log_likelihood(flat, bounds).sum()
+        assert now > last
+        last, sums = now, np.zeros((END + 3 + STATES, STATES))
+        m.expected(flat, bounds[:-1], sums)
+        assert np.isclose(sums[: END + 1].sum(), len(flat))
+        m = Model.fitted(sums, share)
+
+
+def test_lm_cases(spark):
+    rows = [(1, None), (2, ""), (2, ""), (None, "a b"), (4, "A b " * 9_000), (5, "\n"), (5, "x y z")]
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    assert result(lm_scores(table(spark, rows), held)) == base(rows)
+    assert lm_scores(table(spark, []), held).count() == 0
+    assert lm_scores(table(spark, [(1, "a", 2, "b")], "doc_id int, text string, n int, word string"), F.lit(True)).first().n_known == 0
+
+
+def test_language_accuracy(spark, tmp_path):
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = op9_language_id(spark, SF).collect()
+    assert len(got) == len(truth) and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    assert {r.doc_id for r in held} == {i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.9
+
+
+def test_language_mixture_and_cases(spark):
+    en, de = "the cat and the dog are in the house with that man ", "der hund und die katze sind im haus mit dem mann "
+    names, logs = learn(table(spark, [(en * 5, "en"), (de * 5, "de"), ("x", None), (None, "fr")], "text string, lang string"))
+    assert names == ["de", "en"]
+    rows = [(1, en), (2, de), (3, en * 3 + de), (4, None), (5, ""), (6, "123 !?"), (None, de * 3000), (8, "q")]
+    got = {r.doc_id: r for r in predict(table(spark, rows), names, logs).collect()}
+    assert [got[i].lang_pred for i in (1, 2, 3, 4, 5, 6, None)] == ["en", "de", "en", "und", "und", "und", "de"]
+    assert 0.6 < got[3].score < 0.9 and len(got[3].langs) == 2 and got[1].score == 1
+    assert predict(table(spark, rows), *learn(table(spark, [], "text string, lang string"))).where("lang_pred <> 'und'").count() == 0
+    assert predict(table(spark, []), names, logs).count() == 0

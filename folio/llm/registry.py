@@ -13,15 +13,17 @@ NAMES = [
     "op5_decontamination",
     "op6_sentencepiece",
     "op7_quality_rules",
+    "op8_token_counts",
     "op9_language_id",
     "op10_line_dedup",
 ]
 
 
 def queries() -> dict:
-    return {n: getattr(import_module(f"folio.llm.{n}"), n) for n in NAMES}
+    return {"pipeline": import_module("corpus_pipeline").run} | {n: getattr(import_module(f"folio.llm.{n}"), n) for n in NAMES}
 
 
 def oracle_sql() -> dict:
     found = {n: getattr(import_module(f"folio.llm.{n}"), "ORACLE", None) for n in NAMES}
+    found["pipeline"] = import_module("corpus_pipeline").ORACLE_SQL
     return {n: sql for n, sql in found.items() if sql}

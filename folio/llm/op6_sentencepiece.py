@@ -38,7 +38,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 #: Longer units are searched one by one; most units kept between batches.
-LONG, KEPT = 48, 300_000
+LONG, KEPT = 48, 800_000
 
 
 def pieces_of(path: str) -> tuple[list[str], list[float], list[int]]:
@@ -65,6 +65,8 @@ class Transducer:
         self.length = np.array([len(p) for p in pieces] + [1], np.int64)
         codes, ids = zip(*sorted((int(self._hash(p)), i) for p, i in self.id.items()), strict=True)
         self.codes, self.ids = np.array(codes, U), np.array(ids, np.int64)
+        self.some = np.zeros(1 << 20, bool)  # a table that most strings that are no piece miss
+        self.some[(self.codes >> U(44)).astype(np.int64)] = True
         self.known, self.known_fit = np.zeros(0, np.int64), np.zeros(0, bool)
         of_byte = {int(i): bytes([b]) for b, i in enumerate(byte_ids)}
         self.bytes = [of_byte.get(i, p.replace(MARK, " ").encode()) for i, p in enumerate(pieces)]
@@ -104,18 +106,19 @@ class Transducer:
         codes = a * (self.other + 1) + b
         out = (a < 0) | (a == self.other) | (b == self.other)
         todo = np.flatnonzero(~out)
-        at = np.searchsorted(self.known, codes[todo])
+        if len(self.fits) > 1.3 * len(self.known) + 1000:
+            self.known = np.array(sorted(self.fits), np.int64)
+            self.known_fit = np.array([self.fits[c] for c in self.known.tolist()])
+        own = codes[todo]
         there = np.zeros(len(todo), bool)
         if len(self.known):
-            there = self.known[np.minimum(at, len(self.known) - 1)] == codes[todo]
+            at = np.minimum(np.searchsorted(self.known, own), len(self.known) - 1)
+            there = self.known[at] == own
+            out[todo[there]] = self.known_fit[at[there]]
         if not there.all():
-            new = np.unique(codes[todo[~there]])
-            fit = np.array([self.fit(int(c) // (self.other + 1), int(c) % (self.other + 1)) for c in new])
-            self.known = np.concatenate([self.known, new])
-            order = np.argsort(self.known)
-            self.known, self.known_fit = self.known[order], np.concatenate([self.known_fit, fit])[order]
-            at = np.searchsorted(self.known, codes[todo])
-        out[todo] = self.known_fit[at] if len(todo) else False
+            new, back = np.unique(own[~there], return_inverse=True)
+            fit = np.array([self.fit(c // (self.other + 1), c % (self.other + 1)) for c in new.tolist()])
+            out[todo[~there]] = fit[back]
         return out
 
     def path(self, unit: str) -> list[int]:
@@ -156,12 +159,16 @@ class Transducer:
             last[j, :n] = -2
             for k in range(min(j, self.longest), 0, -1):
                 code = prefix[j, left] - prefix[j - k, left] * power[k]
-                at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-                piece = np.where(self.codes[at] == code, self.ids[at], self.other if k == 1 else -1)
-                may = np.flatnonzero((piece >= 0) & (last[j - k, left] != -2))
-                good = may[self.fit_all(last[j - k, left[may]], piece[may])]
-                last[j, left[good]] = piece[good]
-                left = np.delete(left, good)
+                may = np.flatnonzero(self.some[(code >> U(44)).astype(np.int64)]) if k > 1 else np.arange(len(left))
+                at = np.minimum(np.searchsorted(self.codes, code[may]), len(self.codes) - 1)
+                piece = np.where(self.codes[at] == code[may], self.ids[at], self.other if k == 1 else -1)
+                before = last[j - k, left[may]]
+                good = (piece >= 0) & (before != -2)
+                may, piece, before = may[good], piece[good], before[good]
+                good = self.fit_all(before, piece)
+                may, piece = may[good], piece[good]
+                last[j, left[may]] = piece
+                left = np.delete(left, may)
                 if not len(left):
                     break
         out = [[] for _ in units]

@@ -7,14 +7,16 @@ which all others are induced (README, with figures):
 1. Sampled suffixes are chosen by content, as the recursion of induced sorting does with its local minima: each window
    of `width` bytes selects the leftmost smallest of the hashes of the GRAM-byte strings in it, so equal windows select
    the same place. The window starts that select one place are its domain, at most width - GRAM + 1 of them.
-2. The sampled suffixes are sorted externally by Spark's shuffle, as tuples (gram, span): span is a hash of the whole
-   domain's bytes, its common prefix. Grams found once induce nothing. A domain equal to an earlier one induces that
-   all its windows are repeats.
-3. Where domains with one gram differ, their common part is shorter than the domain: for one domain of each kind the
-   windows are compared themselves, and each window but the earliest of its kind is a repeat.
+2. The sampled suffixes, as tuples (gram, span, doc_id, place), are sorted externally: Spark's range partitioning and
+   spilling sort are the disk-backed queues. span is a hash of the whole domain's bytes, its common prefix. Range
+   partitioning cuts through a frequent gram, so no task gets a group whole. One pass over neighbours follows: a
+   domain equal to an earlier one of its task induces that all its windows are repeats; a first of its kind is a
+   candidate if its gram has other rows, or stands at an edge of the task's range.
+3. Candidates of one gram share less than their domains. Their windows are compared themselves, and each window but
+   the earliest of its kind is a repeat: grams with at most GROUP candidates in blocks of bounded size, the others as
+   rows of a shuffle, pre-aggregated.
 
-Strings are compared by 128 bits of hashes. Counts are combined before each shuffle, and joins on frequent grams are
-plain equi-joins that adaptive execution splits; no step holds a group in memory.
+Strings are compared by 128 bits of hashes.
 
 Cases: null is the empty text; matches never cross rows; "earlier" is by (doc_id, start), so repeated rows with one
 doc_id aren't earlier than one another at the same start; rows with null doc_id are left whole and count for nothing;
@@ -31,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, drop_stored, stored
+from .common import documents, stored
 from .textbytes import BASE, BYTE, U, chunks, mix
 
-GRAM, STEP = 24, 900_000
+GRAM, STEP = 28, 900_000
+#: Most candidates of a gram that are compared in a block, and candidates of a block on average.
+GROUP, BLOCK = 4_096, 20_000
 LOW20 = (1 << 20) - 1
 
 
@@ -105,21 +109,92 @@ def domains(width: int):
     return run
 
 
+def neighbours(batches):
+    """For mapInArrow over sorted (gram, span, doc_id, place): rows (kind, gram, doc_id, place), kind 1 for repeats and 0 for candidates."""
+    edge, held = None, None
+    names = ["gram", "span", "doc_id", "place"]
+
+    def decided(rows, first, follows):
+        """rows: 4 x n; first: the first (doc_id, place) of the kind that rows[0] goes on, or None; follows: the gram after the last."""
+        gram, span, doc, place = rows
+        new = np.append(first is None, (gram[1:] != gram[:-1]) | (span[1:] != span[:-1]))
+        at = np.maximum.accumulate(np.where(new, np.arange(len(gram)), -1))
+        first_doc, first_place = doc[at], place[at]
+        if first is not None:
+            first_doc, first_place = np.where(at < 0, first[0], first_doc), np.where(at < 0, first[1], first_place)
+        repeat = ~new & ((doc > first_doc) | ((doc == first_doc) & (place >> 28 > first_place >> 28)))
+        after = np.append(gram[1:], follows if follows is not None else gram[-1])
+        before = np.append(gram[0] if first is not None or lead else gram[0] + 1, gram[:-1])
+        alone = new & ~((before == gram) | (after == gram) | (gram == edge))
+        keep = repeat | (new & ~alone)
+        return pa.RecordBatch.from_arrays([pa.array(repeat[keep].astype(np.int32)), pa.array(gram[keep]), pa.array(doc[keep]), pa.array(place[keep])], ["kind", "gram", "doc_id", "place"]), (first_doc[-1], first_place[-1])
+
+    last = None  # of the row before held: gram, span and the first of its kind
+    for batch in batches:
+        rows = np.stack([batch.column(c).to_numpy() for c in names])
+        if not rows.shape[1]:
+            continue
+        rows = rows if held is None else np.concatenate([held, rows], axis=1)
+        edge = rows[0, 0] if edge is None else edge
+        held = rows[:, -1:]
+        if rows.shape[1] > 1:
+            own = rows[:, :-1]
+            same = last is not None and last[0] == own[0, 0] and last[1] == own[1, 0]
+            lead = last is not None and last[0] == own[0, 0]
+            out, first = decided(own, last[2] if same else None, held[0, 0])
+            last = own[0, -1], own[1, -1], first
+            yield out
+    if held is not None:
+        same = last is not None and last[0] == held[0, 0] and last[1] == held[1, 0]
+        lead = last is not None and last[0] == held[0, 0]
+        yield decided(held, last[2] if same else None, None)[0]
+
+
+def cut(batches):
+    """For mapInArrow over (doc_id, text, mark, spans): the bytes of each listed domain."""
+    for batch in batches:
+        for doc, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
+            data = zlib.decompress(text)
+            place = [s["place"] for s in spans]
+            yield pa.RecordBatch.from_arrays([pa.array([s["gram"] for s in spans], pa.int64()), pa.array([s["n"] for s in spans], pa.int64()), pa.array([doc] * len(spans), pa.int64()), pa.array(place, pa.int64()), pa.array([data[p >> 28 : (p >> 28) + ((p >> 20) & 255)] for p in place], pa.binary())], ["gram", "n", "doc_id", "place", "bytes"])
+
+
+def windows_of(table, width: int):
+    """The windows of domains (gram, doc_id, place, bytes): arrays gram, hash, doc_id, place."""
+    place = table.column("place").to_numpy()
+    length = (place >> 20) & 255
+    begin = np.cumsum(length) - length
+    data = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+    count = length - width + 1
+    own = np.repeat(np.arange(len(place)), count)
+    step = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    (h,) = string_hashes(data, [width])
+    at = (((place[own] >> 28) + step) << 28) | (width << 20) | (place[own] & LOW20)
+    return table.column("gram").to_numpy()[own], h[begin[own] + step].view(np.int64), table.column("doc_id").to_numpy()[own], at
+
+
+def block_repeats(width: int):
+    """For applyInArrow over a block of whole grams: the windows that start earlier too."""
+
+    def run(table: pa.Table) -> pa.Table:
+        gram, h, doc, place = windows_of(table, width)
+        order = np.lexsort((place, doc, h, gram))
+        gram, h, doc, place = gram[order], h[order], doc[order], place[order]
+        new = np.append(True, (gram[1:] != gram[:-1]) | (h[1:] != h[:-1]))
+        first = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0))
+        repeat = (doc > doc[first]) | ((doc == doc[first]) & (place >> 28 > place[first] >> 28))
+        return pa.table({"doc_id": doc[repeat], "place": place[repeat]})
+
+    return run
+
+
 def windows(width: int):
-    """For mapInArrow over (doc_id, text, mark, spans): the hash of each window of the listed domains."""
+    """For mapInArrow over domains (gram, doc_id, place, bytes): their windows as rows."""
 
     def run(batches):
         for batch in batches:
-            for doc, text, mark, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "mark", "spans")), strict=True):
-                data = np.frombuffer(zlib.decompress(text), np.uint8)
-                grams = np.array([s["gram"] for s in spans], np.int64)
-                place = np.array([s["place"] for s in spans], np.int64)
-                first, length = place >> 28, (place >> 20) & 255
-                count = length - width + 1
-                own = np.repeat(np.arange(len(spans)), count)
-                start = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
-                (h,) = string_hashes(data, [width])
-                yield pa.RecordBatch.from_arrays([pa.array(grams[own]), pa.array(h[start].view(np.int64)), pa.array(np.full(len(own), doc)), pa.array((start << 28) | (width << 20) | mark)], ["gram", "span", "doc_id", "place"])
+            if len(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in windows_of(batch, width)], ["gram", "span", "doc_id", "place"])
 
     return run
 
@@ -129,7 +204,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([zlib.compress(x.as_buffer() or b"", 1) if x.is_valid else zlib.compress(b"") for x in batch.column("text").cast(pa.large_string())], pa.binary()), pa.array([zlib.crc32(x.as_buffer() or b"") & LOW20 if x.is_valid else 0 for x in batch.column("text").cast(pa.large_string())], pa.int64())], ["doc_id", "text", "mark"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([zlib.compress(x.as_buffer() or b"", 6) if x.is_valid else zlib.compress(b"") for x in batch.column("text").cast(pa.large_string())], pa.binary()), pa.array([zlib.crc32(x.as_buffer() or b"") & LOW20 if x.is_valid else 0 for x in batch.column("text").cast(pa.large_string())], pa.int64())], ["doc_id", "text", "mark"])
 
     return docs.mapInArrow(run, "doc_id long, text binary, mark long")
 
@@ -166,18 +241,19 @@ def suffix_dedup(docs: DataFrame, width: int = 100) -> DataFrame:
         raise ValueError("width must be from 88 to 108 bytes")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shape = "gram long, span long, doc_id long, place long"
+    order = ["gram", "span", "doc_id", "place"]
     places = docs.where("doc_id is not null").mapInArrow(domains(width), shape)
-    often = stored(places.groupBy("gram").count().where("count > 1").select("gram"), "often")
-    found = stored(places.join(often.hint("shuffle_hash"), "gram"), "found")
-    mixed = found.groupBy("gram").agg((F.min("span") != F.max("span")).alias("mixed"))
-    judged = stored(later(found, "shuffle_hash").join(mixed.hint("shuffle_hash"), "gram").where("repeat or mixed"), "judged")
-    drop_stored(often)
-    drop_stored(found)
-    mark = (F.col("place").bitwiseAND(LOW20)).alias("mark")
+    judged = stored(places.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(neighbours, "kind int, gram long, doc_id long, place long"), "judged")
+    mark = F.col("place").bitwiseAND(LOW20).alias("mark")
     texts = packed(docs)
-    todo = judged.where("not repeat").distinct().groupBy("doc_id", mark).agg(F.collect_list(F.struct("gram", "place")).alias("spans"))
-    single = stored(texts.join(todo, ["doc_id", "mark"]).select("doc_id", "text", "mark", "spans").dropDuplicates(["doc_id", "mark"]).mapInArrow(windows(width), shape), "windows")
-    repeats = judged.where("repeat").select("doc_id", "place").union(later(single, "shuffle_hash").where("repeat").select("doc_id", "place"))
+    candidates = judged.where("kind = 0").distinct()
+    shared = candidates.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    todo = candidates.join(shared.hint("shuffle_hash"), "gram").groupBy("doc_id", mark).agg(F.collect_list(F.struct("gram", "n", "place")).alias("spans"))
+    domain = stored(texts.join(todo.hint("shuffle_hash"), ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("doc_id", "text", "spans").mapInArrow(cut, "gram long, n long, doc_id long, place long, bytes binary"), "domains")
+    blocks = domain.count() // BLOCK + 1
+    small = domain.where(F.col("n") <= GROUP).groupBy(F.pmod(F.xxhash64("gram"), F.lit(blocks)).alias("block")).applyInArrow(block_repeats(width), "doc_id long, place long")
+    large = later(domain.where(F.col("n") > GROUP).mapInArrow(windows(width), shape), "shuffle_hash").where("repeat").select("doc_id", "place")
+    repeats = judged.where("kind = 1").select("doc_id", "place").union(small).union(large)
     repeats = repeats.groupBy("doc_id", mark).agg(F.collect_list("place").alias("places"))
     out = texts.join(repeats, ["doc_id", "mark"], "left").select("doc_id", "text", "places")
     return out.mapInArrow(without, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, spans array<array<long>>")

@@ -3,11 +3,11 @@
 A text is split into sentences at line ends and at [.!?;] before white space. A sentence is normalised: lower-cased,
 runs of anything but letters and digits to one space, trimmed. Normalised sentences that equal a known licence
 sentence get its identifier; a licence rule is an ordered list of identifiers and matches a document whose identifiers
-hold that list in order. Every rule that matches is reported, with how often its first sentence was found.
+hold that list in order, other licence sentences between them or not. The licences of all rules that match are reported.
 
 Each known sentence holds one of the ANCHORS (checked when the module loads), so texts without any are settled without
 being split. Everything is DataFrame operations; the known sentences are a table of this module, so of bounded size.
-No document meets another: only sentences that hold an anchor are shuffled, by document.
+No document meets another, so there is no shuffle.
 
 Cases: null, empty and other texts without licence sentences give no licences; repeated rows and rows with one doc_id
 are each scanned on their own; other columns ride along in scan() and are left out of the query.
@@ -30,7 +30,8 @@ SENTENCES = {
     "apache-asis": 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied',
     "mit-released": "Released under the MIT License",
     "mit-licensed": "Licensed under the MIT License",
-    "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software',
+    "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions',
+    "mit-grant-notice": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software',
     "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
     "gpl3-work": "This work is licensed under the GNU General Public License, version 3",
     "gpl2-work": "This work is licensed under the GNU General Public License, version 2",
@@ -41,7 +42,7 @@ SENTENCES = {
     "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "bsd-licensed": "Licensed under the BSD 3-Clause License",
-    "mpl-source": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "mpl-source": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
     "cc-by": "Licensed under CC BY 4.0",
     "cc-by-sa": "Licensed under CC BY-SA 4.0",
     "cc-by-nc": "Licensed under CC BY-NC 4.0",
@@ -58,6 +59,7 @@ RULES = [
     ("MIT", ["mit-released"]),
     ("MIT", ["mit-licensed"]),
     ("MIT", ["mit-grant"]),
+    ("MIT", ["mit-grant-notice"]),
     ("GPL-3.0", ["gpl3-work"]),
     ("GPL-3.0", ["gpl-redistribute", "gpl-received"]),
     ("GPL-2.0", ["gpl2-work"]),
@@ -86,6 +88,7 @@ def plain(sentence: str) -> str:
 KNOWN = {plain(s): k for k, s in SENTENCES.items()}
 assert all(any(a in s for a in ANCHORS) for s in KNOWN), "a known sentence holds no anchor"
 assert all(i in SENTENCES for _, ids in RULES for i in ids)
+assert not any(re.search(r"[.!?;]\s", s) for s in SENTENCES.values()), "a known sentence would be split"
 
 
 def anchored(c):
@@ -103,8 +106,8 @@ def scan(docs: DataFrame, known: dict[str, str] = KNOWN, rules: list = RULES) ->
     ids = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
     found = F.filter(F.transform(normal, lambda s: F.element_at(ids, s)), lambda x: x.isNotNull())
     out = docs.withColumn("sequence", F.when(anchored(lower), found).otherwise(F.array().cast("array<string>")))
-    held = F.concat(F.lit(","), F.array_join("sequence", ","), F.lit(","))
-    matched = [F.when(held.like("%," + ",%,".join(i) + ",%") | (held.contains("," + ",".join(i) + ",")), F.lit(name)) for name, i in rules]
+    held = F.array_join(F.transform("sequence", lambda x: F.concat(F.lit(","), x, F.lit(","))), "")
+    matched = [F.when(held.like("%," + ",%,".join(i) + ",%"), F.lit(name)) for name, i in rules]
     out = out.withColumn("n_sentences", F.size("sequence").cast("long"))
     return out.withColumn("licenses", F.array_sort(F.array_distinct(F.array_compact(F.array(*matched)))))
 
@@ -115,7 +118,7 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _VALUES = ", ".join(f"('{s}', '{k}')" for s, k in KNOWN.items())
-_MATCHED = ", ".join(f"CASE WHEN held LIKE '%,{',%,'.join(i)},%' OR contains(held, ',{','.join(i)},') THEN '{n}' END" for n, i in RULES)
+_MATCHED = ", ".join(f"CASE WHEN held LIKE '%,{',%,'.join(i)},%' THEN '{n}' END" for n, i in RULES)
 ORACLE = rf"""
 WITH k(s, id) AS (VALUES {_VALUES}), t AS (
   SELECT doc_id, place, trim(regexp_replace(regexp_replace(parts[place], '[.!?;]+$', ''), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS s
@@ -124,5 +127,5 @@ WITH k(s, id) AS (VALUES {_VALUES}), t AS (
   SELECT doc_id, count(id) AS n_sentences, coalesce(string_agg(id, ',' ORDER BY place), '') AS sentences FROM t LEFT JOIN k USING (s) GROUP BY doc_id
 )
 SELECT doc_id, n_sentences, sentences, coalesce(array_to_string(list_sort(list_distinct(list_filter([{_MATCHED}], lambda x: x IS NOT NULL))), ','), '') AS licenses
-FROM (SELECT *, ',' || sentences || ',' AS held FROM h)
+FROM (SELECT *, ',' || replace(sentences, ',', ',,') || ',' AS held FROM h)
 """

@@ -76,7 +76,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int
     found = around.join(sized(searched), "anchor").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + size(raw) <= n")
     found = found.withColumn("own", F.slice("ctx", F.col("start") - F.col("from") + 1, F.size("raw")))
     found = found.where(F.array_join(F.transform("own", typed), " ") == F.col("template"))
-    slots = F.filter(F.zip_with("raw", "own", lambda b, d: F.when(typed(b).startswith("<"), F.struct(b.alias("b"), d.alias("d")))), lambda x: x.isNotNull())
+    slots = F.filter(F.zip_with("raw", "own", lambda b, d: F.when(typed(b).startswith("<"), F.struct(F.translate(b, MARK, "").alias("b"), F.translate(d, MARK, "").alias("d")))), lambda x: x.isNotNull())
     return found.select("doc_id", "item_id", "start", "at", "n_windows", slots.alias("slots"))
 
 
@@ -116,7 +116,7 @@ WITH b AS (
 ), m AS (
   SELECT doc_id, item_id, start - place AS diagonal, place, n_windows, raw, own FROM (SELECT *, array_to_string(list_transform(own, lambda x: {_TYPED}), ' ') AS template FROM d) d JOIN s USING (w, template)
 ), p AS (
-  SELECT doc_id, item_id, diagonal, z[1] AS b, z[2] AS v FROM (
+  SELECT doc_id, item_id, diagonal, replace(z[1], chr(1), '') AS b, replace(z[2], chr(1), '') AS v FROM (
     SELECT doc_id, item_id, diagonal, unnest(list_zip(raw, own, list_transform(raw, lambda x: {_TYPED}))) AS z FROM m) WHERE starts_with(z[3], '<')
 ), q AS (
   SELECT doc_id, item_id, diagonal, count(DISTINCT (b, v)) AS n_slots, count(DISTINCT b) AS nb, count(DISTINCT v) AS nv, bool_and(b = v) AS same FROM p GROUP BY ALL

@@ -15,7 +15,7 @@ shuffled once, when the dropped lines' places join them.
 
 Cases: a null or empty text is one empty line; rows with the same doc_id count as one document, and the largest
 doc_id keeps its lines in all its rows; rows with null doc_id lose nothing and count for nothing; other columns ride
-along in line_dedup() and are left out of the query.
+along in line_dedup(), those with the names of its results replaced, and are left out of the query.
 """
 
 from __future__ import annotations
@@ -93,14 +93,15 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches:
         for top in range(high, low - 1, -step):
             runs.add(lines.where((F.col("doc_id") <= top) & (F.col("doc_id") > top - step)).select(*HASH, "doc_id"))
     drops = lines.join(runs.frequent(), HASH).where("doc_id < keeper").groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("drops_"))
-    out = docs.withColumn("key_", F.col("doc_id").cast("long")).join(drops.withColumnRenamed("doc_id", "key_"), "key_", "left").drop("key_")
+    rest = [c for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped", "deduped")]
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row_"), "text", F.col("doc_id").cast("long").alias("key_")).join(drops.withColumnRenamed("doc_id", "key_"), "key_", "left").drop("key_")
     line = F.split(F.coalesce("text", F.lit("")), "\n")
     edge = F.concat(F.array(F.lit(-1)), F.col("drops_"), F.array(F.size("lines_")))
     pieces = F.transform(F.sequence(F.lit(1), F.size("edges_") - 1), lambda i: F.slice("lines_", F.element_at("edges_", i) + 2, F.element_at("edges_", i + 1) - F.element_at("edges_", i) - 1))
     out = out.withColumn("lines_", line).withColumn("n_lines", F.size("lines_").cast("long")).withColumn("n_dropped", F.coalesce(F.size("drops_"), F.lit(0)).cast("long"))
     out = out.withColumn("edges_", F.when(F.col("drops_").isNotNull(), edge))
     kept = F.when(F.col("drops_").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.array_join(F.flatten(pieces), "\n"))
-    return out.withColumn("deduped", kept).drop("lines_", "edges_", "drops_")
+    return out.withColumn("deduped", kept).select("row_.*", "text", "n_lines", "n_dropped", "deduped")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ marked. Everything is DataFrame operations; shuffled are only bucket counts, com
 a hot source nor a hot language weighs on one task, and the thresholds, bounded by the number of groups, join last.
 
 Cases: null text has no words; null lang or source are groups of their own; repeated rows count as often as they
-occur; in an empty table nothing is judged; other columns ride along in judge() and are left out of the query.
+occur; in an empty table nothing is judged; other columns ride along in judge(), those with the names of its results
+replaced, and are left out of the query.
 """
 
 from __future__ import annotations
@@ -104,7 +105,8 @@ def judge(docs: DataFrame, carry: list[str] | None = None, least: int = 100, spr
     own = ["lang", "source"]
     carry = docs.columns if carry is None else carry
     slack = slack or SLACK
-    measured = stored(measures(docs).select(*carry, *OUT), "measured")
+    carried = F.struct(*[F.col(f"`{c}`") for c in carry if c.lower() not in [*OUT, "kept"]])
+    measured = stored(measures(docs.select(carried.alias("row_"), "text", *own)).select("row_", *own, *OUT), "measured")
     sketched = stored(sketch(measured, own), "sketch")
     levels = [(f"f{k}", own[:2 - k]) for k in range(3)]
     limits = sketched.select(*own).distinct().withColumn("one_", F.lit(1))
@@ -128,7 +130,7 @@ def judge(docs: DataFrame, carry: list[str] | None = None, least: int = 100, spr
         bad |= F.coalesce(v > F.col(f"{m}_ceiling_"), F.lit(False))
         if m in BELOW:
             bad |= F.coalesce(v < F.col(f"{m}_floor_"), F.lit(False))
-    return out.withColumn("kept", ~bad).drop("lang_", "source_", *of)
+    return out.withColumn("kept", ~bad).select("row_.*", *OUT, "kept")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,5 +43,5 @@ def test_cases(spark):
     rows = [(1, line), (2, line.upper() + "\n\n"), (2, line), (3, " " + line), (None, line), (5, None), (6, ""), (7, "É" * 19), (8, "x\n" * 50_000 + line)]
     assert result(line_dedup(table(spark, rows))) == plain(rows)
     assert line_dedup(table(spark, [])).count() == 0
-    more = table(spark, [(1, "a", 5, "b")], "doc_id int, text string, at int, line string")
-    assert line_dedup(more).select("at", "line", "deduped").first() == (5, "b", "a")
+    more = table(spark, [(1, "a", 5, "b", 7)], "doc_id int, text string, at int, lines_ string, n_lines long")
+    assert line_dedup(more).select("at", "lines_", "deduped", "n_lines").first() == (5, "b", "a", 1)

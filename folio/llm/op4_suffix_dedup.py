@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 from .common import documents, stored
 from .textbytes import BASE, BYTE, U, chunks, mix
 
-GRAM, STEP = 28, 900_000
+GRAM, STEP = 28, 400_000
+#: Texts of a batch that a task holds copies of at a time.
+ROWS = 256
 #: Most candidates of a gram that are compared in a block, and candidates of a block on average.
 GROUP, BLOCK = 4_096, 20_000
 LOW20 = (1 << 20) - 1
@@ -76,12 +78,19 @@ def pieces(texts: pa.Array, width: int):
             yield lo + row, p - ends[row], p + width <= ends[row + 1], data[at : upto + width - 1]
 
 
+def parts(batches):
+    """The batches, cut into pieces of ROWS rows."""
+    for batch in batches:
+        for lo in range(0, len(batch), ROWS):
+            yield batch.slice(lo, ROWS)
+
+
 def domains(width: int):
     """For mapInArrow over (doc_id, text): the domains as (gram, span, doc_id, place), place = start << 28 | length << 20 | part of the text's checksum."""
     reach = width - GRAM + 1
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             texts = batch.column("text").cast(pa.large_string())
             marks = np.array([zlib.crc32(x.as_buffer() or b"") & LOW20 if x.is_valid else 0 for x in texts], dtype=np.int64)
@@ -152,7 +161,7 @@ def neighbours(batches):
 
 def cut(batches):
     """For mapInArrow over (doc_id, text, mark, spans): the bytes of each listed domain."""
-    for batch in batches:
+    for batch in parts(batches):
         for doc, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
             data = zlib.decompress(text)
             place = [s["place"] for s in spans]
@@ -203,7 +212,7 @@ def packed(docs: DataFrame) -> DataFrame:
     """Texts as compressed bytes, for the shuffles."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([zlib.compress(x.as_buffer() or b"", 6) if x.is_valid else zlib.compress(b"") for x in batch.column("text").cast(pa.large_string())], pa.binary()), pa.array([zlib.crc32(x.as_buffer() or b"") & LOW20 if x.is_valid else 0 for x in batch.column("text").cast(pa.large_string())], pa.int64())], ["doc_id", "text", "mark"])
 
     return docs.mapInArrow(run, "doc_id long, text binary, mark long")
@@ -211,7 +220,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 def without(batches):
     """For mapInArrow over (doc_id, text, places): what is left of each text, with counts."""
-    for batch in batches:
+    for batch in parts(batches):
         out = []
         for doc, text, places in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "places")), strict=True):
             data = zlib.decompress(text)

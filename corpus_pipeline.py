@@ -1,7 +1,8 @@
 """A corpus pipeline: quality rules, line dedup, near duplicates, decontamination, SentencePiece encoding.
 
 Each stage takes all documents that its predecessor kept, written as Parquet and read again, and its decisions take
-effect. All stages but the last return the columns of documents; the last adds n_tokens and ids.
+effect. All stages but the last return the columns of documents; the last adds n_tokens and ids. A stage first deletes
+the tables that the stages before it left in the shared folder, since their results are written by then.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import documents, stored
+from folio.llm.common import documents, forget_stored, stored
 from folio.llm.op1_ngram_join import ngram_join
 from folio.llm.op5_decontamination import contaminated
 from folio.llm.op6_sentencepiece import encode
@@ -19,11 +20,13 @@ from folio.llm.op10_line_dedup import line_dedup
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule or their group's thresholds reject go."""
+    forget_stored(spark)
     return judge(docs).where("kept").select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in three or more documents stay in the largest doc_id only; n_chars follows the text."""
+    forget_stored(spark)
     out = line_dedup(docs).withColumn("text", F.col("deduped"))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
@@ -34,6 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows with one doc_id are one document; of equal rows one stays. Rows without a doc_id stay unless they equal
     another text.
     """
+    forget_stored(spark)
     found = stored(ngram_join(docs, 5, 80, 100), "found")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
@@ -42,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    forget_stored(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     gone = contaminated(docs.select("doc_id", "text"), benchmark).select("doc_id").distinct()
     return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
@@ -49,6 +54,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of the texts."""
+    forget_stored(spark)
     return encode(docs).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
@@ -68,5 +74,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if stage is not tokens:
-            docs = stored(docs, name)
+            docs = stored(docs, name, keep=True)
     return docs

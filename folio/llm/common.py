@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+_made = threading.local()
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -33,20 +37,39 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str, *partitions: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs a read."""
+def stored(df: DataFrame, name: str, *partitions: str, keep: bool = False) -> DataFrame:
+    """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs a read.
+
+    keep: forget_stored() is to leave it.
+    """
     path = table_path(df.sparkSession, name)
+    if not keep:
+        _made.__dict__.setdefault("paths", []).append(path)
     df.write.partitionBy(*partitions).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_stored(df: DataFrame) -> None:
     """Deletes the files of a table made by stored() that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark._jvm
     for folder in {f.rsplit("/part-", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, folder)
+
+
+def forget_stored(spark: SparkSession) -> None:
+    """Deletes the tables that this thread has made by stored() so far; nothing may read them any more."""
+    paths = _made.__dict__.setdefault("paths", [])
+    while paths:
+        delete(spark, paths.pop())
+
+
+def sized(df: DataFrame, most: int) -> DataFrame:
+    """df, to be broadcast if a count shows at most so many rows; else Spark shuffles both sides."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def ascii_lower(c):

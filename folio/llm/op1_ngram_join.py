@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import components, documents, drop_stored, stored
+from .common import components, documents, drop_stored, sized, stored
 from .textbytes import U, chunks, mix, spread, word_table
 
 #: Most shingles and texts of one side of a tile.
 TILE_SHINGLES, TILE_TEXTS = 2_000_000, 2_048
+#: Most copies whose ids are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingle_sets(texts: pa.Array, k: int):
@@ -186,13 +188,16 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     the method and for the cases.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = stored(docs.mapInArrow(text_sets(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "sets")
+    keys = stored(docs.mapInArrow(text_sets(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "keys")
+    sets = stored(keys.drop("keys"), "sets")
     copies = stored(sets.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.max("n_shingles").alias("n")), "copies")
-    reps = sets.alias("x").join(copies.hint("shuffle_hash").alias("c"), F.expr("x.doc_id = c.rep and x.s1 = c.s1 and x.s2 = c.s2"), "left_semi")
+    others = stored(sets.join(copies.where("n_copies > 1").select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id <> rep").select("doc_id", "s1", "s2").distinct(), "others")
+    reps = keys.where("n_shingles > 0 and doc_id is not null").join(sized(others, BROADCAST_ROWS), ["doc_id", "s1", "s2"], "left_anti")
     keyed = reps.select("doc_id", F.explode("keys").alias("key"))
     least = F.min("doc_id").over(Window.partitionBy("key"))
     stars = keyed.withColumn("a", least).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
     blocks = stored(components(stars).withColumnsRenamed({"node": "doc_id", "component": "block"}), "blocks")
+    drop_stored(keys)
 
     arrays = stored(docs.join(blocks.hint("shuffle_hash"), "doc_id").select("doc_id", "block", "text").mapInArrow(hash_arrays(k, num, den), "doc_id long, block long, band int, n long, hashes binary").where("n > 0").dropDuplicates(["doc_id", "hashes"]), "arrays")
     links = stored(tile_pairs(arrays).groupBy("block", "t1", "t2").applyInArrow(tile_links(num, den), "a long, b long"), "links")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, stored
+from .common import documents, sized, stored
 
 #: Common given names, units and number words.
 NAMES = "alice bob carol dave eve frank grace henry ivan james john mary maria anna emma liam noah olivia sophia mia lucas paul peter tom sam sara sarah david daniel michael linda susan karen jane jack kate laura mark emily".split()
@@ -45,10 +45,6 @@ def typed(t):
     return F.when(t.rlike(r"^\p{N}") | t.isin(NUMBERS), "<num>").when(t.startswith(MARK) | t.isin(NAMES), "<name>").when(t.isin(UNITS), "<unit>").otherwise(t)
 
 
-def sized(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def windows(benchmark: DataFrame, width: int, literals: int) -> DataFrame:
     """Rows (item_id, at, n_windows, raw, template, anchor, off) of each item's searched windows."""
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("t")).dropDuplicates()
@@ -69,11 +65,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), tokens(F.col("text")).alias("t"))
     searched = stored(windows(benchmark, width, literals), "windows")
     spread = docs.select("doc_id", F.posexplode("t").alias("pos", "anchor"))
-    hits = spread.join(sized(searched.select("anchor").distinct()), "anchor").groupBy("doc_id").agg(F.collect_set("pos").alias("hits"))
+    hits = spread.join(sized(searched.select("anchor").distinct(), BROADCAST_ROWS), "anchor").groupBy("doc_id").agg(F.collect_set("pos").alias("hits"))
     around = docs.join(hits, "doc_id").select("doc_id", "t", "hits")
     context = F.transform("hits", lambda p: F.struct(p.alias("pos"), F.greatest(p - (width - 1), F.lit(0)).alias("from"), F.slice("t", F.greatest(p - (width - 1), F.lit(0)) + 1, 2 * width - 1).alias("ctx"), F.size("t").alias("n"), F.get("t", p).alias("anchor")))
     around = around.select("doc_id", F.explode(context).alias("h")).select("doc_id", "h.*")
-    found = around.join(sized(searched), "anchor").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + size(raw) <= n")
+    found = around.join(sized(searched, BROADCAST_ROWS), "anchor").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + size(raw) <= n")
     found = found.withColumn("own", F.slice("ctx", F.col("start") - F.col("from") + 1, F.size("raw")))
     found = found.where(F.array_join(F.transform("own", typed), " ") == F.col("template"))
     slots = F.filter(F.zip_with("raw", "own", lambda b, d: F.when(typed(b).startswith("<"), F.struct(F.translate(b, MARK, "").alias("b"), F.translate(d, MARK, "").alias("d")))), lambda x: x.isNotNull())

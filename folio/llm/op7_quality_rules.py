@@ -22,9 +22,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, stored, words
+from .common import documents, sized, stored, words
 
 BITS = 6
+#: Most groups of a language and a source whose thresholds are broadcast.
+BROADCAST_ROWS = 200_000
 #: Measure, its numerator and denominator: thousandths. Judged above the upper fence; those in BELOW below the lower one too.
 MEASURES = {
     "word_len": ("word_chars", "n_words"),
@@ -122,7 +124,7 @@ def judge(docs: DataFrame, carry: list[str] | None = None, least: int = 100, spr
     for m in MEASURES:
         for c in ("floor", "ceiling"):
             of[f"{m}_{c}_"] = F.when(F.col(f"f0_{m}_n") >= least, F.col(f"f0_{m}_{c}")).when(F.col(f"f1_{m}_n") >= least, F.col(f"f1_{m}_{c}")).otherwise(F.col(f"f2_{m}_{c}"))
-    limits = limits.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), *[x.alias(n) for n, x in of.items()])
+    limits = sized(stored(limits.select(F.col("lang").alias("lang_"), F.col("source").alias("source_"), *[x.alias(n) for n, x in of.items()]), "limits"), BROADCAST_ROWS)
     out = measured.join(limits, F.col("lang").eqNullSafe(F.col("lang_")) & F.col("source").eqNullSafe(F.col("source_")), "left")
     bad = F.col("base_failed")
     for m, (a, b) in MEASURES.items():

@@ -46,7 +46,7 @@ def test_stages_on_the_documents(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     rows = [tuple(r[c] for c in COLUMNS) for r in docs.collect()]
     for (name, stage), want in zip(p.STAGES, plain_stages(rows, items)):
-        docs = p.stored(stage(spark, docs, SF), name)
+        docs = p.stored(stage(spark, docs, SF), name, keep=True)
         assert docs.columns == COLUMNS
         assert rows_of(docs) == sorted(want, key=str), name
     own = sentencepiece.SentencePieceProcessor(model_file=MODEL)

@@ -160,7 +160,10 @@ def apply_edits(docs: DataFrame, trees: DataFrame, edits: DataFrame, ranks: str
         table = f.read()
     lists = edits.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.array_sort(F.collect_list(F.struct("seq", "start", "stop", F.coalesce("new", F.lit("")).alias("new")))).alias("edits"))
     own_trees = trees.dropDuplicates(["doc_id", "mark"]).select(F.col("doc_id").alias("tree_id"), F.col("mark").alias("tree_mark"), "n_tokens", "leaves")
-    rows = marked(docs).join(own_trees.hint("shuffle_hash"), F.expr("doc_id <=> tree_id and mark = tree_mark")).join(lists.hint("shuffle_hash"), "doc_id", "left")
+    # The edits get the trees' checksums, so that texts, trees and edits meet on the same keys after one shuffle each.
+    keyed = trees.select("doc_id", "mark").distinct().join(lists, "doc_id").select(F.col("doc_id").alias("list_id"), F.col("mark").alias("list_mark"), "edits")
+    rows = marked(docs).join(own_trees.hint("shuffle_hash"), F.expr("doc_id <=> tree_id and mark = tree_mark"))
+    rows = rows.join(keyed.hint("shuffle_hash"), F.expr("doc_id <=> list_id and mark = list_mark"), "left")
 
     def run(batches):
         own = counter(table)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: What a debt label holds, in the order in which the kinds are tried. Labels are compared as `debt_label` writes them.
@@ -120,5 +120,13 @@ def repair_shifts(rows: DataFrame) -> DataFrame:
         return part
 
     kept = ["table_id", "section", "row_order", "flag", "label", "a", "b", "total"]
-    out = rows.select(*kept)
-    return out.groupBy("table_id", "section").applyInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema) + ", moved boolean")
+    section = Window.partitionBy("table_id", "section")
+    item, anchor = F.col("flag") == "DP", (F.col("flag") == "CP") & F.lower(F.trim("label")).startswith("total")
+    off = lambda c: F.sum(F.when(item, F.coalesce(F.col(c), F.lit(0))).otherwise(0)).over(section) - F.col(c)
+    out = rows.select(*kept, off("a").alias("off_a"), off("b").alias("off_b"), F.bool_or(item & (F.col("total") == 0)).over(section).alias("zero"))
+    could = anchor & (F.col("off_a") == -F.col("off_b")) & ((F.col("off_a") != 0) | F.coalesce("zero", F.lit(False)))
+    out = out.select(*kept, F.coalesce(F.bool_or(could).over(section), F.lit(False)).alias("could"))
+    # Before the first move all totals see the sums of the input, so sections without such a total need no loop.
+    first = out.where("could").select(*kept)
+    moved = first.groupBy("table_id", "section").applyInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in first.schema) + ", moved boolean")
+    return moved.unionByName(out.where("not could").select(*kept, F.lit(False).alias("moved")))

@@ -1,0 +1,107 @@
+r"""Benchmark decontamination that finds edited items too: changed, added and missing words, values of other lengths.
+
+Tokens and templates as in op5_decontamination, but a run of numbers or of names is one token (1,250 and 2.5 are one
+<num>, Mary Ann is one <name>). An item's windows are its runs of `width` tokens; an item of 10 tokens to twice the width
+has windows of half its tokens, a shorter one of `width` or all. So after one edit anywhere in an item of 10 tokens or
+more, one half at least still holds a window. Matched windows of an item are taken together over neighbouring diagonals of
+a document, each at most a quarter of the item's tokens from the next, and on each diagonal alone. They are consistent if
+no benchmark value stands for two document values; one document value may stand for several. A document is contaminated
+if consistent windows cover at least `share` hundredths of the item's tokens that lie in searched windows; what is covered
+counts on both sides, and the smaller count holds.
+
+Windows without `literals` literal tokens are not searched by template. An item with no other is matched by its exact
+tokens, all of them. Null and empty items match nothing; other cases as in op5_decontamination.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .common import documents, sized, stored
+from .op5_decontamination import BROADCAST_ROWS, MARK, typed
+
+#: The last character of a number, name or unit.
+KINDS = {"<num>": "\x03", "<name>": "\x04", "<unit>": "\x05"}
+
+
+def canonical(text):
+    """The tokens of a text: literals, and values that end in the mark of their kind, runs of numbers and of names joined."""
+    named = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"{MARK}$1")
+    flat = F.split(F.trim(F.regexp_replace(F.lower(named), rf"[^\p{{L}}\p{{M}}\p{{N}}{MARK}]+", " ")), " ")
+
+    def marked(t):
+        kind = typed(t)
+        end = F.when(kind == "<num>", "\x03").when(kind == "<name>", "\x04").when(kind == "<unit>", "\x05").otherwise("")
+        return F.concat(F.translate(t, MARK, ""), end)
+
+    runs = "|".join(rf"(?<={m}) (?=[^ ]*{m})" for m in ("\x03", "\x04"))
+    return F.split(F.regexp_replace(F.array_join(F.transform(flat, marked), " "), runs, "_"), " ")
+
+
+def kind(t):
+    """A canonical token's place in the template."""
+    return F.when(t.endswith("\x03"), "<num>").when(t.endswith("\x04"), "<name>").when(t.endswith("\x05"), "<unit>").otherwise(t)
+
+
+def template(raw):
+    return F.array_join(F.transform(raw, kind), " ")
+
+
+def windows(benchmark: DataFrame, width: int, literals: int) -> DataFrame:
+    """Rows (item_id, at, exact, n_covering, slack, raw, template, anchor, off) of each item's searched windows."""
+    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), canonical(F.col("text")).alias("t")).dropDuplicates().where(F.array_join("t", "") != "")
+    n = F.size("t")
+    items = items.withColumn("w", F.when(n.between(10, 2 * width), F.least(F.lit(width), F.floor(n / 2).cast("int"))).otherwise(F.least(F.lit(width), n)))
+    at = items.select("item_id", "t", "w", F.explode(F.sequence(F.lit(0), n - F.col("w"))).alias("at"))
+    cut = at.select("item_id", "at", n.alias("n"), F.xxhash64("t").alias("own"), F.slice("t", F.col("at") + 1, F.col("w")).alias("raw"))
+    is_literal = lambda t: ~kind(t).startswith("<")
+    enough = F.size(F.filter("raw", is_literal)) >= F.least(F.lit(literals), F.size("raw"))
+    item = Window.partitionBy("item_id", "own")
+    cut = cut.withColumn("enough", enough).withColumn("exact", ~F.max("enough").over(item)).where("enough or exact")
+    places = F.flatten(F.collect_list(F.sequence(F.col("at"), F.col("at") + F.size("raw") - 1)).over(item))
+    cut = cut.withColumn("n_covering", F.size(F.array_distinct(places)))
+    ranked = F.transform("raw", lambda t, i: F.struct(F.length(t).alias("n"), t.alias("t"), (-i).alias("back")))
+    top = F.array_max(F.filter(ranked, lambda x: F.col("exact") | is_literal(x["t"])))
+    form = F.when(F.col("exact"), F.array_join("raw", " ")).otherwise(template("raw"))
+    return cut.select("item_id", "at", "exact", "n_covering", F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int")).alias("slack"), "raw", form.alias("template"), top["t"].alias("anchor"), (-top["back"]).alias("off"))
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int = 3) -> DataFrame:
+    """Rows (doc_id, item_id, start, at, w, exact, n_covering, slack, slots): each matched window, with the slots' values."""
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), canonical(F.col("text")).alias("t"))
+    searched = stored(windows(benchmark, width, literals), "windows")
+    spread = docs.select("doc_id", F.posexplode("t").alias("pos", "anchor"))
+    hits = spread.join(sized(searched.select("anchor").distinct(), BROADCAST_ROWS), "anchor").groupBy("doc_id").agg(F.collect_set("pos").alias("hits"))
+    around = docs.join(hits, "doc_id").select("doc_id", "t", "hits")
+    context = F.transform("hits", lambda p: F.struct(p.alias("pos"), F.greatest(p - (width - 1), F.lit(0)).alias("from"), F.slice("t", F.greatest(p - (width - 1), F.lit(0)) + 1, 2 * width - 1).alias("ctx"), F.size("t").alias("n"), F.get("t", p).alias("anchor")))
+    around = around.select("doc_id", F.explode(context).alias("h")).select("doc_id", "h.*")
+    found = around.join(sized(searched, BROADCAST_ROWS), "anchor").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + size(raw) <= n")
+    found = found.withColumn("own", F.slice("ctx", F.col("start") - F.col("from") + 1, F.size("raw")))
+    found = found.where(F.when(F.col("exact"), F.array_join("own", " ")).otherwise(template("own")) == F.col("template"))
+    slots = F.filter(F.zip_with("raw", "own", lambda b, d: F.when(kind(b).startswith("<"), F.struct(b.alias("b"), d.alias("d")))), lambda x: x.isNotNull())
+    return found.select("doc_id", "item_id", "start", "at", F.size("raw").alias("w"), "exact", "n_covering", "slack", slots.alias("slots"))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int = 3, share: int = 50) -> DataFrame:
+    """Rows (doc_id, item_id, n_covered, n_tokens, n_slots, verbatim) of contaminated pairs: the best place of each."""
+    pair = ["doc_id", "item_id", "exact", "n_covering", "slack"]
+    by = matches(docs, benchmark, width, literals).groupBy(*pair, (F.col("start") - F.col("at")).alias("diagonal"))
+    of = by.agg(F.collect_set(F.struct("at", "start", "w")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    line = Window.partitionBy(*pair).orderBy("diagonal")
+    far = (F.col("diagonal") - F.lag("diagonal").over(line) > F.col("slack")).cast("int")
+    of = of.withColumn("far", far).withColumn("island", F.coalesce(F.sum("far").over(line), F.lit(0)))
+    of = of.groupBy(*pair, "island").agg(F.collect_list(F.struct("spans", "slots")).alias("parts"))
+    whole = F.struct(F.flatten(F.transform("parts", lambda p: p["spans"])).alias("spans"), F.array_distinct(F.flatten(F.transform("parts", lambda p: p["slots"]))).alias("slots"))
+    of = of.select(*pair, F.explode(F.concat(F.array(whole), F.col("parts"))).alias("p")).select(*pair, "p.*")
+    covered = lambda side: F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s[side], s[side] + s["w"] - 1)))))
+    of = of.withColumn("n_covered", F.least(covered("at"), covered("start")).cast("long")).withColumn("n_tokens", F.col("n_covering").cast("long")).withColumn("n_slots", F.size("slots").cast("long"))
+    consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["b"]))) == F.size("slots")
+    of = of.where(consistent & (100 * F.col("n_covered") >= F.when(F.col("exact"), 100).otherwise(share) * F.col("n_tokens")))
+    of = of.withColumn("verbatim", F.forall("slots", lambda s: s["b"] == s["d"]))
+    best = F.max(F.struct("n_covered", "verbatim", "n_slots", "n_tokens")).alias("x")
+    return of.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.n_covered", "x.n_tokens", "x.n_slots", "x.verbatim")
+
+
+def op5_edited_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -1,0 +1,37 @@
+import random
+
+from folio.llm.op5_edited_items import contaminated
+
+from .helpers import table
+from .test_op5 import OTHERS, QUESTION
+
+ITEM = "item_id long, text string"
+WORDS = "carry river stone cloud letter garden window music paper table chair forest"
+
+
+def found(spark, docs, items):
+    return {(r.doc_id, r.item_id) for r in contaminated(table(spark, docs), table(spark, items, ITEM)).collect()}
+
+
+def test_one_edit_anywhere_is_found(spark):
+    rng = random.Random(5)
+    items, docs = [], []
+    for n in (10, 13, 16, 20, 40):
+        own = [f"{rng.choice(WORDS.split())}{chr(97 + i % 26)}{chr(97 + n % 26)}" for i in range(n)]
+        items.append((n, " ".join(own)))
+        for k in range(n):
+            docs += [(1000 * n + k, " ".join([*own[:k], "changed", *own[k + 1 :]])), (1000 * n + 100 + k, " ".join([*own[:k], "added", *own[k:]])), (1000 * n + 200 + k, " ".join(own[:k] + own[k + 1 :]))]
+    docs.append((1, " ".join(rng.choice(WORDS.split()) for _ in range(400))))
+    assert found(spark, [(d, f"some words before {t} and after") for d, t in docs], items) == {(d, d // 1000) for d, _ in docs if d > 1}
+
+
+def test_values_of_other_lengths(spark):
+    base = OTHERS.replace("gave 8", "gave 1,250")
+    docs = [(1, base), (2, base.replace("99", "2.5")), (3, base.replace("Henry", "Mary Ann")), (4, OTHERS.replace("99", "47")), (5, "She walked home with the rest of the apples")]
+    assert found(spark, docs, [(7, QUESTION)]) == {(1, 7), (2, 7), (3, 7), (4, 7)}
+
+
+def test_items_of_values_match_by_exact_text(spark):
+    docs = [(1, "sum of 12 Bob 14 Emma 15 and so on"), (2, "sum of 12 Bob 14 Emma 16 and so on"), (3, "12 " * 1000), (4, None), (5, "")]
+    assert found(spark, docs, [(1, "12 Bob 14 Emma 15"), (2, ""), (3, None), (None, "12 13")]) == {(1, 1)}
+    assert found(spark, [], [(1, QUESTION)]) == found(spark, docs, []) == set()

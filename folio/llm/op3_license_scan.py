@@ -1,12 +1,14 @@
 """Licence scans by sentence rules.
 
-A text is split into sentences at line ends and at [.!?;] before white space. A sentence is normalised: lower-cased,
-runs of anything but letters and digits to one space, trimmed. Normalised sentences that equal a known licence
-sentence get its identifier; a licence rule is an ordered list of identifiers and matches a document whose identifiers
-hold that list in order, other licence sentences between them or not. The licences of all rules that match are reported.
-
-Each known sentence holds one of the ANCHORS (checked when the module loads), so texts without any are settled without
-being split. Everything is DataFrame operations; the known sentences are a table of this module, so of bounded size.
+A text is split into sentences at [.!?;] before white space and at blank lines; a single line end may end a sentence or
+stand inside it, so line-wise and wrapped sentences are both found, of several at one place the longest. Comment marks are
+no letters and go. A sentence is normalised: lower-cased, runs of anything but letters and digits to one space, trimmed.
+Normalised sentences that equal a known licence sentence get its identifier; the owner in 'Neither the name of' is free. A licence rule is an ordered list of identifiers and matches a document whose identifiers
+hold that list in order, other licence sentences between them or not. The licences of all rules that match are reported, BSD-2-Clause not where
+all its texts go on as BSD-3-Clause.
+
+Each known sentence holds one of the ANCHORS, parts of single words (checked when the module loads), so texts without
+any are settled without being split. Everything is DataFrame operations; the known sentences are a table of this module, so of bounded size.
 No document meets another, so there is no shuffle.
 
 Cases: null, empty and other texts without licence sentences give no licences; repeated rows and rows with one doc_id
@@ -76,8 +78,39 @@ RULES = [
     ("Proprietary", ["rights"]),
 ]
 #: One of these is in each known sentence.
-ANCHORS = ["licens", "copyright", "redistribut", "permission", "rights reserved", "public domain"]
-LETTERS = r"[^\p{L}\p{N}]+"
+ANCHORS = ["licens", "copyright", "redistribut", "permission", "reserved", "domain"]
+#: Further sentences and rules; the SQL holds only those above.
+WRAPPED_SENTENCES = {
+    "bsd-neither": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-neither-split": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-redistribution-1": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1",
+    "bsd-source-bullet": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-grant-and": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "gpl3-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "gpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+    "gpl2-version": "either version 2 of the License, or (at your option) any later version",
+    "agpl3-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl3-work": "This work is licensed under the GNU Affero General Public License, version 3",
+}
+WRAPPED_RULES = [
+    ("BSD-2-Clause", ["bsd-redistribution-1", "bsd-source", "bsd-binary"]),
+    ("BSD-2-Clause", ["bsd-source-bullet", "bsd-binary"]),
+    ("BSD-3-Clause", ["bsd-source", "bsd-binary", "bsd-neither"]),
+    ("BSD-3-Clause", ["bsd-source-bullet", "bsd-binary", "bsd-neither"]),
+    ("BSD-3-Clause", ["bsd-binary", "bsd-neither-split"]),
+    ("ISC", ["isc-grant"]),
+    ("ISC", ["isc-grant-and"]),
+    ("GPL-3.0", ["gpl3-program"]),
+    ("GPL-2.0", ["gpl2-redistribute", "gpl2-version"]),
+    ("AGPL-3.0", ["agpl3-program"]),
+    ("AGPL-3.0", ["agpl3-work"]),
+]
+#: A licence that isn't reported where another one matches, unless the sequence also matches the pattern, a text of its own.
+SUPERSEDES = {"BSD-2-Clause": ("BSD-3-Clause", ",bsd-binary,(?!,bsd-neither)")}
+STOP = "\x02"
+#: The sentence's owner is any text; its own end is the next 'nor the names'.
+OWNER = rf"(?<![^\n{STOP}])neither[ \n]the[ \n]name[ \n]of[ \n](?:(?!neither[ \n])[^{STOP}])*?nor[ \n]the[ \n]names[ \n]of[ \n]its[ \n]contributors"
 
 
 def plain(sentence: str) -> str:
@@ -86,9 +119,10 @@ def plain(sentence: str) -> str:
 
 
 KNOWN = {plain(s): k for k, s in SENTENCES.items()}
-assert all(any(a in s for a in ANCHORS) for s in KNOWN), "a known sentence holds no anchor"
-assert all(i in SENTENCES for _, ids in RULES for i in ids)
-assert not any(re.search(r"[.!?;]\s", s) for s in SENTENCES.values()), "a known sentence would be split"
+WRAPPED_KNOWN = {plain(s): k for k, s in WRAPPED_SENTENCES.items()}
+assert all(any(a in s for a in ANCHORS) for s in KNOWN | WRAPPED_KNOWN), "a known sentence holds no anchor"
+assert all(i in SENTENCES | WRAPPED_SENTENCES for _, ids in RULES + WRAPPED_RULES for i in ids)
+assert not any(re.search(r"[.!?;]\s", s) for s in (SENTENCES | WRAPPED_SENTENCES).values()), "a known sentence would be split"
 
 
 def anchored(c):
@@ -98,18 +132,34 @@ def anchored(c):
     return out
 
 
-def scan(docs: DataFrame, known: dict[str, str] = KNOWN, rules: list = RULES) -> DataFrame:
+def boundaries(lower):
+    """The text as words between single marks: a space, a line feed at a line's end in a paragraph, STOP at a sentence's or paragraph's end."""
+    c = F.regexp_replace(F.translate(lower, STOP, "-"), r"[.!?;](\s)", f"{STOP}$1")
+    c = F.regexp_replace(c, r"\n(?:rem|dnl)[ \t]", "\n")
+    c = F.regexp_replace(c, rf"[^\p{{L}}\p{{N}}\n{STOP}]+", " ")
+    c = F.regexp_replace(c, rf" ?([\n{STOP}]) ?", "$1")
+    c = F.trim(F.regexp_replace(c, rf"\n{{2,}}|\n*{STOP}[\n{STOP}]*", STOP))
+    return F.regexp_replace(c, OWNER, "neither the name of the copyright holder nor the names of its contributors")
+
+
+def scan(docs: DataFrame, known: dict[str, str] | None = None, rules: list | None = None, supersedes: dict | None = None) -> DataFrame:
     """The documents with n_sentences (licence sentences), sequence (their identifiers in order) and licenses (sorted names)."""
+    known = KNOWN | WRAPPED_KNOWN if known is None else known
+    supersedes = SUPERSEDES if supersedes is None and rules is None else supersedes or {}
+    rules = RULES + WRAPPED_RULES if rules is None else rules
     lower = F.lower(F.coalesce("text", F.lit("")))
-    cut = F.split(F.regexp_replace(lower, r"[.!?;]+(\s)", "\n$1"), "\n")
-    normal = F.transform(F.filter(cut, anchored), lambda s: F.trim(F.regexp_replace(F.regexp_replace(s, r"[.!?;]+$", ""), LETTERS, " ")))
+    forms = "|".join(s.replace(" ", r"[ \n]") for s in sorted(known, key=len, reverse=True))
+    seen = F.regexp_extract_all(boundaries(lower), F.lit(rf"(?<![^\n{STOP}])(?:{forms})(?![^\n{STOP}])"), F.lit(0))
     ids = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
-    found = F.filter(F.transform(normal, lambda s: F.element_at(ids, s)), lambda x: x.isNotNull())
+    found = F.transform(seen, lambda s: F.element_at(ids, F.translate(s, "\n", " ")))
     out = docs.withColumn("sequence", F.when(anchored(lower), found).otherwise(F.array().cast("array<string>")))
     held = F.array_join(F.transform("sequence", lambda x: F.concat(F.lit(","), x, F.lit(","))), "")
     matched = [F.when(held.like("%," + ",%,".join(i) + ",%"), F.lit(name)) for name, i in rules]
     out = out.withColumn("n_sentences", F.size("sequence").cast("long"))
-    return out.withColumn("licenses", F.array_sort(F.array_distinct(F.array_compact(F.array(*matched)))))
+    names = F.array_distinct(F.array_compact(F.array(*matched)))
+    for weaker, (stronger, own) in supersedes.items():
+        names = F.when(F.array_contains(names, stronger) & ~held.rlike(own), F.array_remove(names, weaker)).otherwise(names)
+    return out.withColumn("licenses", F.array_sort(names))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

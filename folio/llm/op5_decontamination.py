@@ -1,91 +1,121 @@
-"""Benchmark decontamination by template canonicalisation.
-
-Texts become tokens: maximal runs of letters, marks and digits, lower-cased. Numbers, names and units are replaced by
-<num>, <name> and <unit>; the values replaced are the token's slots. A benchmark item's template windows are its runs
-of `width` tokens (the whole item if it is shorter). A document's window matches an item's if the templates are
-equal. Matches of one item on one diagonal of a document are taken together: they are consistent if no benchmark
-value stands for two document values and no document value for two benchmark values. A document is contaminated by
-an item if on one diagonal consistent matches make up at least `share` hundredths of the item's windows; so questions
-whose numbers, names and units were changed throughout are caught, and chance matches of a window are not.
-
-Each window has an anchor, its longest literal token (of equals the greatest). The documents' tokens join the anchors
-by hash, and only at the anchors found are windows cut out and joined by their template's hash and equality. The
-benchmark's tables are broadcast only if a count shows them small, else Spark shuffles both sides. Everything is
-DataFrame operations; the only text shuffle is of documents against their own anchors' places.
-
-Cases: null texts match nothing; windows without `literals` literal tokens are not searched, and an item without
-others matches nothing; rows with the same doc_id are one document, repeated item rows one item; rows with null
-doc_id or item_id are left out; other columns are ignored.
+r"""Benchmark decontamination by template canonicalisation.
+
+Texts become canonical tokens. A number with its separators (3.5, 1,200), a number word, a name or a unit is a value, any
+other run of letters, marks and digits a literal, lower-cased; a run of numbers or of names (Mary Ann) is one value. In the
+template a value is the placeholder of its type. A name is one of NAMES, or a capitalised word after a lower-case letter,
+comma or semicolon and a space, but not right after one of NOUN_AFTER: German writes its nouns with capitals.
+
+A benchmark item's windows are its runs of `width` tokens; an item of 10 tokens to twice the width has windows of half its
+tokens, a shorter one of `width` or all. A window with at least `literals` literals (or of literals only) is searched by its
+template, a weaker one by its exact tokens, so all windows are searched. Matched windows of an item are taken together over neighbouring diagonals of a
+document, each at most a quarter of the item's tokens from the next, and on each diagonal alone. They are consistent if no
+benchmark value stands for two document values; one document value may stand for several. A document is contaminated by an
+item if consistent windows cover at least `share` hundredths of the item's tokens, counted on both sides, the smaller count
+holding. So changed values of any length and single added, missing or changed words are found.
+
+Each window has an anchor, its longest literal (longest value where it has none). The documents' tokens are probed for the
+anchors, and only around those found are windows cut and joined on the hash of their template. Up to BROADCAST_ROWS, the
+benchmark's tables are broadcast and the context rides along in the exploded row, so that no text is shuffled; beyond,
+places of anchors are joined by a shuffle and go back to their document by doc_id. All of it is DataFrame operations.
+
+Cases: null and empty texts and items match nothing; rows with the same doc_id are one document, repeated item rows one
+item, and texts of one item_id its variants; rows with null doc_id or item_id are left out; control characters used as
+marks count as spaces; a very long text costs its own tokens; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, sized, stored
+from .common import documents, stored
 
-#: Common given names, units and number words.
+#: Common given names, units, number words, and German words before nouns.
 NAMES = "alice bob carol dave eve frank grace henry ivan james john mary maria anna emma liam noah olivia sophia mia lucas paul peter tom sam sara sarah david daniel michael linda susan karen jane jack kate laura mark emily".split()
 UNITS = "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds oz ounce ounces ml l liter liters litre litres second seconds minute minutes hour hours day days week weeks month months year years meter meters metre metres kilometer kilometers kilometre kilometres percent dollar dollars euro euros cent cents degree degrees mph kph".split()
 NUMBERS = "one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split()
-MARK = "\x01"
+NOUN_AFTER = "der die das den dem des ein eine einen einem einer eines kein keine keinen keinem keiner mein meine meinen meinem meiner sein seine seinen seinem seiner ihr ihre ihren ihrem ihrer und oder mit von zu zum zur im am auf bei nach aus vor".split()
+#: Marks at the end of a number, a name and a unit; NAME also stands before a name until it is lower-cased.
+NUM, NAME, UNIT, POINT = "\x03", "\x04", "\x05", "\x02"
 #: Most rows of a benchmark table that is broadcast.
 BROADCAST_ROWS = 200_000
 
 
-def tokens(text):
-    """The tokens of a text as an array; a capitalised word after a lower-case letter or comma is marked as a name."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), r"([\p{Ll},;] )(\p{Lu}\p{Ll}+)", f"$1{MARK}$2")
-    return F.split(F.trim(F.regexp_replace(F.lower(named), rf"[^\p{{L}}\p{{M}}\p{{N}}{MARK}]+", " ")), " ")
+def canonical(text):
+    """The canonical tokens of a text, parted by spaces; a value ends in the mark of its type."""
+    c = F.translate(F.coalesce(text, F.lit("")), NUM + NAME + UNIT + POINT, "    ")
+    word = lambda values: "(?:" + "|".join(values) + ")"
+    c = F.regexp_replace(c, rf"(?<=[\p{{Ll}},;] )(?<!(?<![\p{{L}}\p{{M}}\p{{N}}])(?i:{'|'.join(NOUN_AFTER)}) )(?=\p{{Lu}}\p{{Ll}})", NAME)
+    c = F.regexp_replace(F.lower(c), r"(?<=\p{N})[.,](?=\p{N})", POINT)
+    c = F.trim(F.regexp_replace(c, rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{POINT}]+", " "))
+    c = F.regexp_replace(c, rf"(?<![^ ])(\p{{N}}[^ ]*|{word(NUMBERS)}(?![^ ]))", f"$1{NUM}")
+    c = F.regexp_replace(c, rf"(?<![^ ])(?:{NAME}([^ {NAME}]+)|({word(NAMES)})(?![^ ]))", f"$1$2{NAME}")
+    c = F.regexp_replace(c, rf"(?<![^ ])({word(UNITS)})(?![^ ])", f"$1{UNIT}")
+    return F.regexp_replace(c, rf"(?<={NUM}) (?=[^ ]*{NUM})|(?<={NAME}) (?=[^ ]*{NAME})", "_")
 
 
-def typed(t):
-    """A token's place in the template."""
-    return F.when(t.rlike(r"^\p{N}") | t.isin(NUMBERS), "<num>").when(t.startswith(MARK) | t.isin(NAMES), "<name>").when(t.isin(UNITS), "<unit>").otherwise(t)
+def tokens(rows: DataFrame, *kept: str) -> DataFrame:
+    """Rows (kept, v, k): the canonical tokens, and the same with values replaced by the marks of their types."""
+    rows = rows.select(*kept, canonical(F.col("text")).alias("c"))
+    return rows.select(*kept, F.split("c", " ").alias("v"), F.split(F.regexp_replace("c", rf"(?<![^ ])[^ ]*([{NUM}{NAME}{UNIT}])(?![^ ])", "$1"), " ").alias("k"))
+
+
+def is_value(t):
+    return t.rlike(f"[{NUM}{NAME}{UNIT}]$")
 
 
 def windows(benchmark: DataFrame, width: int, literals: int) -> DataFrame:
-    """Rows (item_id, at, n_windows, raw, template, anchor, off) of each item's searched windows."""
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), tokens(F.col("text")).alias("t")).dropDuplicates()
-    items = items.withColumn("w", F.least(F.lit(width), F.size("t")))
-    at = items.select("item_id", "t", "w", F.explode(F.sequence(F.lit(0), F.size("t") - F.col("w"))).alias("at"))
-    cut = at.select("item_id", "at", F.slice("t", F.col("at") + 1, F.col("w")).alias("raw"))
-    cut = cut.withColumn("typed", F.transform("raw", typed))
-    literal = F.filter(F.transform("typed", lambda t, i: F.struct(F.length(t).alias("n"), t.alias("t"), (-i).alias("back"))), lambda x: ~x["t"].startswith("<") & (x["t"] != ""))
-    cut = cut.withColumn("literal", literal).where(F.size("literal") >= F.least(F.lit(literals), F.size("raw")))
-    top = F.array_max("literal")
-    cut = cut.select("item_id", "at", "raw", F.array_join("typed", " ").alias("template"), top["t"].alias("anchor"), (-top["back"]).alias("off"))
-    count = cut.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    return cut.join(count, "item_id")
+    """Rows (item_id, variant, at, n, slack, w, strong, raw, form, anchor, off) of each item's windows."""
+    items = tokens(benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id").where(F.array_join("v", "") != "").dropDuplicates()
+    n = F.size("v")
+    items = items.withColumn("w", F.when(n.between(10, 2 * width), F.least(F.lit(width), F.floor(n / 2).cast("int"))).otherwise(F.least(F.lit(width), n)))
+    at = items.select("item_id", F.xxhash64("v").alias("variant"), "v", "k", "w", F.explode(F.sequence(F.lit(0), n - F.col("w"))).alias("at"))
+    cut = at.select("item_id", "variant", "at", n.alias("n"), "w", F.slice("v", F.col("at") + 1, F.col("w")).alias("raw"), F.slice("k", F.col("at") + 1, F.col("w")).alias("typed"))
+    cut = cut.withColumn("strong", F.size(F.filter("raw", lambda t: ~is_value(t))) >= F.least(F.lit(literals), F.col("w")))
+    top = F.array_max(F.transform("raw", lambda t, i: F.struct((~is_value(t)).alias("literal"), F.length(t).alias("n"), t.alias("t"), (-i).alias("back"))))
+    form = F.when(F.col("strong"), F.array_join("typed", " ")).otherwise(F.array_join("raw", " "))
+    return cut.select("item_id", "variant", "at", "n", F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int")).alias("slack"), "w", "strong", "raw", form.alias("form"), top["t"].alias("anchor"), (-top["back"]).alias("off"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int = 3) -> DataFrame:
-    """Rows (doc_id, item_id, start, at, n_windows, slots): each matched window, with the slots' (benchmark, document) values."""
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), tokens(F.col("text")).alias("t"))
+    """Rows (doc_id, item_id, variant, start, at, w, n, slack, slots): each matched window, with its values as (item's, document's)."""
+    docs = tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
     searched = stored(windows(benchmark, width, literals), "windows")
-    spread = docs.select("doc_id", F.posexplode("t").alias("pos", "anchor"))
-    hits = spread.join(sized(searched.select("anchor").distinct(), BROADCAST_ROWS), "anchor").groupBy("doc_id").agg(F.collect_set("pos").alias("hits"))
-    around = docs.join(hits, "doc_id").select("doc_id", "t", "hits")
-    context = F.transform("hits", lambda p: F.struct(p.alias("pos"), F.greatest(p - (width - 1), F.lit(0)).alias("from"), F.slice("t", F.greatest(p - (width - 1), F.lit(0)) + 1, 2 * width - 1).alias("ctx"), F.size("t").alias("n"), F.get("t", p).alias("anchor")))
-    around = around.select("doc_id", F.explode(context).alias("h")).select("doc_id", "h.*")
-    found = around.join(sized(searched, BROADCAST_ROWS), "anchor").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + size(raw) <= n")
-    found = found.withColumn("own", F.slice("ctx", F.col("start") - F.col("from") + 1, F.size("raw")))
-    found = found.where(F.array_join(F.transform("own", typed), " ") == F.col("template"))
-    slots = F.filter(F.zip_with("raw", "own", lambda b, d: F.when(typed(b).startswith("<"), F.struct(F.translate(b, MARK, "").alias("b"), F.translate(d, MARK, "").alias("d")))), lambda x: x.isNotNull())
-    return found.select("doc_id", "item_id", "start", "at", "n_windows", slots.alias("slots"))
+    places = searched.groupBy(F.col("anchor").alias("token")).agg(F.collect_set(F.struct("off", "w", "strong")).alias("cuts"))
+    small = searched.count() <= BROADCAST_ROWS
+    if small:
+        hits = docs.select("doc_id", "v", "k", F.posexplode("v").alias("pos", "token")).join(F.broadcast(places), "token")
+    else:
+        found = docs.select("doc_id", F.posexplode("v").alias("pos", "token")).join(places, "token").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "cuts")).alias("found"))
+        hits = docs.join(found, "doc_id").select("doc_id", "v", "k", F.explode("found").alias("f")).select("doc_id", "v", "k", "f.pos", "f.cuts")
+    cut = hits.select("doc_id", "v", "k", "pos", F.explode("cuts").alias("c")).withColumn("start", F.col("pos") - F.col("c.off")).where("start >= 0 and start + c.w <= size(v)")
+    cut = cut.select("doc_id", "start", "c.w", "c.strong", F.slice("v", F.col("start") + 1, F.col("c.w")).alias("own"), F.slice("k", F.col("start") + 1, F.col("c.w")).alias("typed"))
+    cut = cut.select("doc_id", "start", "w", "strong", "own", F.array_join(F.when(F.col("strong"), F.col("typed")).otherwise(F.col("own")), " ").alias("form"))
+    key = F.xxhash64("w", "strong", "form").alias("h")
+    side = searched.select(key, F.col("form").alias("form_"), "item_id", "variant", "at", "n", "slack", "raw")
+    found = cut.withColumn("h", key).join(F.broadcast(side) if small else side, "h").where("form = form_")
+    slots = F.filter(F.zip_with("raw", "own", lambda b, d: F.when(is_value(b), F.struct(b.alias("b"), d.alias("d")))), lambda x: x.isNotNull())
+    return found.select("doc_id", "item_id", "variant", "start", "at", "w", "n", "slack", slots.alias("slots")).distinct()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int = 3, share: int = 50) -> DataFrame:
-    """Rows (doc_id, item_id, n_matched, n_windows, n_slots, verbatim) of contaminated pairs: the best diagonal of each."""
-    by = matches(docs, benchmark, width, literals).groupBy("doc_id", "item_id", (F.col("start") - F.col("at")).alias("diagonal"))
-    of = by.agg(F.size(F.collect_set("at")).cast("long").alias("n_matched"), F.max("n_windows").alias("n_windows"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
-    of = of.withColumn("n_slots", F.size("slots").cast("long"))
-    consistent = (F.size(F.array_distinct(F.transform("slots", lambda s: s["b"]))) == F.size("slots")) & (F.size(F.array_distinct(F.transform("slots", lambda s: s["d"]))) == F.size("slots"))
-    of = of.where(consistent & (100 * F.col("n_matched") >= share * F.col("n_windows")))
+    """Rows (doc_id, item_id, n_covered, n_tokens, n_slots, verbatim) of contaminated pairs: the best place of each."""
+    pair = ["doc_id", "item_id", "variant", "n", "slack"]
+    by = matches(docs, benchmark, width, literals).groupBy(*pair, (F.col("start") - F.col("at")).alias("diagonal"))
+    of = by.agg(F.collect_list(F.struct("at", "start", "w")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    line = Window.partitionBy(*pair).orderBy("diagonal")
+    far = (F.col("diagonal") - F.lag("diagonal").over(line) > F.col("slack")).cast("int")
+    of = of.withColumn("far", far).withColumn("island", F.coalesce(F.sum("far").over(line), F.lit(0)))
+    of = of.groupBy(*pair, "island").agg(F.collect_list(F.struct("spans", "slots")).alias("parts"))
+    whole = F.struct(F.flatten(F.transform("parts", lambda p: p["spans"])).alias("spans"), F.array_distinct(F.flatten(F.transform("parts", lambda p: p["slots"]))).alias("slots"))
+    of = of.select(*pair, F.explode(F.concat(F.array(whole), F.col("parts"))).alias("p")).select(*pair, "p.*")
+    covered = lambda side: F.size(F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s[side], s[side] + s["w"] - 1)))))
+    of = of.withColumn("n_covered", F.least(covered("at"), covered("start")).cast("long")).withColumn("n_slots", F.size("slots").cast("long"))
+    consistent = F.size(F.array_distinct(F.transform("slots", lambda s: s["b"]))) == F.size("slots")
+    of = of.where(consistent & (100 * F.col("n_covered") >= share * F.col("n")))
     of = of.withColumn("verbatim", F.forall("slots", lambda s: s["b"] == s["d"]))
-    best = F.max(F.struct("n_matched", "verbatim", F.col("n_slots"), "n_windows")).alias("x")
-    return of.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.n_matched", "x.n_windows", "x.n_slots", "x.verbatim")
+    best = F.max(F.struct("n_covered", "verbatim", "n_slots", F.col("n").cast("long").alias("n_tokens"))).alias("x")
+    return of.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.n_covered", "x.n_tokens", "x.n_slots", "x.verbatim")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,32 +126,59 @@ def _in(values):
     return ", ".join(f"'{v}'" for v in values)
 
 
-_TYPED = rf"CASE WHEN regexp_matches(%s, '^\p{{N}}') OR %s IN ({_in(NUMBERS)}) THEN '<num>' WHEN starts_with(%s, chr(1)) OR %s IN ({_in(NAMES)}) THEN '<name>' WHEN %s IN ({_in(UNITS)}) THEN '<unit>' ELSE %s END".replace("%s", "x")
-_TOKENS = r"string_split(trim(regexp_replace(lower(regexp_replace(coalesce(text, ''), '([\p{Ll},;] )(\p{Lu}\p{Ll}+)', '\1' || chr(1) || '\2', 'g')), '[^\p{L}\p{M}\p{N}\x01]+', ' ', 'g')), ' ')"
+_NOUN = "regexp_replace(%s, '(^|[^\\p{L}\\p{M}\\p{N}])((?i:" + "|".join(NOUN_AFTER) + ")) (\\p{Lu}\\p{Ll})', '\\1\\2 ' || chr(7) || '\\3', 'g')"
+_NAMED = "regexp_replace(%s, '([\\p{Ll},;]) (\\p{Lu}\\p{Ll})', '\\1 ' || chr(4) || '\\2', 'g')"
+_JOINED = "regexp_replace(%s, '(\\p{N})[.,](\\p{N})', '\\1' || chr(2) || '\\2', 'g')"
+
+
+def _twice(form, inner):
+    return form.replace("%s", form.replace("%s", inner))
+
+
+_FLAT = _twice(_JOINED, "lower(replace(" + _twice(_NAMED, _twice(_NOUN, "translate(coalesce(text, ''), chr(2) || chr(3) || chr(4) || chr(5) || chr(7), '     ')")) + ", chr(7), ''))")
 ORACLE = rf"""
-WITH b AS (
-  SELECT item_id, place, raw, list_transform(raw, lambda x: {_TYPED}) AS typed FROM (
-    SELECT item_id, place, t[place + 1 : place + least(8, len(t))] AS raw FROM (
-      SELECT item_id, t, unnest(range(0, len(t) - least(8, len(t)) + 1)) AS place FROM (SELECT DISTINCT item_id, {_TOKENS} AS t FROM benchmark)))
-), s AS (
-  SELECT *, len(raw) AS w, array_to_string(typed, ' ') AS template, count(*) OVER (PARTITION BY item_id) AS n_windows FROM b
-  WHERE len(list_filter(typed, lambda x: NOT starts_with(x, '<') AND x <> '')) >= least(3, len(raw))
+WITH x AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL UNION ALL SELECT 'b', item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)
+), r AS (
+  SELECT row_number() OVER () AS rid, side, id, string_split(trim(regexp_replace({_FLAT}, '[^\p{{L}}\p{{M}}\p{{N}}\x02\x04]+', ' ', 'g')), ' ') AS t FROM x
+), e AS (
+  SELECT rid, side, id, pos, t[pos] AS x FROM (SELECT *, unnest(range(1, len(t) + 1)) AS pos FROM r)
+), f AS (
+  SELECT rid, side, id, pos, replace(x, chr(4), '') AS x, CASE WHEN starts_with(x, chr(4)) THEN 'name' WHEN regexp_matches(x, '^\p{{N}}') OR x IN ({_in(NUMBERS)}) THEN 'num' WHEN x IN ({_in(NAMES)}) THEN 'name' WHEN x IN ({_in(UNITS)}) THEN 'unit' END AS kind FROM e
+), g AS (
+  SELECT *, CASE WHEN kind IN ('num', 'name') AND kind = lag(kind) OVER (PARTITION BY rid ORDER BY pos) THEN 0 ELSE 1 END AS first FROM f
+), h AS (
+  SELECT *, sum(first) OVER (PARTITION BY rid ORDER BY pos) AS place FROM g
+), c AS (
+  SELECT rid, side, id, place, string_agg(x, '_' ORDER BY pos) || coalesce('<' || any_value(kind), '') AS v, coalesce('<' || any_value(kind), any_value(x)) AS k FROM h GROUP BY rid, side, id, place
+), a AS (
+  SELECT rid, side, id, list(v ORDER BY place) AS v, list(k ORDER BY place) AS k FROM c GROUP BY ALL
+), i AS (
+  SELECT DISTINCT id AS item_id, v, k, len(v) AS n, CASE WHEN len(v) BETWEEN 10 AND 16 THEN least(8, len(v) // 2) ELSE least(8, len(v)) END AS w, greatest(1, len(v) // 4) AS slack FROM a WHERE side = 'b' AND v <> ['']
+), b AS (
+  SELECT *, CASE WHEN len(list_filter(raw, lambda x: NOT contains(x, '<'))) >= least(3, w) THEN 's ' || array_to_string(typed, ' ') ELSE 'w ' || array_to_string(raw, ' ') END AS form FROM (
+    SELECT item_id, v AS variant, n, w, slack, place, v[place + 1 : place + w] AS raw, k[place + 1 : place + w] AS typed FROM (SELECT *, unnest(range(0, n - w + 1)) AS place FROM i))
 ), d AS (
-  SELECT doc_id, w, start, t[start + 1 : start + w] AS own FROM (
-    SELECT doc_id, t, w, unnest(range(0, len(t) - w + 1)) AS start FROM (SELECT doc_id, {_TOKENS} AS t FROM documents), (SELECT DISTINCT w FROM s) WHERE len(t) >= w)
+  SELECT id AS doc_id, w, start, v[start + 1 : start + w] AS own, k[start + 1 : start + w] AS typed FROM (
+    SELECT *, unnest(range(0, len(v) - w + 1)) AS start FROM a, (SELECT DISTINCT w FROM b) WHERE side = 'd' AND len(v) >= w)
 ), m AS (
-  SELECT doc_id, item_id, start - place AS diagonal, place, n_windows, raw, own FROM (SELECT *, array_to_string(list_transform(own, lambda x: {_TYPED}), ' ') AS template FROM d) d JOIN s USING (w, template)
-), p AS (
-  SELECT doc_id, item_id, diagonal, replace(z[1], chr(1), '') AS b, replace(z[2], chr(1), '') AS v FROM (
-    SELECT doc_id, item_id, diagonal, unnest(list_zip(raw, own, list_transform(raw, lambda x: {_TYPED}))) AS z FROM m) WHERE starts_with(z[3], '<')
-), q AS (
-  SELECT doc_id, item_id, diagonal, count(DISTINCT (b, v)) AS n_slots, count(DISTINCT b) AS nb, count(DISTINCT v) AS nv, bool_and(b = v) AS same FROM p GROUP BY ALL
-), g AS (
-  SELECT doc_id, item_id, diagonal, count(DISTINCT place) AS n_matched, max(n_windows) AS n_windows FROM m GROUP BY ALL
+  SELECT doc_id, item_id, variant, n, slack, b.w, start, place, start - place AS diagonal, raw, own FROM (
+    SELECT *, CASE WHEN len(list_filter(own, lambda x: NOT contains(x, '<'))) >= least(3, w) THEN 's ' || array_to_string(typed, ' ') ELSE 'w ' || array_to_string(own, ' ') END AS form FROM d) d JOIN b USING (w, form)
+), l AS (
+  SELECT *, sum(CASE WHEN diagonal - before > slack THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, item_id, variant ORDER BY diagonal) AS island FROM (
+    SELECT *, lag(diagonal) OVER (PARTITION BY doc_id, item_id, variant ORDER BY diagonal) AS before FROM (SELECT DISTINCT doc_id, item_id, variant, slack, diagonal FROM m))
+), u AS (
+  SELECT m.*, 'd' || m.diagonal AS unit FROM m UNION ALL SELECT m.*, 'i' || island FROM m JOIN l USING (doc_id, item_id, variant, diagonal)
+), o AS (
+  SELECT doc_id, item_id, variant, n, unit, least(count(DISTINCT p), count(DISTINCT q)) AS n_covered FROM (
+    SELECT doc_id, item_id, variant, n, unit, unnest(range(place, place + w)) AS p, unnest(range(start, start + w)) AS q FROM u) GROUP BY ALL
+), s AS (
+  SELECT doc_id, item_id, variant, unit, count(DISTINCT z) AS n_slots, count(DISTINCT z[1]) AS n_values, bool_and(z[1] = z[2]) AS same FROM (
+    SELECT doc_id, item_id, variant, unit, unnest(list_zip(raw, own)) AS z FROM u) WHERE contains(z[1], '<') GROUP BY ALL
 )
-SELECT doc_id, item_id, n_matched, n_windows, n_slots, verbatim FROM (
-  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, verbatim DESC, n_slots DESC, n_windows DESC) AS k FROM (
-    SELECT g.doc_id, g.item_id, n_matched, n_windows, coalesce(n_slots, 0) AS n_slots, coalesce(same, true) AS verbatim
-    FROM g LEFT JOIN q ON g.doc_id = q.doc_id AND g.item_id = q.item_id AND g.diagonal = q.diagonal
-    WHERE coalesce(nb = n_slots AND nv = n_slots, true) AND 100 * n_matched >= 50 * n_windows)) WHERE k = 1
+SELECT doc_id, item_id, n_covered, CAST(n AS BIGINT) AS n_tokens, n_slots, verbatim FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_covered DESC, verbatim DESC, n_slots DESC, n DESC) AS first FROM (
+    SELECT o.doc_id, o.item_id, n_covered, n, coalesce(n_slots, 0) AS n_slots, coalesce(same, true) AS verbatim
+    FROM o LEFT JOIN s ON o.doc_id = s.doc_id AND o.item_id = s.item_id AND o.variant = s.variant AND o.unit = s.unit
+    WHERE coalesce(n_values = n_slots, true) AND 100 * n_covered >= 50 * n)) WHERE first = 1
 """

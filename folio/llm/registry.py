@@ -11,7 +11,6 @@ NAMES = [
     "op3_license_scan",
     "op4_suffix_dedup",
     "op5_decontamination",
-    "op5_edited_items",
     "op6_sentencepiece",
     "op7_quality_rules",
     "op8_token_counts",

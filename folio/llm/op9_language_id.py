@@ -9,6 +9,9 @@ likelihoods. Starting from all languages, the one of least proportion is dropped
 likelihood less a penalty of half the log of the text's strings for each language kept. The prediction is the language
 of the largest proportion, and its score that proportion. Only the text is looked at.
 
+Numbers of any script (½, Ⅳ, ①) are no letters. The model goes to the driver and the tasks: BINS x languages numbers, 65 MB of
+float32 in a task and twice that at the driver for the most languages allowed; more raise an error before anything is fetched.
+
 Cases: a text that is null or has no letter gives und and score 0, as does every text if nothing could be learned;
 rows with null lang teach nothing; ties go to the language first in the alphabet; repeated rows count as often as they
 occur; a null doc_id hashes as the empty text; other columns are ignored.
@@ -16,10 +19,9 @@ occur; a null doc_id hashes as the empty text; other columns are ignored.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +31,14 @@ from .textbytes import BYTE, U, mix
 GRAM, BINS, ROUNDS = 4, 1 << 15, 12
 #: Most languages that can be learned: bounds the model at BINS times as many rows.
 LANGUAGES = 500
-OTHER = re.compile(r"[\W\d_]+")
+OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+LETTER = regex.compile(r"\p{L}")
 
 
 def bins_of(text: str) -> np.ndarray:
     """The bins of a text's strings, in order; empty if it has no letter."""
     own = OTHER.sub(" ", text.lower()).strip()
-    if not own:
+    if not LETTER.search(own):
         return np.zeros(0, np.int64)
     h = BYTE[np.frombuffer(f" {own} ".encode(), np.uint8)]
     out = h[: max(1, len(h) - GRAM + 1)].copy()
@@ -90,7 +93,7 @@ def mixture(grams: np.ndarray, logs: np.ndarray) -> np.ndarray:
     kept = np.arange(logs.shape[1])
     value, share = fit(kept)
     while len(kept) > 1:
-        fewer = np.delete(kept, int(np.argmin(share)))
+        fewer = np.delete(kept, len(kept) - 1 - int(np.argmin(share[::-1])))
         new, part = fit(fewer)
         if new < value:
             break

@@ -2,18 +2,21 @@
 
 Tokens are the words, A-Z lower-cased, and one end for each text.
 
-1. Counts of all training tokens, combined before the shuffle, give the base score and the emissions of rare words.
-2. The SYMBOLS most frequent words are symbols of their own; a rarer word is the symbol of its length in bytes (up to
-   CLASSES) times its smoothed share among that class's words, (count + 1) / (tokens + words + 1); the end is a symbol.
-3. Baum-Welch: in each round every task runs the scaled forward and backward recursions over all its training texts,
-   cut into runs of SEGMENT tokens, and adds up expected counts; these are summed across tasks and give the next
-   parameters. The model is bounded by STATES times the symbols, whatever the corpus.
+1. Counts of all training tokens, combined before the shuffle, give the base score and the emissions of rare words; this
+   table grows with the corpus and stays distributed.
+2. The most frequent words, at most SYMBOLS, are symbols of their own; a rarer word is the symbol of its length in bytes (up
+   to CLASSES) times its smoothed share among that class's words, (count + 1) / (tokens + words + 1); the end is a symbol.
+   Which words are frequent is a threshold on counts, found in a histogram of them, so only those words go to the driver.
+3. Baum-Welch: in each round every task runs the scaled forward and backward recursions over its whole training texts and
+   adds up expected counts and the log likelihood; these are summed across tasks and give the next parameters. Rounds go on
+   until the likelihood of a token gains less than TOLERANCE of itself, or ROUNDS. The model is bounded by the states times
+   the symbols, whatever the corpus.
 4. Scores: the scaled forward recursion over each whole text gives the exact log likelihood of its symbols, to which
-   the rare words' shares are added. Counts of the HEAD most frequent words go to the tasks, a bounded table; those of
-   rarer words are joined by hash and summed for each text.
+   the rare words' shares are added. Counts of the most frequent words, at most HEAD, go to the tasks; those of rarer words
+   are joined by hash and summed for each text.
 
-Words are compared by 64-bit hashes. Rows of a batch are scored together, longest first, so a long text costs its own
-steps only.
+Words are compared by 64-bit hashes. Rows of a batch run together, longest first, so a long text costs its own steps only;
+a text of more than BLOCK tokens keeps its forward probabilities at a few places and runs forward from them again.
 
 Cases: a null text is empty and has its end only; repeated rows are scored each and count as often as they occur; a
 null doc_id hashes as the empty text; without training texts every token has base probability 1 and the model's
@@ -30,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import documents, stored
 from .textbytes import U, chunks, mix, spread, word_table
 
-STATES, SYMBOLS, CLASSES, HEAD, SEGMENT, ROUNDS = 6, 8_192, 16, 200_000, 64, 2
-END = SYMBOLS + CLASSES
+STATES, SYMBOLS, CLASSES, HEAD = 6, 65_536, 16, 200_000
+ROUNDS, TOLERANCE, BLOCK = 8, 0.002, 1_000_000
 LN10 = float(np.log(10))
 
 
@@ -60,13 +63,15 @@ def counted(batches):
 
 
 class Head:
-    """The most frequent words in the order of their hashes, with counts and symbols."""
+    """The most frequent words in the order of their hashes, with counts; those counted `least` times or more are symbols."""
 
-    def __init__(self, rows: list):
-        order = np.argsort([r.word for r in rows], kind="stable") if rows else np.zeros(0, np.int64)
-        self.words = np.array([rows[i].word for i in order], np.int64)
-        self.n = np.array([rows[i].n for i in order], np.int64)
-        self.symbol = np.where(order < SYMBOLS, order, -1).astype(np.int32)
+    def __init__(self, words: np.ndarray, n: np.ndarray, least: int):
+        order = np.argsort(words, kind="stable")
+        self.words, self.n = words[order], n[order]
+        own = self.n >= least
+        self.kinds = int(own.sum())
+        self.end = self.kinds + CLASSES
+        self.symbol = np.where(own, np.cumsum(own) - 1, -1).astype(np.int32)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The place of each word, or -1."""
@@ -78,82 +83,105 @@ class Head:
     def symbols(self, h: np.ndarray, size: np.ndarray) -> np.ndarray:
         at = self.find(h)
         own = np.where(at >= 0, self.symbol[at] if len(self.symbol) else -1, -1)
-        return np.where(own >= 0, own, SYMBOLS + np.clip(size, 1, CLASSES) - 1)
+        return np.where(own >= 0, own, self.kinds + np.clip(size, 1, CLASSES) - 1)
 
 
 def sequences(batch: pa.Array, head: Head):
     """The symbols of all texts one after the other, an end after each, and the texts' bounds."""
     for lo, hi, h, size, bounds in worded(batch):
         own = head.symbols(h, size)
-        out = np.insert(own, bounds[1:], END)
+        out = np.insert(own, bounds[1:], head.end)
         yield lo, hi, h, bounds, out, bounds + np.arange(len(bounds))
 
 
 class Model:
     """first: probabilities of the state at a text's start; move: of the next state; emit: symbols x states."""
 
-    def __init__(self, first, inner, move, emit):
-        self.first, self.inner, self.move, self.emit = first, inner, move, emit
+    def __init__(self, first, move, emit):
+        self.first, self.move, self.emit = first, move, emit
 
     @classmethod
-    def start(cls, share: np.ndarray, seed: int = 7):
+    def start(cls, share: np.ndarray, states: int = STATES, seed: int = 7):
         rng = np.random.default_rng(seed)
-        emit = share[:, None] * rng.uniform(0.5, 1.5, (len(share), STATES))
-        move = rng.uniform(0.5, 1.5, (STATES, STATES)) + 2 * np.eye(STATES)
-        even = np.full(STATES, 1 / STATES)
-        return cls(even, even, move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
-
-    def expected(self, symbols: np.ndarray, begins: np.ndarray, sums: np.ndarray) -> None:
-        """Adds expected counts to sums: rows of symbols, then STATES rows of moves, the first states, the inner ones."""
-        lengths = np.diff(np.append(begins, len(symbols)))
-        parts = -(-lengths // SEGMENT)
-        text = np.repeat(np.arange(len(begins)), parts)
-        k = np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)
-        start = begins[text] + k * SEGMENT
-        size = np.minimum(SEGMENT, lengths[text] - k * SEGMENT)
-        for size_now in (range(SEGMENT, SEGMENT + 1), range(1, SEGMENT)):
-            at = np.flatnonzero((size >= size_now.start) & (size < size_now.stop))
-            at = at[np.argsort(-size[at], kind="stable")]
-            for lo in range(0, len(at), 4096):
-                self._pass(symbols, start[at[lo : lo + 4096]], size[at[lo : lo + 4096]], k[at[lo : lo + 4096]] == 0, sums)
-
-    def _pass(self, symbols, start, size, leads, sums) -> None:
-        steps, n = int(size[0]), len(start)
+        emit = share[:, None] * rng.uniform(0.5, 1.5, (len(share), states))
+        move = rng.uniform(0.5, 1.5, (states, states)) + 2 * np.eye(states)
+        return cls(np.full(states, 1 / states), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+    def sums(self) -> np.ndarray:
+        """Room for expected counts: rows of symbols, then of moves, the first states, and the log likelihood."""
+        return np.zeros((len(self.emit) + len(self.move) + 2, len(self.move)))
+
+    def expected(self, symbols: np.ndarray, bounds: np.ndarray, sums: np.ndarray) -> None:
+        """Adds the expected counts of whole texts to sums, a block of at most BLOCK tokens or one text at a time."""
+        size = np.diff(bounds)
+        order = np.argsort(-size, kind="stable")
+        done = np.cumsum(size[order])
+        lo = 0
+        while lo < len(order):
+            hi = max(lo + 1, int(np.searchsorted(done, (done[lo - 1] if lo else 0) + BLOCK, side="right")))
+            self._block(symbols, bounds[:-1][order[lo:hi]], size[order[lo:hi]], sums)
+            lo = hi
+
+    def _block(self, symbols, start, size, sums) -> None:
+        """Texts in the order of falling sizes; row t of a stretch holds the texts that still go on."""
+        steps, states = int(size[0]), len(self.move)
         live = np.searchsorted(-size, -np.arange(1, steps + 1), side="right")
-        sym = np.zeros((steps, n), np.int64)
-        for t in range(steps):
-            sym[t, : live[t]] = symbols[start[: live[t]] + t]
-        ahead, scale = np.zeros((steps, n, STATES)), np.ones((steps, n))
-        for t in range(steps):
-            m = live[t]
-            a = np.where(leads[:, None], self.first, self.inner) if t == 0 else ahead[t - 1, :m] @ self.move
-            a = a * self.emit[sym[t, :m]]
-            scale[t, :m] = a.sum(axis=1)
-            ahead[t, :m] = a / scale[t, :m, None]
-        back = np.ones((n, STATES))
-        moves = np.zeros((STATES, STATES))
-        state = np.zeros((steps, n, STATES))
-        for t in range(steps - 1, -1, -1):
-            m = live[t]
-            state[t, :m] = ahead[t, :m] * back[:m]
-            if t:
-                b = self.emit[sym[t, :m]] * back[:m] / scale[t, :m, None]
-                moves += ahead[t - 1, :m].T @ b
-                back[:m] = b @ self.move.T
-        there = np.arange(n)[None, :] < live[:, None]
-        own, seen = state[there], sym[there]
-        for s in range(STATES):
-            sums[: END + 1, s] += np.bincount(seen, weights=own[:, s], minlength=END + 1)
-        sums[END + 1 : END + 1 + STATES] += moves * self.move
-        sums[END + 1 + STATES] += state[0][leads].sum(axis=0)
-        sums[END + 2 + STATES] += state[0][~leads].sum(axis=0)
+        done = np.append(0, np.cumsum(live))
+        cuts = [0]
+        while cuts[-1] < steps:
+            cuts.append(max(cuts[-1] + 1, int(np.searchsorted(done, done[cuts[-1]] + BLOCK, side="right")) - 1))
+
+        def forward(lo, hi, before):
+            of = np.repeat(np.arange(lo, hi), live[lo:hi])
+            text = np.arange(len(of)) - np.repeat(done[lo:hi] - done[lo], live[lo:hi])
+            sym = symbols[start[text] + of]
+            emit, ahead, scale = self.emit[sym], np.empty((len(of), states)), np.empty(len(of))
+            for t in range(lo, hi):
+                i, j, m = done[t] - done[lo], done[t + 1] - done[lo], live[t]
+                a = (before[:m] @ self.move if t else self.first) * emit[i:j]
+                s = a.sum(axis=1)
+                a /= s[:, None]
+                ahead[i:j], scale[i:j], before = a, s, a
+            return sym, text, emit, ahead, scale, before
+
+        befores, before = [], None
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            befores.append(before)
+            run = forward(lo, hi, before)
+            before = run[-1]
+            sums[-1, 0] += np.log(run[4]).sum()
+        back = np.ones((len(start), states))
+        moves = np.zeros((states, states))
+        for k in range(len(cuts) - 2, -1, -1):
+            lo, hi = cuts[k], cuts[k + 1]
+            sym, text, emit, ahead, scale, _ = run if k == len(cuts) - 2 else forward(lo, hi, befores[k])
+            emit /= scale[:, None]
+            after = np.empty_like(ahead)
+            for t in range(hi - 1, lo - 1, -1):
+                i, j, m = done[t] - done[lo], done[t + 1] - done[lo], live[t]
+                after[i:j] = back[:m]
+                emit[i:j] *= back[:m]
+                back[:m] = emit[i:j] @ self.move.T
+            first = live[lo]
+            if k:
+                moves += befores[k][:first].T @ emit[:first]
+            steps_of = np.repeat(np.arange(lo, hi), live[lo:hi])[first:]
+            moves += ahead[done[steps_of - 1] - done[lo] + text[first:]].T @ emit[first:]
+            after *= ahead
+            if k == 0:
+                sums[-2] += after[:first].sum(axis=0)
+            for s in range(states):
+                sums[: len(self.emit), s] += np.bincount(sym, weights=after[:, s], minlength=len(self.emit))
+        sums[len(self.emit) : -2] += moves * self.move
 
     @classmethod
-    def fitted(cls, sums: np.ndarray, share: np.ndarray):
-        emit = sums[: END + 1] + 0.5 * share[:, None]
-        move = sums[END + 1 : END + 1 + STATES] + 0.1
-        ends = sums[END + 1 + STATES :] + 0.1
-        return cls(ends[0] / ends[0].sum(), ends[1] / ends[1].sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    def fitted(cls, sums: np.ndarray, prior: np.ndarray):
+        """prior: counts added to those of each symbol, dealt to the states by how often they are in use."""
+        used = sums[: len(prior)].sum(axis=0) + 1e-9
+        emit = sums[: len(prior)] + prior[:, None] * used / used.sum()
+        move = sums[len(prior) : -2] + 0.1
+        first = sums[-2] + 0.1
+        return cls(first / first.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
     def log_likelihood(self, symbols: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The log of each text's probability, by the scaled forward recursion."""
@@ -173,49 +201,72 @@ class Model:
         return back
 
 
-def train(training: DataFrame, head: Head, share: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch over all rows (text); expected counts are summed in tasks, then across them."""
-    model = Model.start(share)
-    columns = [f"s{i}" for i in range(STATES)]
+def train(training: DataFrame, head: Head, counts: np.ndarray, prior: np.ndarray, states: int = STATES, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[Model, list[float]]:
+    """Baum-Welch over all rows (text), and the log likelihood before each round; expected counts are summed in tasks, then across them."""
+    share = counts + prior
+    model, seen = Model.start(share / share.sum(), states), []
+    columns = [f"s{i}" for i in range(states)]
     for _ in range(rounds):
 
         def run(batches, model=model):
-            sums = np.zeros((END + 3 + STATES, STATES))
+            sums = model.sums()
             for batch in batches:
                 for _, _, _, _, symbols, bounds in sequences(batch.column("text"), head):
-                    model.expected(symbols, bounds[:-1], sums)
+                    model.expected(symbols, bounds, sums)
             at = np.flatnonzero(sums.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(sums[at, i]) for i in range(STATES)]], ["row", *columns])
+            yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(sums[at, i]) for i in range(states)]], ["row", *columns])
 
         got = training.mapInArrow(run, "row long, " + ", ".join(f"{c} double" for c in columns)).groupBy("row").agg(*[F.sum(c).alias(c) for c in columns]).toPandas()
-        sums = np.zeros((END + 3 + STATES, STATES))
+        sums = model.sums()
         sums[got["row"]] = got[columns]
-        model = Model.fitted(sums, share)
-    return model
-
-
-def lm_scores(docs: DataFrame, held_out) -> DataFrame:
+        seen.append(float(sums[-1, 0]))
+        model = Model.fitted(sums, prior)
+        if len(seen) > 1 and seen[-1] - seen[-2] <= tolerance * abs(seen[-2]):
+            break
+    return model, seen
+
+
+#: Steps of the histogram of counts in one doubling.
+STEPS = 16
+
+
+def thresholds(counts: DataFrame, *most: int) -> list[int]:
+    """For each bound the least count, 2 or more, that at most so many words reach, by a histogram of counts in steps of a sixteenth of a doubling."""
+    step = F.floor(F.log2("n") * STEPS).cast("int")
+    got = sorted(((r["step"], r["least"], r["words"]) for r in counts.where("n > 1").groupBy(step.alias("step")).agg(F.min("n").alias("least"), F.count("*").alias("words")).collect()), reverse=True)
+    out = []
+    for bound in most:
+        least, words = 1 << 62, 0
+        for _, n, more in got:
+            words += more
+            if words > bound:
+                break
+            least = n
+        out.append(least)
+    return out
+
+
+def lm_scores(docs: DataFrame, held_out, states: int = STATES) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); held_out: a column of docs' rows to learn nothing from."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     training = docs.where(~F.col("held_out")).select("text")
     counts = stored(training.mapInArrow(counted, "word long, size int, n long").groupBy("word").agg(F.min("size").alias("size"), F.sum("n").alias("n")), "counts")
     texts = training.count()
     by_size = counts.groupBy("size").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    top = counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()
-    head = Head(top)
+    reach, least = thresholds(counts, HEAD, SYMBOLS)
+    top = counts.where(F.col("n") >= reach).select("word", "size", "n").toPandas()
+    head = Head(top["word"].to_numpy(np.int64), top["n"].to_numpy(np.int64), least)
     tokens, kinds = sum(r.n for r in by_size) + texts, sum(r.v for r in by_size) + (texts > 0)
     rare_n, rare_v = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
     for r in by_size:
         rare_n[r["size"]], rare_v[r["size"]] = r.n, r.v
-    share = np.full(END + 1, 1.0)
-    for i, r in enumerate(top[:SYMBOLS]):
-        rare_n[r["size"]] -= r.n
-        rare_v[r["size"]] -= 1
-        share[i] += r.n
-    share[SYMBOLS:END] += rare_n[1:]
-    share[END] += texts
-    share /= share.sum()
-    model = train(training, head, share)
+    own = top[top["n"] >= least]
+    np.subtract.at(rare_n, own["size"].to_numpy(int), own["n"].to_numpy(float))
+    np.subtract.at(rare_v, own["size"].to_numpy(int), 1)
+    seen = np.concatenate([head.n[head.symbol >= 0], rare_n[1:], [texts]]).astype(float)
+    # One more count for each known word, and one for an unknown word of each class: with one state this is the base score's smoothing.
+    prior = np.concatenate([np.ones(head.kinds), rare_v[1:] + 1, [1.0]])
+    model, _ = train(training, head, seen, prior, states)
     base_whole = float(np.log10(tokens + 1 * (kinds + 1)))
     rare_whole = np.log10(rare_n + rare_v + 1)
     end_base = float(np.log10(texts + 1))
@@ -229,9 +280,9 @@ def lm_scores(docs: DataFrame, held_out) -> DataFrame:
                 size = np.diff(bounds)
                 base = np.bincount(text, weights=gain, minlength=hi - lo) + end_base - (size + 1) * base_whole
                 words = np.delete(symbols, ends[1:] - 1) if len(symbols) else symbols
-                rare = words >= SYMBOLS
+                rare = words >= head.kinds
                 score = model.log_likelihood(symbols, ends) / LN10
-                score += np.bincount(text[rare], weights=gain[rare] - rare_whole[words[rare] - SYMBOLS + 1], minlength=hi - lo)
+                score += np.bincount(text[rare], weights=gain[rare] - rare_whole[words[rare] - head.kinds + 1], minlength=hi - lo)
                 known = np.bincount(text[at >= 0], minlength=hi - lo) + (texts > 0)
                 mark = np.add.reduceat(np.append(mix(h.view(U) + mix(np.arange(len(h), dtype=U))), U(0)), np.minimum(bounds[:-1], len(h))) * (size > 0)
                 tail_of, tail_n = [], []

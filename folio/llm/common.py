@@ -15,9 +15,6 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
-_made = threading.local()
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -37,36 +34,77 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str, *partitions: str, keep: bool = False) -> DataFrame:
+_open = threading.local()
+
+
+class Scratch:
+    """The tables that stored() and sorted_table() make in this thread inside `with`; delete() removes them when nothing reads them any more.
+
+    Tables made outside of any scratch stay until the session's file system is closed, at the latest when the driver ends.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.tables = spark, [], []
+
+    def __enter__(self) -> Scratch:
+        _open.__dict__.setdefault("stack", []).append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _open.stack.pop()
+
+    def delete(self) -> None:
+        while self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
+        while self.paths:
+            delete(self.spark, self.paths.pop())
+
+
+def _new_path(spark: SparkSession, name: str, table: str | None = None) -> str:
+    path = table_path(spark, name)
+    stack = _open.__dict__.get("stack")
+    if stack:
+        stack[-1].paths.append(path)
+        if table:
+            stack[-1].tables.append(table)
+    else:
+        _files(spark, path).deleteOnExit(spark._jvm.org.apache.hadoop.fs.Path(path))
+    return path
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Writes df to the shared folder and reads it back: the lineage ends there, and a lost executor costs a read.
 
-    keep: forget_stored() is to leave it.
+    keep: the table is no scratch and is never deleted here.
     """
-    path = table_path(df.sparkSession, name)
-    if not keep:
-        _made.__dict__.setdefault("paths", []).append(path)
-    df.write.partitionBy(*partitions).parquet(path)
+    path = table_path(df.sparkSession, name) if keep else _new_path(df.sparkSession, name)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sorted_table(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """As stored(), but bucketed and sorted by the keys: later joins and sums by them read buckets and shuffle nothing of it."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", _new_path(spark, name, table)).saveAsTable(table)
+    return spark.table(table)
+
+
+def _files(spark: SparkSession, folder: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _files(spark, folder).delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
 
 
 def drop_stored(df: DataFrame) -> None:
-    """Deletes the files of a table made by stored() that nothing reads any more."""
+    """Deletes the files of a table made by stored() or sorted_table() that nothing reads any more."""
     for folder in {f.rsplit("/part-", 1)[0] for f in df.inputFiles()}:
         delete(df.sparkSession, folder)
 
 
-def forget_stored(spark: SparkSession) -> None:
-    """Deletes the tables that this thread has made by stored() so far; nothing may read them any more."""
-    paths = _made.__dict__.setdefault("paths", [])
-    while paths:
-        delete(spark, paths.pop())
-
-
 def sized(df: DataFrame, most: int) -> DataFrame:
     """df, to be broadcast if a count shows at most so many rows; else Spark shuffles both sides."""
     return F.broadcast(df) if df.count() <= most else df

@@ -3,15 +3,16 @@
 A line's key is the line stripped of white space at both ends, A-Z lower-cased. Long enough keys that are found in
 at least `min_docs` documents lose all their lines but those of the largest doc_id that holds them.
 
-The documents are cut into batches by descending doc_id. A store of sorted runs holds, for each key hash, in how many
-documents it was found and the largest of them. Each new batch anti-joins the settled keys of the runs (found often
-enough already: later documents only lose them) and adds a run of its own; `fan_in` runs of one level are compacted
-into one run of the next. At the end the runs are compacted once and mark the lines to drop. Batches go to the store
-one after the other, so a new batch of documents costs its own size, and the store can be kept between jobs.
+The documents are cut into batches of about as many lines by descending doc_id. A store of sorted runs holds, for each key
+hash, in how many documents it was found and the largest of them; a run is a table bucketed and sorted by the hash. Each
+new batch is reduced to one row per key hash, which anti-joins the settled keys of the runs bucket by bucket (found often
+enough already: later documents only lose them), so the runs aren't shuffled again, and becomes a run of its own. Two
+runs of one level are compacted into one of the next by a merge join. At the end all are compacted and mark the lines to
+drop. Runs are held under a catalogue name each, so a store can be kept while the session lasts.
 
 Keys are compared by 128 bits of xxHash. All of it is DataFrame operations: a key's documents are counted with partial
-aggregation, a key in a third of all documents is a skewed join key that adaptive execution splits, and texts are
-shuffled once, when the dropped lines' places join them.
+aggregation, so a key in a third of all documents sends one row per task; where lines join the keys to drop, it is a skewed
+join key that adaptive execution splits; texts are shuffled once, when the dropped lines' places join them.
 
 Cases: a null or empty text is one empty line; rows with the same doc_id count as one document, and the largest
 doc_id keeps its lines in all its rows; rows with null doc_id lose nothing and count for nothing; other columns ride
@@ -25,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, ascii_lower, documents, drop_stored, stored
+from .common import SPACES, ascii_lower, documents, drop_stored, sorted_table, stored
 
 HASH = ["h1", "h2"]
 
@@ -37,45 +38,44 @@ def line_key(line):
 class Runs:
     """Levelled sorted runs of (h1, h2, n_docs, keeper)."""
 
-    def __init__(self, min_docs: int, fan_in: int = 4):
-        self.min_docs, self.fan_in = min_docs, fan_in
-        self.levels: list[list[DataFrame]] = [[]]
+    def __init__(self, min_docs: int):
+        self.min_docs = min_docs
+        self.levels: list[DataFrame | None] = []
 
-    def _write(self, rows: DataFrame) -> DataFrame:
-        return stored(rows.sortWithinPartitions(*HASH), "run")
-
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy(*HASH).agg(F.sum("n_docs").alias("n_docs"), F.max("keeper").alias("keeper"))
-
-    def all(self) -> list[DataFrame]:
-        return [r for level in self.levels for r in level]
+    def _merged(self, one: DataFrame, two: DataFrame) -> DataFrame:
+        """Two runs as one, by a merge join of their buckets; the old ones go."""
+        both = one.join(two.select(*HASH, F.col("n_docs").alias("more"), F.col("keeper").alias("other")), HASH, "full_outer")
+        n = F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))
+        out = sorted_table(both.select(*HASH, n.alias("n_docs"), F.greatest("keeper", "other").alias("keeper")), "run", *HASH)
+        drop_stored(one)
+        drop_stored(two)
+        return out
 
     def add(self, lines: DataFrame) -> None:
         """Adds the batch (h1, h2, doc_id), whose documents come before all of the runs' in the order of descending ids."""
-        for run in self.all():
-            lines = lines.join(run.where(F.col("n_docs") >= self.min_docs).select(*HASH), HASH, "left_anti")
         once = lines.groupBy(*HASH, "doc_id").count()
-        self.levels[0].append(self._write(once.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))))
-        self.compact()
-
-    def compact(self, whole: bool = False) -> None:
-        for k, level in enumerate(self.levels):
-            if len(level) >= self.fan_in:
-                if k + 1 == len(self.levels):
-                    self.levels.append([])
-                self.levels[k + 1].append(self._write(self._merged(level)))
-                self.levels[k] = []
-                for run in level:
-                    drop_stored(run)
-        if whole and len(self.all()) > 1:
-            old = self.all()
-            self.levels = [[self._write(self._merged(old))]]
-            for run in old:
-                drop_stored(run)
+        new = once.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
+        for run in [r for r in self.levels if r is not None]:
+            new = new.join(run.where(F.col("n_docs") >= self.min_docs).select(*HASH), HASH, "left_anti")
+        self._put(sorted_table(new, "run", *HASH), 0)
+
+    def _put(self, run: DataFrame, level: int) -> None:
+        """A level holds one run; a second one is compacted with it into the next level."""
+        if level == len(self.levels):
+            self.levels.append(None)
+        held, self.levels[level] = self.levels[level], run
+        if held is not None:
+            self.levels[level] = None
+            self._put(self._merged(held, run), level + 1)
+
+    def compact(self) -> DataFrame:
+        whole = reduce(self._merged, [run for run in self.levels if run is not None])
+        self.levels = [whole]
+        return whole
 
     def frequent(self) -> DataFrame:
-        self.compact(whole=True)
-        return self.all()[0].where(F.col("n_docs") >= self.min_docs).select(*HASH, "keeper")
+        """Rows (h1, h2, keeper) of the keys to drop, in a plain table: a join with them may be split where a key is skewed."""
+        return stored(self.compact().where(F.col("n_docs") >= self.min_docs).select(*HASH, "keeper"), "frequent")
 
 
 def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4) -> DataFrame:
@@ -84,14 +84,11 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches:
     lines = texts.where("doc_id is not null").select("doc_id", F.posexplode("line").alias("at", "line"))
     lines = lines.where(F.length("line") >= min_chars).select("doc_id", "at", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     lines = stored(lines.select("doc_id", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(10), "key").alias("h2")), "lines")
-    low, high = lines.agg(F.min("doc_id"), F.max("doc_id")).first()
     runs = Runs(min_docs)
-    if low is None:
-        runs.add(lines.select(*HASH, "doc_id"))
-    else:
-        step = -(-(high - low + 1) // batches)
-        for top in range(high, low - 1, -step):
-            runs.add(lines.where((F.col("doc_id") <= top) & (F.col("doc_id") > top - step)).select(*HASH, "doc_id"))
+    cuts = sorted({int(x) for x in lines.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.02)}, reverse=True) if batches > 1 else []
+    for low, high in zip([*cuts, None], [None, *cuts], strict=True):
+        own = lines.where("true" if low is None else f"doc_id > {low}").where("true" if high is None else f"doc_id <= {high}")
+        runs.add(own.select(*HASH, "doc_id"))
     drops = lines.join(runs.frequent(), HASH).where("doc_id < keeper").groupBy("doc_id").agg(F.array_sort(F.collect_set("at")).alias("drops_"))
     rest = [c for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped", "deduped")]
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row_"), "text", F.col("doc_id").cast("long").alias("key_")).join(drops.withColumnRenamed("doc_id", "key_"), "key_", "left").drop("key_")

@@ -46,7 +46,7 @@ def test_stages_on_the_documents(spark):
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     rows = [tuple(r[c] for c in COLUMNS) for r in docs.collect()]
     for (name, stage), want in zip(p.STAGES, plain_stages(rows, items)):
-        docs = p.stored(stage(spark, docs, SF), name, keep=True)
+        docs = p.stored(stage(spark, docs, SF), name)
         assert docs.columns == COLUMNS
         assert rows_of(docs) == sorted(want, key=str), name
     own = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -65,3 +65,42 @@ def test_hard_rows(spark, tmp_path):
     empty = saved(spark, tmp_path / "none", [])
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert p.run(spark, empty).count() == 0
+
+
+def rows_table(spark, rows, extra=""):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long" + extra)
+
+
+def test_copies_without_doc_id(spark):
+    text = " ".join(f"w{i}" for i in range(70))
+    rows = [(3, text, "en", "a", 1), (5, text, "en", "a", 1), (None, text, "en", "a", 1), (None, text + " x", "en", "a", 1), (None, text + " x", "fr", "a", 1), (7, None, "en", "a", 1), (None, None, "en", "a", 1), (7, None, "en", "a", 1), (8, "", "en", "a", 1), (9, "a", "en", "a", 1), (9, "b", "en", "a", 1)]
+    got = p.near_duplicates(spark, rows_table(spark, rows), "no folder").select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(3, text), (None, text + " x"), (7, None), (8, ""), (9, "a"), (9, "b")], key=str)
+
+
+def test_contaminated_without_doc_id(spark, tmp_path):
+    item = "the quick river carries seven small boats down to the old stone bridge before night falls again"
+    spark.createDataFrame([(1, item), (2, None), (None, "x")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "clean words only", "en", "a", 1), (2, "before " + item, "en", "a", 1), (2, "other row", "en", "a", 1), (None, item + " after", "en", "a", 1), (None, "clean too", "en", "a", 1), (None, None, "en", "a", 1)]
+    got = p.decontamination(spark, rows_table(spark, rows), str(tmp_path)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "clean words only"), (None, "clean too"), (None, None)], key=str)
+
+
+def test_clashing_columns_keep_their_values(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(70))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    more = ", kept int, n_words string, n_lines string, n_dropped int, deduped string, component_id string, row_ int, item_id string, mark_ int, h1 int"
+    docs = rows_table(spark, [(1, text, "en", "a", 5, 9, "a", "b", 8, "c", "d", 7, "e", 6, 4)], more)
+    own = tuple(docs.drop("text", "n_chars").first())
+    for name, stage in p.STAGES:
+        docs = p.stored(stage(spark, docs, str(tmp_path)), name)
+        assert tuple(docs.select([c for c in docs.columns if c not in ("text", "n_chars", "ids", "n_tokens")]).first()) == own, name
+
+
+def test_scratch_of_other_queries_stays(spark):
+    from folio.llm.op10_line_dedup import op10_line_dedup
+
+    first = op10_line_dedup(spark, SF)
+    docs = p.stored(p.quality(spark, p.documents(spark, SF), SF), "kept")
+    p.lines(spark, docs, SF)
+    assert first.count() == p.documents(spark, SF).count()

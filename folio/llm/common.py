@@ -120,12 +120,12 @@ def words(c):
     return F.filter(F.split(F.coalesce(c, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a long, b long): rows (node, component), component the smallest node.
 
     Alternates large stars and small stars. Minima are pre-aggregated before each shuffle, and a node with very
     many neighbours is a skewed join key that adaptive execution splits. Each round's edges are written to the
-    shared folder. Null ends and loops are dropped; a node without edges has no row.
+    shared folder, and rounds go on until the edges stay the same; their number grows with the logarithm of the nodes. Null ends and loops are dropped; a node without edges has no row.
     """
     now = stored(edges.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
 
@@ -133,9 +133,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     before = state(now)
-    for _ in range(rounds):
-        if not before[0]:
-            break
+    while before[0]:
         both = now.union(now.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -149,6 +147,4 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if after == before:
             break
         before = after
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())

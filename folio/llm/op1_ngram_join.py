@@ -7,7 +7,8 @@ Two texts link when the Jaccard similarity of their sets of k-word shingles is a
 2. A linked pair of tile b differs in at most d_b shingles. The hash range is cut into d_b + 1 + spare parts, so at
    least one non-empty part is the same in both. The parts' hashes are the tile's keys; only texts that share a key
    can link. A text with more than `spare` empty parts also gives keys for those, so no pair is lost.
-3. Texts that share a key form stars around the smallest id; connected stars are the blocks to compare. Large
+3. Keys are sorted by range over (key, id), so a key of very many texts lies in several partitions and none is held in
+   memory; texts that share a key form stars around the smallest id, and connected stars are the blocks to compare. Large
    blocks are cut by size band and salt into tiles of bounded size, and pairs of tiles are compared.
 4. In a tile, the bit counts of XORed parity bitmaps bound the overlap from above; pairs that pass are decided by
    the exact intersection of their sorted arrays. Without `count`, a pair whose ends the tile has already joined is
@@ -28,7 +29,7 @@ from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, documents, drop_stored, sized, stored
@@ -125,6 +126,35 @@ def text_sets(k: int, num: int, den: int):
     return run
 
 
+def stars_of(batches):
+    """For mapInArrow over a partition's (key, doc_id), sorted: (a, b, null) for the first id a of a key and each other id b,
+    and (null, b, key) for the first id of the partition's first and last key, which may go on in other partitions."""
+    last, first, opened = None, None, False
+    for batch in batches:
+        key, doc = batch.column("key").to_numpy(), batch.column("doc_id").to_numpy()
+        if not len(key):
+            continue
+        starts = np.flatnonzero(np.append(last is None or key[0] != last, key[1:] != key[:-1]))
+        own = np.repeat(doc[starts], np.diff(np.append(starts, len(key))))
+        if len(starts) == 0 or starts[0]:
+            own = np.append(np.full(starts[0] if len(starts) else len(key), first, np.int64), own)
+        last, first = key[-1], own[-1]
+        apart = own != doc
+        edge = [] if opened else [(key[0], own[0])]
+        opened = True
+        yield pa.RecordBatch.from_arrays([pa.array(own[apart].tolist() + [None] * len(edge), pa.int64()), pa.array(doc[apart].tolist() + [x[1] for x in edge], pa.int64()), pa.array([None] * int(apart.sum()) + [x[0] for x in edge], pa.int64())], ["a", "b", "edge"])
+    if opened:
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([first], pa.int64()), pa.array([last], pa.int64())], ["a", "b", "edge"])
+
+
+def stars(keyed: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect all ids of each key, from rows (key, doc_id). At most two rows of each partition meet again by key."""
+    found = stored(keyed.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id").mapInArrow(stars_of, "a long, b long, edge long").distinct(), "stars")
+    edges = found.where("edge is not null")
+    across = edges.join(edges.groupBy("edge").agg(F.min("b").alias("least")), "edge").select(F.col("least").alias("a"), "b").where("a <> b")
+    return found.where("edge is null").select("a", "b").union(across)
+
+
 def hash_arrays(k: int, num: int, den: int):
     """For mapInArrow over (doc_id, block, salts, text): the sorted hashes of each text, with its band."""
 
@@ -219,9 +249,7 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, count
     others = stored(sets.join(copies.where("n_copies > 1").select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id <> rep").select("doc_id", "s1", "s2").distinct(), "others")
     reps = keys.where("n_shingles > 0 and doc_id is not null").join(sized(others, BROADCAST_ROWS), ["doc_id", "s1", "s2"], "left_anti")
     keyed = reps.select("doc_id", F.explode("keys").alias("key"))
-    least = F.min("doc_id").over(Window.partitionBy("key"))
-    stars = keyed.withColumn("a", least).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    blocks = stored(components(stars).withColumnsRenamed({"node": "doc_id", "component": "block"}), "blocks")
+    blocks = stored(components(stars(keyed)).withColumnsRenamed({"node": "doc_id", "component": "block"}), "blocks")
     drop_stored(keys)
 
     arrays = stored(docs.join(blocks.hint("shuffle_hash"), "doc_id").select("doc_id", "block", "text").mapInArrow(hash_arrays(k, num, den), "doc_id long, block long, band int, n long, hashes binary").where("n > 0").dropDuplicates(["doc_id", "hashes"]), "arrays")

@@ -54,3 +54,22 @@ def test_cases(spark):
     assert ngram_join(table(spark, []), 3, 90, 100).count() == 0
     more = table(spark, [(1, "a b c", 5, 6, 7)], "doc_id int, text string, keys int, s1 int, component_id int")
     assert result(ngram_join(more, 3, 90, 100)) == {1: (1, 1)}
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_stars_connect_each_key_over_all_partitions(spark, parts):
+    import random
+
+    from folio.llm.op1_ngram_join import stars
+
+    rng = random.Random(parts)
+    rows = [(rng.choice([-5, 0, 0, 0, 0, 3, rng.randrange(200)]), rng.randrange(300)) for _ in range(2000)]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    got = [(r.a, r.b) for r in stars(table(spark, rows, "key long, doc_id long")).collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ids = {i for _, i in rows}
+    first = {k: min(i for j, i in rows if j == k) for k, _ in rows}
+    assert smallest_reachable(ids, got) == smallest_reachable(ids, [(first[k], i) for k, i in rows])
+    assert len(got) <= len(set(rows)) + 2 * parts

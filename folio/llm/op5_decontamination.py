@@ -3,7 +3,7 @@ r"""Benchmark decontamination by template canonicalisation.
 Texts become canonical tokens. A number with its separators (3.5, 1,200), a number word, a name or a unit is a value, any
 other run of letters, marks and digits a literal, lower-cased; a run of numbers or of names (Mary Ann) is one value. In the
 template a value is the placeholder of its type. A name is one of NAMES, or a capitalised word after a lower-case letter,
-comma or semicolon and a space, but not right after one of NOUN_AFTER: German writes its nouns with capitals.
+comma or semicolon and a space, but not after one of NOUN_AFTER as the token before: German writes its nouns with capitals.
 
 A benchmark item's windows are its runs of `width` tokens; an item of 10 tokens to twice the width has windows of half its
 tokens, a shorter one of `width` or all. A window with at least `literals` literals (or of literals only) is searched by its
@@ -41,23 +41,31 @@ NUM, NAME, UNIT, POINT = "\x03", "\x04", "\x05", "\x02"
 BROADCAST_ROWS = 200_000
 
 
-def canonical(text):
-    """The canonical tokens of a text, parted by spaces; a value ends in the mark of its type."""
-    c = F.translate(F.coalesce(text, F.lit("")), NUM + NAME + UNIT + POINT, "    ")
-    word = lambda values: "(?:" + "|".join(values) + ")"
-    c = F.regexp_replace(c, rf"(?<=[\p{{Ll}},;] )(?<!(?<![\p{{L}}\p{{M}}\p{{N}}])(?i:{'|'.join(NOUN_AFTER)}) )(?=\p{{Lu}}\p{{Ll}})", NAME)
-    c = F.regexp_replace(F.lower(c), r"(?<=\p{N})[.,](?=\p{N})", POINT)
-    c = F.trim(F.regexp_replace(c, rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{POINT}]+", " "))
-    c = F.regexp_replace(c, rf"(?<![^ ])(\p{{N}}[^ ]*|{word(NUMBERS)}(?![^ ]))", f"$1{NUM}")
-    c = F.regexp_replace(c, rf"(?<![^ ])(?:{NAME}([^ {NAME}]+)|({word(NAMES)})(?![^ ]))", f"$1$2{NAME}")
-    c = F.regexp_replace(c, rf"(?<![^ ])({word(UNITS)})(?![^ ])", f"$1{UNIT}")
-    return F.regexp_replace(c, rf"(?<={NUM}) (?=[^ ]*{NUM})|(?<={NAME}) (?=[^ ]*{NAME})", "_")
+def canonical(rows: DataFrame, *kept: str) -> DataFrame:
+    """Rows (kept, v): the canonical tokens of text; a value ends in the mark of its type."""
+    c = F.coalesce("text", F.lit(""))
+    c = F.when(c.rlike(f"[{POINT}{NUM}{NAME}{UNIT}]"), F.translate(c, POINT + NUM + NAME + UNIT, "    ")).otherwise(c)
+    c = F.lower(F.regexp_replace(c, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", NAME))
+    c = F.regexp_replace(c, r"(?<=\p{N})[.,](?=\p{N})", POINT)
+    flat = F.split(F.trim(F.regexp_replace(c, rf"[^\p{{L}}\p{{M}}\p{{N}}{NAME}{POINT}]+", " ")), " ")
 
+    def marked(t, i):
+        word = F.when(t.startswith(NAME), F.substring(t, F.lit(2), F.length(t))).otherwise(t)
+        named = t.startswith(NAME) & ~F.coalesce(F.get("flat_", i - 1).isin(NOUN_AFTER), F.lit(False))
+        number = word.rlike(r"^\p{N}") | word.isin(NUMBERS)
+        kind = F.when(named | (~number & word.isin(NAMES)), NAME).when(number, NUM).when(word.isin(UNITS), UNIT).otherwise("")
+        # Most tokens are neither marked nor numbers nor in a list, which two comparisons and a look-up show.
+        return F.when((t >= "a") & (t < "{") & ~t.isin(NAMES + UNITS + NUMBERS), t).otherwise(F.concat(word, kind))
 
-def tokens(rows: DataFrame, *kept: str) -> DataFrame:
-    """Rows (kept, v, k): the canonical tokens, and the same with values replaced by the marks of their types."""
-    rows = rows.select(*kept, canonical(F.col("text")).alias("c"))
-    return rows.select(*kept, F.split("c", " ").alias("v"), F.split(F.regexp_replace("c", rf"(?<![^ ])[^ ]*([{NUM}{NAME}{UNIT}])(?![^ ])", "$1"), " ").alias("k"))
+    rows = rows.select(*kept, flat.alias("flat_"))
+    rows = rows.select(*kept, F.array_join(F.transform("flat_", marked), " ").alias("joined_"))
+    runs = F.regexp_replace("joined_", rf"(?<={NUM}) (?=[^ ]*{NUM})|(?<={NAME}) (?=[^ ]*{NAME})", "_")
+    return rows.select(*kept, F.split(runs, " ").alias("v"))
+
+
+def template(form):
+    """Tokens parted by spaces with each value as the mark of its type."""
+    return F.regexp_replace(form, rf"(?<![^ ])[^ ]*([{NUM}{NAME}{UNIT}])(?![^ ])", "$1")
 
 
 def is_value(t):
@@ -66,31 +74,33 @@ def is_value(t):
 
 def windows(benchmark: DataFrame, width: int, literals: int) -> DataFrame:
     """Rows (item_id, variant, at, n, slack, w, strong, raw, form, anchor, off) of each item's windows."""
-    items = tokens(benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id").where(F.array_join("v", "") != "").dropDuplicates()
+    items = canonical(benchmark.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text"), "item_id").where(F.array_join("v", "") != "").dropDuplicates()
     n = F.size("v")
     items = items.withColumn("w", F.when(n.between(10, 2 * width), F.least(F.lit(width), F.floor(n / 2).cast("int"))).otherwise(F.least(F.lit(width), n)))
-    at = items.select("item_id", F.xxhash64("v").alias("variant"), "v", "k", "w", F.explode(F.sequence(F.lit(0), n - F.col("w"))).alias("at"))
-    cut = at.select("item_id", "variant", "at", n.alias("n"), "w", F.slice("v", F.col("at") + 1, F.col("w")).alias("raw"), F.slice("k", F.col("at") + 1, F.col("w")).alias("typed"))
+    at = items.select("item_id", F.xxhash64("v").alias("variant"), "v", "w", F.explode(F.sequence(F.lit(0), n - F.col("w"))).alias("at"))
+    cut = at.select("item_id", "variant", "at", n.alias("n"), "w", F.slice("v", F.col("at") + 1, F.col("w")).alias("raw"))
     cut = cut.withColumn("strong", F.size(F.filter("raw", lambda t: ~is_value(t))) >= F.least(F.lit(literals), F.col("w")))
     top = F.array_max(F.transform("raw", lambda t, i: F.struct((~is_value(t)).alias("literal"), F.length(t).alias("n"), t.alias("t"), (-i).alias("back"))))
-    form = F.when(F.col("strong"), F.array_join("typed", " ")).otherwise(F.array_join("raw", " "))
+    form = F.when(F.col("strong"), template(F.array_join("raw", " "))).otherwise(F.array_join("raw", " "))
     return cut.select("item_id", "variant", "at", "n", F.greatest(F.lit(1), F.floor(F.col("n") / 4).cast("int")).alias("slack"), "w", "strong", "raw", form.alias("form"), top["t"].alias("anchor"), (-top["back"]).alias("off"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = 8, literals: int = 3) -> DataFrame:
     """Rows (doc_id, item_id, variant, start, at, w, n, slack, slots): each matched window, with its values as (item's, document's)."""
-    docs = tokens(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
+    docs = canonical(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
     searched = stored(windows(benchmark, width, literals), "windows")
     places = searched.groupBy(F.col("anchor").alias("token")).agg(F.collect_set(F.struct("off", "w", "strong")).alias("cuts"))
     small = searched.count() <= BROADCAST_ROWS
     if small:
-        hits = docs.select("doc_id", "v", "k", F.posexplode("v").alias("pos", "token")).join(F.broadcast(places), "token")
+        # The outer form, since for the other one Spark infers a filter on the tokens and works them out twice.
+        hits = docs.select("doc_id", "v", F.posexplode_outer("v").alias("pos", "token")).join(F.broadcast(places), "token")
     else:
-        found = docs.select("doc_id", F.posexplode("v").alias("pos", "token")).join(places, "token").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "cuts")).alias("found"))
-        hits = docs.join(found, "doc_id").select("doc_id", "v", "k", F.explode("found").alias("f")).select("doc_id", "v", "k", "f.pos", "f.cuts")
-    cut = hits.select("doc_id", "v", "k", "pos", F.explode("cuts").alias("c")).withColumn("start", F.col("pos") - F.col("c.off")).where("start >= 0 and start + c.w <= size(v)")
-    cut = cut.select("doc_id", "start", "c.w", "c.strong", F.slice("v", F.col("start") + 1, F.col("c.w")).alias("own"), F.slice("k", F.col("start") + 1, F.col("c.w")).alias("typed"))
-    cut = cut.select("doc_id", "start", "w", "strong", "own", F.array_join(F.when(F.col("strong"), F.col("typed")).otherwise(F.col("own")), " ").alias("form"))
+        found = docs.select("doc_id", F.posexplode_outer("v").alias("pos", "token")).join(places, "token").groupBy("doc_id").agg(F.collect_list(F.struct("pos", "cuts")).alias("found"))
+        hits = docs.join(found, "doc_id").select("doc_id", "v", F.explode("found").alias("f")).select("doc_id", "v", "f.pos", "f.cuts")
+    cut = hits.select("doc_id", "v", "pos", F.explode("cuts").alias("c")).withColumn("start", F.col("pos") - F.col("c.off")).where("start >= 0 and start + c.w <= size(v)")
+    cut = cut.select("doc_id", "start", "c.w", "c.strong", F.slice("v", F.col("start") + 1, F.col("c.w")).alias("own"))
+    exact = F.array_join("own", " ")
+    cut = cut.select("doc_id", "start", "w", "strong", "own", F.when(F.col("strong"), template(exact)).otherwise(exact).alias("form"))
     key = F.xxhash64("w", "strong", "form").alias("h")
     side = searched.select(key, F.col("form").alias("form_"), "item_id", "variant", "at", "n", "slack", "raw")
     found = cut.withColumn("h", key).join(F.broadcast(side) if small else side, "h").where("form = form_")
@@ -126,7 +136,6 @@ def _in(values):
     return ", ".join(f"'{v}'" for v in values)
 
 
-_NOUN = "regexp_replace(%s, '(^|[^\\p{L}\\p{M}\\p{N}])((?i:" + "|".join(NOUN_AFTER) + ")) (\\p{Lu}\\p{Ll})', '\\1\\2 ' || chr(7) || '\\3', 'g')"
 _NAMED = "regexp_replace(%s, '([\\p{Ll},;]) (\\p{Lu}\\p{Ll})', '\\1 ' || chr(4) || '\\2', 'g')"
 _JOINED = "regexp_replace(%s, '(\\p{N})[.,](\\p{N})', '\\1' || chr(2) || '\\2', 'g')"
 
@@ -135,14 +144,14 @@ def _twice(form, inner):
     return form.replace("%s", form.replace("%s", inner))
 
 
-_FLAT = _twice(_JOINED, "lower(replace(" + _twice(_NAMED, _twice(_NOUN, "translate(coalesce(text, ''), chr(2) || chr(3) || chr(4) || chr(5) || chr(7), '     ')")) + ", chr(7), ''))")
+_FLAT = _twice(_JOINED, "lower(" + _twice(_NAMED, "translate(coalesce(text, ''), chr(2) || chr(3) || chr(4) || chr(5), '    ')") + ")")
 ORACLE = rf"""
 WITH x AS (
   SELECT 'd' AS side, doc_id AS id, text FROM documents WHERE doc_id IS NOT NULL UNION ALL SELECT 'b', item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL)
 ), r AS (
   SELECT row_number() OVER () AS rid, side, id, string_split(trim(regexp_replace({_FLAT}, '[^\p{{L}}\p{{M}}\p{{N}}\x02\x04]+', ' ', 'g')), ' ') AS t FROM x
 ), e AS (
-  SELECT rid, side, id, pos, t[pos] AS x FROM (SELECT *, unnest(range(1, len(t) + 1)) AS pos FROM r)
+  SELECT rid, side, id, pos, CASE WHEN pos > 1 AND t[pos - 1] IN ({_in(NOUN_AFTER)}) THEN replace(t[pos], chr(4), '') ELSE t[pos] END AS x FROM (SELECT *, unnest(range(1, len(t) + 1)) AS pos FROM r)
 ), f AS (
   SELECT rid, side, id, pos, replace(x, chr(4), '') AS x, CASE WHEN starts_with(x, chr(4)) THEN 'name' WHEN regexp_matches(x, '^\p{{N}}') OR x IN ({_in(NUMBERS)}) THEN 'num' WHEN x IN ({_in(NAMES)}) THEN 'name' WHEN x IN ({_in(UNITS)}) THEN 'unit' END AS kind FROM e
 ), g AS (

@@ -18,7 +18,7 @@ def tokens(text):
     raw = [(m.start(), m[0]) for m in regex.finditer(r"(?:\p{N}[.,](?=\p{N})|[\p{L}\p{M}\p{N}])+", text)]
     out = []
     for i, (at, t) in enumerate(raw):
-        before = raw[i - 1][1].lower() if i and raw[i - 1][0] + len(raw[i - 1][1]) == at - 1 and text[at - 1] == " " else ""
+        before = raw[i - 1][1].lower() if i else ""
         named = regex.match(r"\p{Lu}\p{Ll}", t) and regex.search(r"[\p{Ll},;] $", text[:at]) and before not in NOUN_AFTER
         low = t.lower()
         kind = "name" if named else "num" if regex.match(r"\p{N}", t) or low in NUMBERS else "name" if low in NAMES else "unit" if low in UNITS else None

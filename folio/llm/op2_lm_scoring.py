@@ -34,7 +34,9 @@ from .common import documents, stored
 from .textbytes import U, chunks, mix, spread, word_table
 
 STATES, SYMBOLS, CLASSES, HEAD = 6, 65_536, 16, 200_000
-ROUNDS, TOLERANCE, BLOCK = 8, 0.002, 1_000_000
+ROUNDS, TOLERANCE, BLOCK = 8, 0.002, 250_000
+#: Most bytes of texts in work at a time in a task, a longer text on its own.
+CHUNK = 1_000_000
 LN10 = float(np.log(10))
 
 
@@ -44,7 +46,7 @@ def fold(doc_id, folds: int):
 
 def worded(texts: pa.Array):
     """Hashes, byte lengths and text bounds of the words, a few texts at a time."""
-    for lo, hi, data, ends in chunks(texts):
+    for lo, hi, data, ends in chunks(texts, CHUNK):
         h, starts, bounds = word_table(data, ends)
         space = np.isin(data, [32, 9, 10, 11, 12, 13])
         stops = np.append(np.flatnonzero(space), len(data))

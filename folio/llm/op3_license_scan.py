@@ -3,16 +3,18 @@
 A text is split into sentences at [.!?;] before white space and at blank lines; a single line end may end a sentence or
 stand inside it, so line-wise and wrapped sentences are both found, of several at one place the longest. Comment marks are
 no letters and go. A sentence is normalised: lower-cased, runs of anything but letters and digits to one space, trimmed.
-Normalised sentences that equal a known licence sentence get its identifier; the owner in 'Neither the name of' is free. A licence rule is an ordered list of identifiers and matches a document whose identifiers
-hold that list in order, other licence sentences between them or not. The licences of all rules that match are reported, BSD-2-Clause not where
-all its texts go on as BSD-3-Clause.
+Normalised sentences that equal a known licence sentence get its identifier; the owner in 'Neither the name of' is free. A
+licence rule is an ordered list of identifiers and matches a document whose identifiers hold that list in order, other
+licence sentences between them or not. The licences of all rules that match are reported, BSD-2-Clause not where all its
+texts go on as BSD-3-Clause, and Proprietary ('All rights reserved') not beside another licence.
 
 Each known sentence holds one of the ANCHORS, parts of single words (checked when the module loads), so texts without
 any are settled without being split. Everything is DataFrame operations; the known sentences are a table of this module, so of bounded size.
 No document meets another, so there is no shuffle.
 
 Cases: null, empty and other texts without licence sentences give no licences; repeated rows and rows with one doc_id
-are each scanned on their own; other columns ride along in scan() and are left out of the query.
+are each scanned on their own; other columns ride along in scan(), those named sequence, n_sentences or licenses are
+replaced, and the query leaves them out.
 """
 
 from __future__ import annotations
@@ -52,6 +54,16 @@ SENTENCES = {
     "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "unlicense": "This is free and unencumbered software released into the public domain",
     "rights": "All rights reserved",
+    "spdx-apache": "SPDX-License-Identifier: Apache-2.0",
+    "spdx-mit": "SPDX-License-Identifier: MIT",
+    "spdx-bsd-2": "SPDX-License-Identifier: BSD-2-Clause",
+    "spdx-bsd-3": "SPDX-License-Identifier: BSD-3-Clause",
+    "spdx-isc": "SPDX-License-Identifier: ISC",
+    "spdx-mpl": "SPDX-License-Identifier: MPL-2.0",
+    "spdx-gpl2": "SPDX-License-Identifier: GPL-2.0-only",
+    "spdx-gpl3": "SPDX-License-Identifier: GPL-3.0-or-later",
+    "boost": "Distributed under the Boost Software License, Version 1.0",
+    "cc-by-nc-sa": "Licensed under CC BY-NC-SA 4.0",
 }
 #: Licence and the sentences that show it, in order.
 RULES = [
@@ -76,7 +88,19 @@ RULES = [
     ("CC0-1.0", ["cc0"]),
     ("Unlicense", ["unlicense"]),
     ("Proprietary", ["rights"]),
+    ("Apache-2.0", ["spdx-apache"]),
+    ("MIT", ["spdx-mit"]),
+    ("BSD-2-Clause", ["spdx-bsd-2"]),
+    ("BSD-3-Clause", ["spdx-bsd-3"]),
+    ("ISC", ["spdx-isc"]),
+    ("MPL-2.0", ["spdx-mpl"]),
+    ("GPL-2.0", ["spdx-gpl2"]),
+    ("GPL-3.0", ["spdx-gpl3"]),
+    ("BSL-1.0", ["boost"]),
+    ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa"]),
 ]
+#: A licence that isn't reported where any other is: the line also stands above open licences.
+LAST = "Proprietary"
 #: One of these is in each known sentence.
 ANCHORS = ["licens", "copyright", "redistribut", "permission", "reserved", "domain"]
 #: Further sentences and rules; the SQL holds only those above.
@@ -91,6 +115,13 @@ WRAPPED_SENTENCES = {
     "gpl2-redistribute": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "gpl2-version": "either version 2 of the License, or (at your option) any later version",
     "agpl3-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "zlib-grant-1": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1",
+    "epl-terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl-distribution": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-2.0/",
+    "lgpl-redistribute": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "lgpl21-version": "either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3-version": "either version 3 of the License, or (at your option) any later version",
     "agpl3-work": "This work is licensed under the GNU Affero General Public License, version 3",
 }
 WRAPPED_RULES = [
@@ -103,6 +134,12 @@ WRAPPED_RULES = [
     ("ISC", ["isc-grant-and"]),
     ("GPL-3.0", ["gpl3-program"]),
     ("GPL-2.0", ["gpl2-redistribute", "gpl2-version"]),
+    ("Zlib", ["zlib-grant"]),
+    ("Zlib", ["zlib-grant-1"]),
+    ("EPL-2.0", ["epl-terms"]),
+    ("EPL-2.0", ["epl-distribution"]),
+    ("LGPL-2.1", ["lgpl-redistribute", "lgpl21-version"]),
+    ("LGPL-3.0", ["lgpl-redistribute", "lgpl3-version"]),
     ("AGPL-3.0", ["agpl3-program"]),
     ("AGPL-3.0", ["agpl3-work"]),
 ]
@@ -159,6 +196,7 @@ def scan(docs: DataFrame, known: dict[str, str] | None = None, rules: list | Non
     names = F.array_distinct(F.array_compact(F.array(*matched)))
     for weaker, (stronger, own) in supersedes.items():
         names = F.when(F.array_contains(names, stronger) & ~held.rlike(own), F.array_remove(names, weaker)).otherwise(names)
+    names = F.when(F.size(names) > 1, F.array_remove(names, LAST)).otherwise(names)
     return out.withColumn("licenses", F.array_sort(names))
 
 
@@ -176,6 +214,6 @@ WITH k(s, id) AS (VALUES {_VALUES}), t AS (
 ), h AS (
   SELECT doc_id, count(id) AS n_sentences, coalesce(string_agg(id, ',' ORDER BY place), '') AS sentences FROM t LEFT JOIN k USING (s) GROUP BY doc_id
 )
-SELECT doc_id, n_sentences, sentences, coalesce(array_to_string(list_sort(list_distinct(list_filter([{_MATCHED}], lambda x: x IS NOT NULL))), ','), '') AS licenses
-FROM (SELECT *, ',' || replace(sentences, ',', ',,') || ',' AS held FROM h)
+SELECT doc_id, n_sentences, sentences, coalesce(array_to_string(CASE WHEN len(names) > 1 THEN list_filter(names, lambda x: x <> '{LAST}') ELSE names END, ','), '') AS licenses
+FROM (SELECT *, list_sort(list_distinct(list_filter([{_MATCHED}], lambda x: x IS NOT NULL))) AS names FROM (SELECT *, ',' || replace(sentences, ',', ',,') || ',' AS held FROM h))
 """

@@ -17,7 +17,8 @@ def plain(text):
         rest = iter(ids)
         return all(i in rest for i in rule)
 
-    return ids, sorted({name for name, rule in RULES if holds(rule)})
+    names = {name for name, rule in RULES if holds(rule)}
+    return ids, sorted(names - {"Proprietary"} if len(names) > 1 else names)
 
 
 def test_equals_plain_on_the_documents(spark):

@@ -13,14 +13,17 @@ def resolve(items: DataFrame, chart: DataFrame) -> DataFrame:
 
     chart: rows (coa_id, template, name, parent_name, seq). In order: exact name under the parent, normal name under
     it, exact under the section's name, normal under it, then the exact and the normal name if the template has it
-    once. In the first four the smallest seq wins. Each step is an equi-join against a small aggregate of the chart.
+    once. In the first four the smallest seq wins. A missing or blank parent or section is no group and is passed over; an item
+    without a name is unmapped. Each step is an equi-join against a small aggregate of the chart.
     """
+    named = lambda c: F.when(F.trim(c) != "", F.col(c))
     chart = chart.select("coa_id", "template", "name", "parent_name", "seq", norm(F.col("name")).alias("n_name"), norm(F.col("parent_name")).alias("n_parent"))
     exact = chart.groupBy("template", "name", "parent_name").agg(F.min_by("coa_id", "seq").alias("id"))
     normal = chart.groupBy("template", "n_name", "n_parent").agg(F.min_by("coa_id", "seq").alias("id"))
     once = chart.groupBy("template", "name").agg(F.min("coa_id").alias("id"), F.count("*").alias("n"))
     once_normal = chart.groupBy("template", "n_name").agg(F.min("coa_id").alias("id"), F.count("*").alias("n"))
-    out = items.withColumns({"d_": F.col("datapoint"), "dn_": norm(F.col("datapoint")), "p_": F.col("parent"), "pn_": norm(F.col("parent")), "s_": F.col("section"), "sn_": norm(F.col("section"))})
+    own = {k: named(c) for k, c in (("d", "datapoint"), ("p", "parent"), ("s", "section"))}
+    out = items.withColumns({f"{k}_": c for k, c in own.items()} | {f"{k}n_": F.when(c.isNotNull(), norm(c)) for k, c in own.items()})
     steps = [(exact, ["name", "parent_name"], ["d_", "p_"]), (normal, ["n_name", "n_parent"], ["dn_", "pn_"]), (exact, ["name", "parent_name"], ["d_", "s_"]), (normal, ["n_name", "n_parent"], ["dn_", "sn_"]), (once, ["name"], ["d_"]), (once_normal, ["n_name"], ["dn_"])]
     for k, (table, keys, own) in enumerate(steps):
         side = table.select(F.col("template").alias(f"t{k}_"), *[F.col(c).alias(f"k{k}_{c}") for c in keys], F.col("id").alias(f"id{k}_"), *([F.col("n").alias(f"n{k}_")] if k > 3 else []))

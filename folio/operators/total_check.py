@@ -37,15 +37,16 @@ def item_sums(rows: DataFrame, include: list[str] | None = None, exclude: list[s
 def section_check(rows: DataFrame, exclude: list[str] = (), tolerance: float = 1) -> DataFrame:
     """Each section's totals against the sum of its items; with excludes, all items count if that passes more columns.
 
-    Rows (table_id, section, row_order, datapoint, col, reported, computed, passed). A missing amount is 0.
+    Rows (table_id, section, row_order, datapoint, col, reported, computed, passed), and col_pos if rows have it. A missing
+    amount is 0.
     """
-    totals = rows.where("flag = 'CP'").select(*TABLE, "row_order", "datapoint", "col", F.coalesce("amt", F.lit(0)).alias("reported"))
-    whole = item_sums(rows)
-    out = totals.join(whole.withColumnRenamed("computed", "whole"), [*TABLE, "col"], "left").withColumn("whole", F.coalesce("whole", F.lit(0)))
+    place = ["col_pos"] if "col_pos" in rows.columns else []
+    totals = rows.where("flag = 'CP'").select(*TABLE, "row_order", "datapoint", "col", *place, F.coalesce("amt", F.lit(0)).alias("reported"))
+    kept = ~holds(F.col("label"), list(exclude))
+    sums = rows.where("flag = 'DP'").groupBy(*TABLE, "col").agg(F.sum("amt").alias("whole"), F.sum(F.when(kept, F.col("amt"))).alias("part"))
+    out = totals.join(sums, [*TABLE, "col"], "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("whole", "part")})
     if not exclude:
-        return out.withColumnRenamed("whole", "computed").withColumn("passed", passes(F.col("computed"), F.col("reported"), tolerance))
-    part = item_sums(rows, exclude=exclude)
-    out = out.join(part.withColumnRenamed("computed", "part"), [*TABLE, "col"], "left").withColumn("part", F.coalesce("part", F.lit(0)))
+        return out.drop("part").withColumnRenamed("whole", "computed").withColumn("passed", passes(F.col("computed"), F.col("reported"), tolerance))
     line = Window.partitionBy(*TABLE, "row_order")
     wins = F.sum(passes(F.col("whole"), F.col("reported"), tolerance).cast("int")).over(line) > F.sum(passes(F.col("part"), F.col("reported"), tolerance).cast("int")).over(line)
     out = out.withColumn("computed", F.when(wins, F.col("whole")).otherwise(F.col("part"))).drop("whole", "part")
@@ -71,36 +72,51 @@ def positional_check(rows: DataFrame, rolling: bool = True, tolerance: float = 1
 
 
 def first_present(candidates: DataFrame, tolerance: float = 1) -> DataFrame:
-    """Of ordered formulas (table_id, chain, computed, reported) the first that fits, else the first with a value.
+    """Of ordered formulas (table_id, chain, col, computed, reported) the first that fits on all columns, else the first usable one.
 
-    Rows (table_id, chain, computed, reported, status); status is PASS, FAIL or, without a value, Skipped.
+    A formula with a null in any column isn't usable. Rows (table_id, chain, status); status is PASS, the failing columns of
+    the first usable formula as `col: FAIL`, or Skipped where none is usable.
     """
     good = passes(F.col("computed"), F.col("reported"), tolerance)
-    rank = F.when(good, 0).when(F.col("computed").isNotNull(), 1).otherwise(2)
-    best = candidates.groupBy("table_id").agg(F.min(F.struct(rank.alias("rank"), "chain", "computed", "reported")).alias("x"))
-    status = F.when(F.col("x.rank") == 0, "PASS").when(F.col("x.rank") == 1, "FAIL").otherwise("Skipped - no chain matched")
-    return best.select("table_id", F.when(F.col("x.rank") < 2, F.col("x.chain")).alias("chain"), "x.computed", "x.reported", status.alias("status"))
+    fails = F.array_sort(F.collect_list(F.when(~good, F.concat("col", F.lit(": FAIL")))))
+    whole = candidates.groupBy("table_id", "chain").agg(F.bool_and(F.col("computed").isNotNull()).alias("usable"), F.bool_and(F.coalesce(good, F.lit(False))).alias("fits"), fails.alias("fails"))
+    rank = F.when(F.col("usable") & F.col("fits"), 0).when(F.col("usable"), 1).otherwise(2)
+    best = whole.groupBy("table_id").agg(F.min(F.struct(rank.alias("rank"), "chain", "fails")).alias("x"))
+    status = F.when(F.col("x.rank") == 0, "PASS").when(F.col("x.rank") == 1, F.array_join("x.fails", " | ")).otherwise("Skipped - no chain matched")
+    return best.select("table_id", F.when(F.col("x.rank") < 2, F.col("x.chain")).alias("chain"), status.alias("status"))
 
 
 def lookup_total(rows: DataFrame, name: str) -> DataFrame:
-    """For each table and column the total named so: the last exact match, else the first whose name holds it or is held by it."""
-    own, want = F.lower(F.trim("datapoint")), name.lower()
+    """For each table and column the total named so: the last exact match, else the first with a shorter name that the wanted one holds."""
+    own, want = F.lower(F.trim("datapoint")), name.strip().lower()
     exact = own == want
-    near = own.contains(want) | F.lit(want).contains(own)
+    near = F.lit(want).contains(own) & (F.length(own) < len(want))
     found = rows.where("flag = 'CP'").where(exact | near)
     order = F.struct(exact.cast("int").alias("e"), F.when(exact, F.col("row_order")).otherwise(-F.col("row_order")).alias("o"))
     return found.groupBy("table_id", "col").agg(F.max_by("amt", order).alias("amt"))
 
 
 def status_text(checked: DataFrame) -> DataFrame:
-    """One row per total: PASS, or its failing columns as `col: FAIL | col: FAIL` in their order."""
-    fails = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.concat("col", F.lit(": FAIL")))))
-    return checked.groupBy(*TABLE, "row_order").agg(fails.alias("fails")).select(*TABLE, "row_order", F.when(F.size("fails") == 0, "PASS").otherwise(F.array_join("fails", " | ")).alias("status"))
+    """One row per total: PASS, or its failing columns as `col: FAIL | col: FAIL` in the order of col_pos (of names without it)."""
+    place = F.col("col_pos") if "col_pos" in checked.columns else F.lit(0)
+    fails = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.struct(place.alias("at"), F.concat("col", F.lit(": FAIL")).alias("text")))))
+    out = checked.groupBy(*TABLE, "row_order").agg(F.transform(fails, lambda x: x["text"]).alias("fails"))
+    return out.select(*TABLE, "row_order", F.when(F.size("fails") == 0, "PASS").otherwise(F.array_join("fails", " | ")).alias("status"))
+
+
+#: Statuses of totals that let a statement pass.
+ACCEPTED = ["", "PASS", "Skipped - no membership rule defined", "Skipped - no rule defined"]
 
 
 def accepted(status: Column) -> Column:
     """Whether a total's status lets its statement pass."""
-    return status.isNull() | status.isin("", "PASS", "Skipped - no rule defined", "Skipped - self checked")
+    return status.isNull() | status.isin(ACCEPTED)
+
+
+def file_passes(statuses: DataFrame, by: list[str]) -> DataFrame:
+    """Whether all totals of each group are accepted: rows (by, passed); rows (by, flag, status). A group without totals passes."""
+    total = F.upper(F.trim("flag")) == "CP"
+    return statuses.groupBy(*by).agg(F.coalesce(F.bool_and(F.when(total, accepted(F.col("status")))), F.lit(True)).alias("passed"))
 
 
 def summary(statuses: DataFrame, by: list[str]) -> DataFrame:

@@ -19,15 +19,21 @@ def upsert(old: DataFrame, new: DataFrame, key: str, provided: dict[str, Column]
     return out.withColumns({c: F.when(F.coalesce(f"{c}_set_", F.lit(False)), F.col(f"{c}_new_")).otherwise(F.col(c)) for c in names}).select(old.columns)
 
 
-def get_or_create(dim: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
-    """The dimension with rows for names it lacks: ids follow the largest, in the order of the names. Null names get none.
+def numbered(rows: DataFrame, order: list[str], into: str) -> DataFrame:
+    """Rows with their place 1..n in the given order. Ranges of the order are sorted in parallel; a range's first number follows from the
+    counts of the ranges before it, which are one row each."""
+    parts = rows.repartitionByRange(*order).withColumn("part_", F.spark_partition_id())
+    parts = parts.withColumn("own_", F.row_number().over(Window.partitionBy("part_").orderBy(*order)))
+    sizes = parts.groupBy("part_").agg(F.count("*").alias("n_"))
+    before = sizes.select("part_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_"))
+    return parts.join(F.broadcast(before), "part_").withColumn(into, (F.col("before_") + F.col("own_")).cast("long")).drop("part_", "own_", "before_")
+
 
-    Only the new names are numbered, which are few: the numbering is the one step in a single task.
-    """
+def get_or_create(dim: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """The dimension with rows for names it lacks: ids follow the largest, in the order of the names. Null names get none."""
     new = names.select(name_col).where(F.col(name_col).isNotNull()).distinct().join(dim.select(name_col), name_col, "left_anti")
-    top = dim.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top"))
-    numbered = new.withColumn("k", F.row_number().over(Window.orderBy(name_col))).join(F.broadcast(top))
-    return dim.select(id_col, name_col).unionByName(numbered.select((F.col("top") + F.col("k")).cast("long").alias(id_col), name_col))
+    top = F.broadcast(dim.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top_")))
+    return dim.select(id_col, name_col).unionByName(numbered(new, [name_col], "k_").join(top).select((F.col("top_") + F.col("k_")).cast("long").alias(id_col), name_col))
 
 
 def replace_log_group(log: DataFrame, new: DataFrame, keys: list[str], loose: str) -> DataFrame:

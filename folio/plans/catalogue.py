@@ -108,14 +108,14 @@ def rolling_subtotal(spark, sf_dir):
 @query("""
 WITH s AS (SELECT l_orderkey AS table_id, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS gross, sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))) AS net FROM lineitem GROUP BY 1),
 c AS (SELECT table_id, round(CASE WHEN table_id % 3 = 0 THEN net ELSE gross END) + [0,0,0,1,2,-3,0][1 + table_id % 7] AS reported, gross, net FROM s)
-SELECT table_id, CASE WHEN abs(gross - reported) <= 1 THEN 0 WHEN abs(net - reported) <= 1 THEN 1 ELSE 0 END AS chain, CASE WHEN abs(gross - reported) <= 1 OR abs(net - reported) <= 1 THEN 'PASS' ELSE 'FAIL' END AS status FROM c
+SELECT table_id, CASE WHEN abs(gross - reported) <= 1 THEN 0 WHEN abs(net - reported) <= 1 THEN 1 ELSE 0 END AS chain, CASE WHEN abs(gross - reported) <= 1 OR abs(net - reported) <= 1 THEN 'PASS' ELSE 'amount: FAIL' END AS status FROM c
 """)
 def first_present_chain(spark, sf_dir):
     price, net = money("l_extendedprice"), (money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
     sums = read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("table_id")).agg(F.sum(price).alias("gross"), F.sum(net).alias("net"))
     off = F.get(F.array(*[F.lit(x) for x in (0, 0, 0, 1, 2, -3, 0)]), (F.col("table_id") % 7).cast("int"))
     reported = F.round(F.when(F.col("table_id") % 3 == 0, F.col("net")).otherwise(F.col("gross"))) + off
-    formulas = sums.select("table_id", reported.alias("reported"), F.posexplode(F.array("gross", "net")).alias("chain", "computed"))
+    formulas = sums.select("table_id", F.lit("amount").alias("col"), reported.alias("reported"), F.posexplode(F.array("gross", "net")).alias("chain", "computed"))
     return total_check.first_present(formulas).select("table_id", "chain", "status")
 
 
@@ -160,13 +160,13 @@ def empty_cells(spark, sf_dir):
 
 
 def chart(spark, sf_dir) -> DataFrame:
-    part = read(spark, sf_dir, "part").where("p_partkey % 2 = 0 and p_size <= 12")
+    part = read(spark, sf_dir, "part")
     return part.select(F.col("p_partkey").alias("coa_id"), (F.col("p_size") % 5).alias("template"), F.col("p_type").alias("name"), F.col("p_brand").alias("parent_name"), F.col("p_partkey").alias("seq"))
 
 
 @query("""
-WITH ch AS (SELECT p_partkey AS id, p_size % 5 AS tid, p_type AS name, p_brand AS par FROM part WHERE p_partkey % 2 = 0 AND p_size <= 12),
-it AS (SELECT p_partkey, p_size % 7 AS tid, CASE WHEN p_partkey % 4 = 1 THEN p_type ELSE upper(p_type) END AS dp, CASE WHEN p_partkey % 3 = 0 THEN lower(p_brand) WHEN p_partkey % 3 = 1 THEN p_brand ELSE 'none' END AS par, p_brand AS sec FROM part WHERE p_partkey % 2 = 1),
+WITH ch AS (SELECT p_partkey AS id, p_size % 5 AS tid, p_type AS name, p_brand AS par FROM part),
+it AS (SELECT p_partkey, p_size % 7 AS tid, CASE WHEN p_partkey % 4 = 1 THEN p_type ELSE upper(p_type) END AS dp, CASE WHEN p_partkey % 3 = 0 THEN lower(p_brand) WHEN p_partkey % 3 = 1 THEN p_brand ELSE 'none' END AS par, p_brand AS sec FROM part),
 r AS (SELECT it.*,
   (SELECT min(id) FROM ch WHERE ch.tid = it.tid AND ch.name = it.dp AND ch.par = it.par) AS a,
   (SELECT min(id) FROM ch WHERE ch.tid = it.tid AND lower(ch.name) = lower(it.dp) AND lower(ch.par) = lower(it.par)) AS b,
@@ -179,11 +179,21 @@ SELECT p_partkey, coalesce(a, b, c, d, e, f) AS coa_id, CASE WHEN coalesce(a, b,
 """)
 def coa_resolve(spark, sf_dir):
     k = F.col("p_partkey")
-    items = read(spark, sf_dir, "part").where("p_partkey % 2 = 1").select("p_partkey", (F.col("p_size") % 7).alias("template"), F.when(k % 4 == 1, F.col("p_type")).otherwise(F.upper("p_type")).alias("datapoint"), F.when(k % 3 == 0, F.lower("p_brand")).when(k % 3 == 1, F.col("p_brand")).otherwise("none").alias("parent"), F.col("p_brand").alias("section"))
+    items = read(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 7).alias("template"), F.when(k % 4 == 1, F.col("p_type")).otherwise(F.upper("p_type")).alias("datapoint"), F.when(k % 3 == 0, F.lower("p_brand")).when(k % 3 == 1, F.col("p_brand")).otherwise("none").alias("parent"), F.col("p_brand").alias("section"))
     return coa.resolve(items, chart(spark, sf_dir)).select("p_partkey", "coa_id", "status")
 
 
-@query()
+_NAME = "p_type || CASE WHEN p_partkey % 3 > 0 THEN ' ' || p_partkey % 7 ELSE '' END"
+
+
+@query(f"""
+WITH ch AS (SELECT p_partkey AS id, p_size % 5 AS tid, {_NAME} AS name, p_brand AS par FROM part),
+it AS (SELECT p_partkey, p_size % 7 AS tid, CASE WHEN p_partkey % 4 = 1 THEN {_NAME} ELSE upper({_NAME}) END AS dp, CASE WHEN p_partkey % 3 = 0 THEN lower(p_brand) WHEN p_partkey % 3 = 1 THEN p_brand ELSE 'none' END AS par, CASE WHEN p_partkey % 5 > 0 THEN p_brand ELSE 'none' END AS sec FROM part),
+j AS (SELECT it.*, id, ch.name, ch.par AS cpar FROM it LEFT JOIN ch ON ch.tid = it.tid AND lower(ch.name) = lower(it.dp)),
+r AS (SELECT p_partkey, min(id) FILTER (name = dp AND cpar = par) AS a, min(id) FILTER (lower(cpar) = lower(par)) AS b, min(id) FILTER (name = dp AND cpar = sec) AS c, min(id) FILTER (lower(cpar) = lower(sec)) AS d,
+  CASE WHEN count(id) FILTER (name = dp) = 1 THEN min(id) FILTER (name = dp) END AS e, CASE WHEN count(id) = 1 THEN min(id) END AS f, count(id) AS n FROM j GROUP BY 1)
+SELECT p_partkey, coalesce(a, b, c, d, e, f) AS coa_id, CASE WHEN coalesce(a, b, c, d, e, f) IS NOT NULL THEN 'mapped' WHEN n > 0 THEN 'ambiguous' ELSE 'unmapped' END AS status FROM r
+""")
 def coa_resolve_all(spark, sf_dir):
     """All of part as chart and as items; names that hang on the key make ambiguous and unmapped items."""
     k, part = F.col("p_partkey"), read(spark, sf_dir, "part")
@@ -255,7 +265,7 @@ def work_list(spark, sf_dir) -> DataFrame:
     k = F.col("o_orderkey")
     three = lambda n: F.when((k / n).cast("long") % 3 == 0, F.lit(None)).when((k / n).cast("long") % 3 == 1, 1).otherwise(0).cast("int")
     flag = lambda n: F.when((k / n).cast("long") % 4 == 0, F.lit(None)).when((k / n).cast("long") % 4 == 1, "p").otherwise("c")
-    return read(spark, sf_dir, "orders").select(k.alias("Id"), F.col("o_custkey").alias("CompanyId"), three(1).alias("SourcingStatus"), flag(2).alias("SourcingFlag"), three(5).alias("SourcingValidationStatus"), flag(3).alias("SourcingValidationFlag"), three(7).alias("ExtractionStatus"), flag(11).alias("ExtractionFlag"), F.when(k % 5 == 0, 1).alias("CompletionStatus"), F.lit(1).alias("IsActive"))
+    return read(spark, sf_dir, "orders").select(k.alias("Id"), F.col("o_custkey").alias("CompanyId"), three(1).alias("SourcingStatus"), flag(2).alias("SourcingFlag"), three(5).alias("SourcingValidationStatus"), flag(3).alias("SourcingValidationFlag"), three(7).alias("ExtractionStatus"), flag(11).alias("ExtractionFlag"), F.when(k % 5 == 0, 1).alias("CompletionStatus"), (k % 6 % 4).cast("int").alias("COAID"), F.when(k % 13 != 0, 1).otherwise(0).alias("IsActive"))
 
 
 def _t(n):
@@ -269,12 +279,12 @@ def _f(n):
 @query(f"""
 WITH w AS (SELECT o_orderkey AS Id, o_custkey, {_t(1)} AS a, {_f(2)} AS af, {_t(5)} AS b, {_f(3)} AS bf, {_t(7)} AS c, {_f(11)} AS cf, CASE WHEN o_orderkey % 5 = 0 THEN 1 END AS done FROM orders)
 SELECT Id, c_name, n_name FROM w JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
-WHERE a = 1 AND af = 'c' AND b = 1 AND bf = 'c' AND (cf IS NULL OR cf = 'c') AND (c IS NULL OR c = 0) AND (done IS NULL OR done = 0)
+WHERE a = 1 AND af = 'c' AND b = 1 AND bf = 'c' AND (cf IS NULL OR cf = 'c') AND (c IS NULL OR c = 0) AND (done IS NULL OR done = 0) AND Id % 13 <> 0 AND Id % 6 % 4 IN (1, 2) AND c_custkey % 11 <> 0
 """)
 def pending_worklist(spark, sf_dir):
-    company = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CompanyId"), "c_name", "c_nationkey")
+    company = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CompanyId"), "c_name", "c_nationkey", F.when(F.col("c_custkey") % 11 != 0, 1).otherwise(0).alias("IsActive"))
     nation = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    return worklist.pending(work_list(spark, sf_dir), "Extraction").join(company, "CompanyId").join(nation, "c_nationkey", "left").select("Id", "c_name", "n_name")
+    return worklist.pending(work_list(spark, sf_dir), "Extraction", company).join(company.drop("IsActive"), "CompanyId").join(nation, "c_nationkey", "left").select("Id", "c_name", "n_name")
 
 
 @query(f"SELECT CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE {_t(7)} END AS ExtractionStatus, CASE WHEN o_orderkey % 9 = 0 THEN 'c' ELSE {_f(11)} END AS ExtractionFlag, count(*) AS n FROM orders GROUP BY ALL")
@@ -283,10 +293,24 @@ def status_machine(spark, sf_dir):
     return worklist.advance(work, work.where("Id % 9 = 0"), "Extraction", 1, "c").groupBy("ExtractionStatus", "ExtractionFlag").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, user_id, event_type, min(ts) OVER (PARTITION BY user_id, event_type) AS started FROM events")
+def event_log(spark, sf_dir) -> DataFrame:
+    """Events as display log rows that arrive in the order of their ids."""
+    k = F.col("event_id")
+    return read(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("Id"), (k % 3).alias("ProcessingId"), F.col("event_type").alias("Stage"), F.when(k % 2 == 0, "even").alias("SubStage"), F.col("ts").alias("Time"), F.col("props").alias("Message"))
+
+
+@query("""
+WITH l AS (SELECT event_id, user_id, event_id % 3 AS pid, event_type, CASE WHEN event_id % 2 = 0 THEN 'even' END AS sub, ts FROM events)
+SELECT event_id, min(ts) OVER g AS started, CAST(row_number() OVER (g ORDER BY event_id) AS INT) AS seq FROM l WINDOW g AS (PARTITION BY user_id, pid, event_type, sub)
+""")
 def display_log_order(spark, sf_dir):
-    log = read(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("Id"), F.col("event_type").alias("Stage"), F.col("ts").alias("Time"))
-    return logs.display_order(log).select("event_id", F.col("Id").alias("user_id"), F.col("Stage").alias("event_type"), "started")
+    return logs.display_order(logs.with_seq(event_log(spark, sf_dir), "event_id")).select("event_id", "started", F.col("Seq").alias("seq"))
+
+
+@query("SELECT event_id, CAST(user_id AS BIGINT) AS Id FROM events WHERE user_id = 7 AND event_id % 3 = 1 AND regexp_matches(event_type, '(?i)VIEW|ick')")
+def log_read_and_search(spark, sf_dir):
+    found = logs.search(logs.read_for(event_log(spark, sf_dir), 7, 1), "VIEW|ick", "Stage", "SubStage")
+    return found.select("event_id", F.col("Id").cast("long").alias("Id"))
 
 
 @query("""
@@ -303,7 +327,7 @@ def group_replace_nullsafe(spark, sf_dir):
 
 @query("SELECT event_id, event_type, props FROM events WHERE regexp_matches(event_type, 'err|sign') ORDER BY event_id DESC LIMIT 500")
 def log_tail(spark, sf_dir):
-    return read(spark, sf_dir, "events").where(F.col("event_type").rlike("err|sign")).orderBy(F.desc("event_id")).limit(500).select("event_id", "event_type", "props")
+    return logs.tail(logs.search(read(spark, sf_dir, "events"), "err|sign", "event_type"), "event_id").select("event_id", "event_type", "props")
 
 
 @query("SELECT n_nationkey AS k, n_name AS name, n_regionkey AS region FROM nation UNION ALL SELECT r_regionkey, r_name, NULL FROM region")
@@ -373,25 +397,25 @@ def sentence_split(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT source, CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 AND toxic = 0 THEN 2 WHEN quality = 0 THEN 3 END AS r FROM labels JOIN documents USING (doc_id) WHERE doc_id % 3 = 0)
+WITH s AS (SELECT source, CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 AND toxic = 0 THEN 2 WHEN quality = 0 THEN 3 END AS r FROM labels JOIN documents USING (doc_id))
 SELECT source, CASE max(r) WHEN 1 THEN 'PASS' WHEN 3 THEN 'FAIL' ELSE 'REVIEW' END AS gate FROM s GROUP BY 1
 """)
 def gate_aggregate(spark, sf_dir):
-    steps = read(spark, sf_dir, "labels").where("doc_id % 3 = 0").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    steps = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
     q, t = F.col("quality") == 1, F.col("toxic") == 0
     status = F.when(q & t, "PASS").when(~q & t, "REVIEW").when(~q, "NOT FOUND").otherwise("NOT APPLICABLE")
     return gates.gate(steps.select("source", status.alias("status")), ["source"])
 
 
 @query("""
-WITH s AS (SELECT source, CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 AND toxic = 0 THEN 2 WHEN quality = 0 THEN 3 END AS r FROM labels JOIN documents USING (doc_id))
-SELECT source, CASE max(r) WHEN 1 THEN 'PASS' WHEN 3 THEN 'FAIL' ELSE 'REVIEW' END AS gate FROM s GROUP BY 1
+WITH s AS (SELECT lang, CASE WHEN quality = 1 AND toxic = 0 THEN 1 WHEN quality = 0 AND toxic = 0 THEN 2 WHEN quality = 0 THEN 3 END AS r FROM labels JOIN documents USING (doc_id))
+SELECT lang, CASE max(r) WHEN 1 THEN 'PASS' WHEN 3 THEN 'FAIL' ELSE 'REVIEW' END AS gate FROM s GROUP BY 1
 """)
 def gate_aggregate_all(spark, sf_dir):
-    steps = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    steps = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
     q, t = F.col("quality") == 1, F.col("toxic") == 0
     status = F.when(q & t, "PASS").when(~q & t, "REVIEW").when(~q, "NOT FOUND").otherwise("NOT APPLICABLE")
-    return gates.gate(steps.select("source", status.alias("status")), ["source"])
+    return gates.gate(steps.select("lang", status.alias("status")), ["lang"])
 
 
 @query("""

@@ -2,15 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+GROUP = ["Id", "ProcessingId", "Stage", "SubStage"]
+#: Columns of the display log with the types that its files are brought to.
+LOG = {"Id": "long", "ProcessingId": "long", "Stage": "string", "SubStage": "string", "Seq": "int", "Time": "timestamp_ntz", "Message": "string"}
+
+
 def display_order(log: DataFrame) -> DataFrame:
-    """Log rows with the start of their group, for ordering by (Id, started, Seq)."""
-    from pyspark.sql import Window
+    """Log rows with the start of their group (Id, ProcessingId, Stage, SubStage), sorted by Id, ProcessingId, start, SubStage and Seq."""
+    started = log.withColumn("started", F.min("Time").over(Window.partitionBy(*GROUP)))
+    return started.orderBy("Id", "ProcessingId", "started", "SubStage", "Seq")
+
+
+def with_seq(log: DataFrame, arrival: str) -> DataFrame:
+    """Seq from 1 in each group by order of arrival."""
+    return log.withColumn("Seq", F.row_number().over(Window.partitionBy(*GROUP).orderBy(arrival)))
+
+
+def aligned(log: DataFrame) -> DataFrame:
+    """The columns of LOG in order, leniently cast; what is missing or doesn't cast is null."""
+    return log.select(*[(F.col(c).try_cast(t) if c in log.columns else F.lit(None).cast(t)).alias(c) for c, t in LOG.items()])
+
+
+def read_log(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
+    """The log of one year, or of all: a table partitioned by year, of which only that year's files are read. A folder without files is empty."""
+    try:
+        rows = spark.read.option("mergeSchema", True).parquet(folder)
+    except AnalysisException:
+        return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in LOG.items()))
+    return aligned(rows if year is None else rows.where(F.col("year") == year))
+
+
+def read_for(log: DataFrame, row_id: int | None = None, processing_id: int | None = None) -> DataFrame:
+    """Rows of the given ids; an id that isn't given doesn't filter."""
+    for c, v in (("Id", row_id), ("ProcessingId", processing_id)):
+        log = log if v is None else log.where(F.col(c) == v)
+    return log
+
+
+def search(log: DataFrame, pattern: str, *columns: str) -> DataFrame:
+    """Rows in which the pattern, case-insensitive, is found in any of the columns."""
+    hit = F.lit(False)
+    for c in columns:
+        hit |= F.coalesce(F.col(c).cast("string").rlike(f"(?i){pattern}"), F.lit(False))
+    return log.where(hit)
+
+
+def tail(log: DataFrame, order: str, n: int = 500) -> DataFrame:
+    """The last n rows, in order; Spark keeps the n largest of each task and merges those."""
+    return log.orderBy(F.desc(order)).limit(n).orderBy(order)
+
 
-    return log.withColumn("started", F.min("Time").over(Window.partitionBy("Id", "Stage")))
+def append_log(rows: DataFrame, folder: str) -> None:
+    """Appends log rows below their year's folder; nothing that is there is rewritten."""
+    rows.withColumn("year", F.year("Time")).write.mode("append").partitionBy("year").parquet(folder)
 
 
 def windowed_counts(events: DataFrame, every: str = "1 day", late: str = "2 days") -> DataFrame:

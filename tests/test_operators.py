@@ -16,11 +16,11 @@ ROWS = "table_id int, section string, row_order int, flag string, label string,
 def statement(spark, reported, bta=150):
     rows = []
     for k, (flag, label, ga, b) in enumerate([("DPG", "Assets", None, None), ("DP", "Cash", 1000, 200), ("DP", "Receivables", 500, -50), ("CP", "Total assets", reported, bta)]):
-        rows += [(1, "Assets", k, flag, label, label, "GA", None if ga is None else D(ga)), (1, "Assets", k, flag, label, label, "BTA", None if b is None else D(b))]
-    return spark.createDataFrame(rows, ROWS)
+        rows += [(1, "Assets", k, flag, label, label, "GA", None if ga is None else D(ga), 0), (1, "Assets", k, flag, label, label, "BTA", None if b is None else D(b), 1)]
+    return spark.createDataFrame(rows, ROWS + ", col_pos int")
 
 
-@pytest.mark.parametrize(("ga", "bta", "want"), [(1500, 150, "PASS"), (1501, 150, "PASS"), (1502, 150, "GA: FAIL"), (1502, 100, "BTA: FAIL | GA: FAIL"), (0, 150, "GA: FAIL")])
+@pytest.mark.parametrize(("ga", "bta", "want"), [(1500, 150, "PASS"), (1501, 150, "PASS"), (1502, 150, "GA: FAIL"), (1502, 100, "GA: FAIL | BTA: FAIL"), (0, 150, "GA: FAIL")])
 def test_section(spark, ga, bta, want):
     assert total_check.status_text(total_check.section_check(statement(spark, ga, bta))).first().status == want
 
@@ -99,3 +99,29 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame([(2, "c")], "pid int, v string").coalesce(1).write.mode("append").parquet(src)
     ingest(spark, stream(), version, "pid").awaitTermination()
     assert sorted(spark.read.parquet(f"{version}/1").collect()) == [(1, "a"), (2, "c")]
+
+
+def test_accepted_and_files(spark):
+    rows = [(1, "CP", "PASS"), (1, "DP", "amount: FAIL"), (2, "cp ", "Skipped - no membership rule defined"), (2, "CP", None), (3, "CP", "GA: FAIL"), (4, "CP", "Skipped - self checked"), (5, "CP", "Skipped - no chain matched"), (6, "DP", "x")]
+    df = spark.createDataFrame(rows, "file int, flag string, status string")
+    assert {r.file for r in total_check.file_passes(df, ["file"]).where("passed").collect()} == {1, 2, 6}
+
+
+def test_lookup_total(spark):
+    names = ["Total assets and deferred outflows", "Total", "total assets", "Total Assets ", "Assets"]
+    rows = spark.createDataFrame([(1, "s", k, "CP", n, n, "c", D(k)) for k, n in enumerate(names)], ROWS)
+    assert total_check.lookup_total(rows, "Total Assets").first().amt == 3
+    assert total_check.lookup_total(rows.where("row_order < 2"), "Total Assets").first().amt == 1
+    assert total_check.lookup_total(rows.where("row_order = 0"), "Total Assets").count() == 0
+
+
+def test_first_present_needs_all_columns(spark):
+    rows = [(1, 0, "a", 5, 5), (1, 0, "b", 7, 9), (1, 1, "a", 5, 5), (1, 1, "b", 9, 9), (2, 0, "a", None, 5), (2, 0, "b", 9, 9), (2, 1, "a", 1, 5), (2, 1, "b", 9, 9), (3, 0, "a", None, 5)]
+    df = spark.createDataFrame(rows, "table_id int, chain int, col string, computed int, reported int")
+    assert {r.table_id: (r.chain, r.status) for r in total_check.first_present(df).collect()} == {1: (1, "PASS"), 2: (1, "a: FAIL"), 3: (None, "Skipped - no chain matched")}
+
+
+def test_resolve_passes_blank_groups_over(spark):
+    chart = spark.createDataFrame([(1, 1, "Cash", None, 1), (2, 1, "Cash", "Fund", 2), (3, 1, "", "Fund", 3)], "coa_id long, template int, name string, parent_name string, seq long")
+    items = spark.createDataFrame([(0, 1, "Cash", None, " "), (1, 1, None, "Fund", None), (2, 1, " ", "Fund", "Fund"), (3, 1, "cash", "", "FUND")], "k int, template int, datapoint string, parent string, section string")
+    assert [(r.coa_id, r.status) for r in coa.resolve(items, chart).orderBy("k").collect()] == [(None, "ambiguous"), (None, "unmapped"), (None, "unmapped"), (2, "mapped")]

@@ -15,7 +15,7 @@ Tokens are the words, A-Z lower-cased, and one end for each text.
    the rare words' shares are added. Counts of the most frequent words, at most HEAD, go to the tasks; those of rarer words
    are joined by hash and summed for each text.
 
-Words are compared by 64-bit hashes. Rows of a batch run together, longest first, so a long text costs its own steps only;
+Words are compared by 64-bit hashes. The rows of a batch run together, longest first, so a long text costs its own steps only;
 a text of more than BLOCK tokens keeps its forward probabilities at a few places and runs forward from them again.
 
 Cases: a null text is empty and has its end only; repeated rows are scored each and count as often as they occur; a
@@ -74,13 +74,24 @@ class Head:
         self.kinds = int(own.sum())
         self.end = self.kinds + CLASSES
         self.symbol = np.where(own, np.cumsum(own) - 1, -1).astype(np.int32)
+        self.mask = np.int64((1 << max(10, int(len(words)).bit_length() + 3)) - 1)
+        self.slots = np.zeros(int(self.mask) + 1, np.int32)
+        slot = self.words & self.mask
+        self.slots[slot] = np.arange(len(words), dtype=np.int32)
+        self.crowded = np.flatnonzero(self.slots[slot] != np.arange(len(words)))
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """The place of each word, or -1."""
+        """The place of each word, or -1: a table by the hash's low bits holds most words, a sorted list the few that share a slot."""
         if not len(self.words):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, at, -1)
+        at = self.slots[h & self.mask]
+        at = np.where(self.words[at] == h, at, -1)
+        if len(self.crowded):
+            rest = np.flatnonzero(at < 0)
+            k = np.minimum(np.searchsorted(self.words[self.crowded], h[rest]), len(self.crowded) - 1)
+            hit = self.words[self.crowded[k]] == h[rest]
+            at[rest[hit]] = self.crowded[k[hit]]
+        return at
 
     def symbols(self, h: np.ndarray, size: np.ndarray) -> np.ndarray:
         at = self.find(h)
@@ -89,11 +100,14 @@ class Head:
 
 
 def sequences(batch: pa.Array, head: Head):
-    """The symbols of all texts one after the other, an end after each, and the texts' bounds."""
+    """The symbols of all texts of a batch one after the other, an end after each, the texts' bounds, and the words' parts (lo, hi, hashes, bounds)."""
+    parts, symbols, ends = [], [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
     for lo, hi, h, size, bounds in worded(batch):
-        own = head.symbols(h, size)
-        out = np.insert(own, bounds[1:], head.end)
-        yield lo, hi, h, bounds, out, bounds + np.arange(len(bounds))
+        own = np.insert(head.symbols(h, size), bounds[1:], head.end).astype(np.int32)
+        parts.append((lo, hi, h, bounds))
+        ends.append(ends[-1][-1] + (bounds + np.arange(len(bounds)))[1:])
+        symbols.append(own)
+    return np.concatenate(symbols), np.concatenate(ends), parts
 
 
 class Model:
@@ -133,17 +147,20 @@ class Model:
         while cuts[-1] < steps:
             cuts.append(max(cuts[-1] + 1, int(np.searchsorted(done, done[cuts[-1]] + BLOCK, side="right")) - 1))
 
+        # States first, so that every operation runs along the texts.
+        given, move, back_move = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.move.T), self.move
+
         def forward(lo, hi, before):
             of = np.repeat(np.arange(lo, hi), live[lo:hi])
             text = np.arange(len(of)) - np.repeat(done[lo:hi] - done[lo], live[lo:hi])
             sym = symbols[start[text] + of]
-            emit, ahead, scale = self.emit[sym], np.empty((len(of), states)), np.empty(len(of))
+            emit, ahead, scale = np.take(given, sym, axis=1), np.empty((states, len(of))), np.empty(len(of))
             for t in range(lo, hi):
                 i, j, m = done[t] - done[lo], done[t + 1] - done[lo], live[t]
-                a = (before[:m] @ self.move if t else self.first) * emit[i:j]
-                s = a.sum(axis=1)
-                a /= s[:, None]
-                ahead[i:j], scale[i:j], before = a, s, a
+                a = (move @ before[:, :m] if t else self.first[:, None]) * emit[:, i:j]
+                s = a.sum(axis=0)
+                a /= s
+                ahead[:, i:j], scale[i:j], before = a, s, a
             return sym, text, emit, ahead, scale, before
 
         befores, before = [], None
@@ -152,28 +169,28 @@ class Model:
             run = forward(lo, hi, before)
             before = run[-1]
             sums[-1, 0] += np.log(run[4]).sum()
-        back = np.ones((len(start), states))
+        back = np.ones((states, len(start)))
         moves = np.zeros((states, states))
         for k in range(len(cuts) - 2, -1, -1):
             lo, hi = cuts[k], cuts[k + 1]
             sym, text, emit, ahead, scale, _ = run if k == len(cuts) - 2 else forward(lo, hi, befores[k])
-            emit /= scale[:, None]
+            emit /= scale
             after = np.empty_like(ahead)
             for t in range(hi - 1, lo - 1, -1):
                 i, j, m = done[t] - done[lo], done[t + 1] - done[lo], live[t]
-                after[i:j] = back[:m]
-                emit[i:j] *= back[:m]
-                back[:m] = emit[i:j] @ self.move.T
+                after[:, i:j] = back[:, :m]
+                emit[:, i:j] *= back[:, :m]
+                back[:, :m] = back_move @ emit[:, i:j]
             first = live[lo]
             if k:
-                moves += befores[k][:first].T @ emit[:first]
+                moves += befores[k][:, :first] @ emit[:, :first].T
             steps_of = np.repeat(np.arange(lo, hi), live[lo:hi])[first:]
-            moves += ahead[done[steps_of - 1] - done[lo] + text[first:]].T @ emit[first:]
+            moves += np.take(ahead, done[steps_of - 1] - done[lo] + text[first:], axis=1) @ emit[:, first:].T
             after *= ahead
             if k == 0:
-                sums[-2] += after[:first].sum(axis=0)
+                sums[-2] += after[:, :first].sum(axis=1)
             for s in range(states):
-                sums[: len(self.emit), s] += np.bincount(sym, weights=after[:, s], minlength=len(self.emit))
+                sums[: len(self.emit), s] += np.bincount(sym, weights=after[s], minlength=len(self.emit))
         sums[len(self.emit) : -2] += moves * self.move
 
     @classmethod
@@ -191,13 +208,14 @@ class Model:
         order = np.argsort(-size, kind="stable")
         size, start = size[order], bounds[:-1][order]
         out = np.zeros(len(order))
-        a = np.tile(self.first, (len(order), 1))
-        for t in range(int(size[0]) if len(size) else 0):
-            m = int(np.searchsorted(-size, -(t + 1), side="right"))
-            a = (a[:m] @ self.move if t else a[:m]) * self.emit[symbols[start[:m] + t]]
-            s = a.sum(axis=1)
+        given, move = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.move.T)
+        a = np.repeat(self.first[:, None], len(order), axis=1)
+        live = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), side="right") if len(size) else []
+        for t, m in enumerate(live):
+            a = (move @ a[:, :m] if t else a[:, :m]) * np.take(given, symbols[start[:m] + t], axis=1)
+            s = a.sum(axis=0)
             out[:m] += np.log(s)
-            a /= s[:, None]
+            a /= s
         back = np.zeros(len(order))
         back[order] = out
         return back
@@ -213,8 +231,8 @@ def train(training: DataFrame, head: Head, counts: np.ndarray, prior: np.ndarray
         def run(batches, model=model):
             sums = model.sums()
             for batch in batches:
-                for _, _, _, _, symbols, bounds in sequences(batch.column("text"), head):
-                    model.expected(symbols, bounds, sums)
+                symbols, bounds, _ = sequences(batch.column("text"), head)
+                model.expected(symbols, bounds, sums)
             at = np.flatnonzero(sums.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(sums[at, i]) for i in range(states)]], ["row", *columns])
 
@@ -275,15 +293,18 @@ def lm_scores(docs: DataFrame, held_out, states: int = STATES) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for lo, hi, h, bounds, symbols, ends in sequences(batch.column("text"), head):
+            whole, ends, parts = sequences(batch.column("text"), head)
+            likely = model.log_likelihood(whole, ends)
+            for lo, hi, h, bounds in parts:
                 at = head.find(h)
                 text = np.repeat(np.arange(hi - lo), np.diff(bounds))
                 gain = np.log10(np.where(at >= 0, head.n[at] if len(head.n) else 0, 0) + 1.0)
                 size = np.diff(bounds)
                 base = np.bincount(text, weights=gain, minlength=hi - lo) + end_base - (size + 1) * base_whole
-                words = np.delete(symbols, ends[1:] - 1) if len(symbols) else symbols
+                own = whole[ends[lo] : ends[hi]]
+                words = np.delete(own, ends[lo + 1 : hi + 1] - ends[lo] - 1)
                 rare = words >= head.kinds
-                score = model.log_likelihood(symbols, ends) / LN10
+                score = likely[lo:hi] / LN10
                 score += np.bincount(text[rare], weights=gain[rare] - rare_whole[words[rare] - head.kinds + 1], minlength=hi - lo)
                 known = np.bincount(text[at >= 0], minlength=hi - lo) + (texts > 0)
                 mark = np.add.reduceat(np.append(mix(h.view(U) + mix(np.arange(len(h), dtype=U))), U(0)), np.minimum(bounds[:-1], len(h))) * (size > 0)

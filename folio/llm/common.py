@@ -82,12 +82,11 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sorted_table(df: DataFrame, name: str, *keys: str) -> DataFrame:
-    """As stored(), but bucketed and sorted by the keys: later joins and sums by them read buckets and shuffle nothing of it."""
+def sorted_table(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
+    """As stored(), but bucketed and sorted by the keys: later joins by them read buckets and shuffle nothing of it."""
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, *keys).sortBy(*keys).option("path", _new_path(spark, name, table)).saveAsTable(table)
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", _new_path(spark, name, table)).saveAsTable(table)
     return spark.table(table)
 
 

@@ -22,6 +22,7 @@ along in line_dedup(), those with the names of its results replaced, and are lef
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import SPACES, ascii_lower, documents, drop_stored, sorted_table, stored
 
 HASH = ["h1", "h2"]
+#: Lines for each bucket of the runs.
+BUCKET_LINES = 1_000_000
 
 
 def line_key(line):
@@ -38,15 +41,15 @@ def line_key(line):
 class Runs:
     """Levelled sorted runs of (h1, h2, n_docs, keeper)."""
 
-    def __init__(self, min_docs: int):
-        self.min_docs = min_docs
+    def __init__(self, min_docs: int, buckets: int):
+        self.min_docs, self.buckets = min_docs, buckets
         self.levels: list[DataFrame | None] = []
 
     def _merged(self, one: DataFrame, two: DataFrame) -> DataFrame:
         """Two runs as one, by a merge join of their buckets; the old ones go."""
         both = one.join(two.select(*HASH, F.col("n_docs").alias("more"), F.col("keeper").alias("other")), HASH, "full_outer")
         n = F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))
-        out = sorted_table(both.select(*HASH, n.alias("n_docs"), F.greatest("keeper", "other").alias("keeper")), "run", *HASH)
+        out = sorted_table(both.select(*HASH, n.alias("n_docs"), F.greatest("keeper", "other").alias("keeper")), "run", self.buckets, *HASH)
         drop_stored(one)
         drop_stored(two)
         return out
@@ -57,7 +60,7 @@ class Runs:
         new = once.groupBy(*HASH).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
         for run in [r for r in self.levels if r is not None]:
             new = new.join(run.where(F.col("n_docs") >= self.min_docs).select(*HASH), HASH, "left_anti")
-        self._put(sorted_table(new, "run", *HASH), 0)
+        self._put(sorted_table(new, "run", self.buckets, *HASH), 0)
 
     def _put(self, run: DataFrame, level: int) -> None:
         """A level holds one run; a second one is compacted with it into the next level."""
@@ -84,7 +87,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches:
     lines = texts.where("doc_id is not null").select("doc_id", F.posexplode("line").alias("at", "line"))
     lines = lines.where(F.length("line") >= min_chars).select("doc_id", "at", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     lines = stored(lines.select("doc_id", "at", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(10), "key").alias("h2")), "lines")
-    runs = Runs(min_docs)
+    runs = Runs(min_docs, max(8, ceil(lines.count() / BUCKET_LINES)))
     cuts = sorted({int(x) for x in lines.approxQuantile("doc_id", [k / batches for k in range(1, batches)], 0.02)}, reverse=True) if batches > 1 else []
     for low, high in zip([*cuts, None], [None, *cuts], strict=True):
         own = lines.where("true" if low is None else f"doc_id > {low}").where("true" if high is None else f"doc_id <= {high}")

@@ -38,13 +38,13 @@ _open = threading.local()
 
 
 class Scratch:
-    """The tables that stored() and sorted_table() make in this thread inside `with`; delete() removes them when nothing reads them any more.
+    """The tables that stored() makes in this thread inside `with`; delete() removes them when nothing reads them any more.
 
     Tables made outside of any scratch stay until the session's file system is closed, at the latest when the driver ends.
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.paths, self.tables = spark, [], []
+        self.spark, self.paths = spark, []
 
     def __enter__(self) -> Scratch:
         _open.__dict__.setdefault("stack", []).append(self)
@@ -54,19 +54,15 @@ class Scratch:
         _open.stack.pop()
 
     def delete(self) -> None:
-        while self.tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop()}")
         while self.paths:
             delete(self.spark, self.paths.pop())
 
 
-def _new_path(spark: SparkSession, name: str, table: str | None = None) -> str:
+def _new_path(spark: SparkSession, name: str) -> str:
     path = table_path(spark, name)
     stack = _open.__dict__.get("stack")
     if stack:
         stack[-1].paths.append(path)
-        if table:
-            stack[-1].tables.append(table)
     else:
         _files(spark, path).deleteOnExit(spark._jvm.org.apache.hadoop.fs.Path(path))
     return path
@@ -82,14 +78,6 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sorted_table(df: DataFrame, name: str, buckets: int, *keys: str) -> DataFrame:
-    """As stored(), but bucketed and sorted by the keys: later joins by them read buckets and shuffle nothing of it."""
-    spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex}"
-    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", _new_path(spark, name, table)).saveAsTable(table)
-    return spark.table(table)
-
-
 def _files(spark: SparkSession, folder: str):
     return spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -99,7 +87,7 @@ def delete(spark: SparkSession, folder: str) -> None:
 
 
 def drop_stored(df: DataFrame) -> None:
-    """Deletes the files of a table made by stored() or sorted_table() that nothing reads any more."""
+    """Deletes the files of a table made by stored() that nothing reads any more."""
     for folder in {f.rsplit("/part-", 1)[0] for f in df.inputFiles()}:
         delete(df.sparkSession, folder)
 

@@ -48,7 +48,7 @@ class Runs:
         return stored(rows.sortWithinPartitions(*HASH), "run")
 
     def _merged(self, one: DataFrame, two: DataFrame) -> DataFrame:
-        """Two runs as one, by a merge join of their buckets; the old ones go."""
+        """Two runs as one, by a merge join; the old ones go."""
         both = one.join(two.select(*HASH, F.col("n_docs").alias("more"), F.col("keeper").alias("other")), HASH, "full_outer")
         n = F.coalesce("n_docs", F.lit(0)) + F.coalesce("more", F.lit(0))
         out = self._write(both.select(*HASH, n.alias("n_docs"), F.greatest("keeper", "other").alias("keeper")))

@@ -43,7 +43,7 @@ BROADCAST_ROWS = 1_000_000
 
 def shingle_sets(texts: pa.Array, k: int):
     """The sorted distinct shingle hashes of each text."""
-    for _, _, data, ends in chunks(texts):
+    for _, _, data, ends in chunks(texts, 1_000_000):
         hashes, _, bounds = word_table(data, ends)
         if len(hashes) >= k:
             rolled = np.zeros(len(hashes) - k + 1, U)

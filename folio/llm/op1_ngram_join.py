@@ -36,7 +36,7 @@ from .common import components, documents, drop_stored, sized, stored
 from .textbytes import U, chunks, mix, spread, word_table
 
 #: Most shingles and texts of one side of a tile.
-TILE_SHINGLES, TILE_TEXTS = 2_000_000, 2_048
+TILE_SHINGLES, TILE_TEXTS = 4_000_000, 4_096
 #: Most copies whose ids are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 

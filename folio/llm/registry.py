@@ -16,6 +16,9 @@ NAMES = [
     "op8_token_counts",
     "op9_language_id",
     "op10_line_dedup",
+    "op11_fill_middle",
+    "op12_collocations",
+    "op13_simhash",
 ]
 
 

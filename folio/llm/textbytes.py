@@ -24,6 +24,8 @@ BASE = U(0x9E3779B97F4A7C15)
 BYTE = mix(np.arange(1, 257, dtype=U) * BASE)
 #: The same with A-Z folded to a-z.
 FOLDED = BYTE[np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256))]
+#: Each byte with A-Z folded to a-z.
+SMALL = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 IS_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
@@ -41,9 +43,9 @@ def chunks(texts: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int, n
         lo = hi
 
 
-def word_table(data: np.ndarray, ends: np.ndarray, table: np.ndarray = FOLDED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A hash of each word of the texts, its start byte, and the n+1 offsets of each text's words. Words never cross texts."""
-    inside = ~IS_SPACE[data]
+def word_table(data: np.ndarray, ends: np.ndarray, table: np.ndarray = FOLDED, apart: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of each word of the texts, its start byte, and the n+1 offsets of each text's words. Words never cross texts; apart: the bytes between them."""
+    inside = ~apart[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     opens = ends[:-1][ends[:-1] < len(data)]
@@ -63,6 +65,24 @@ def word_table(data: np.ndarray, ends: np.ndarray, table: np.ndarray = FOLDED) -
     return mix(sums ^ (length.astype(U) * U(0xD6E8FEB86659FD93))), starts, bounds
 
 
+def joined_words(data: np.ndarray, ends: np.ndarray, apart: np.ndarray = IS_SPACE) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of the texts, A-Z lower-cased, each followed by one space; where each starts and ends there; the n+1 offsets of
+    each text's words. So the words i to j, joined by spaces, are the bytes from the start of i to the end of j."""
+    inside = ~apart[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    opens = ends[:-1][ends[:-1] < len(data)]
+    first[opens] = inside[opens]
+    starts = np.flatnonzero(first)
+    kept = SMALL[data[inside]]
+    at = np.cumsum(inside)[starts] - 1
+    length = np.diff(np.append(at, len(kept)))
+    out = np.full(len(kept) + len(starts), 32, np.uint8)
+    out[np.arange(len(kept)) + np.repeat(np.arange(len(starts)), length)] = kept
+    begin = at + np.arange(len(starts))
+    return out.tobytes(), begin, begin + length, np.searchsorted(starts, ends)
+
+
 def spread(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """A list array of the given arrays."""
     ends = np.zeros(len(values) + 1, dtype=np.int32)

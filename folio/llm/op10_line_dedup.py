@@ -89,7 +89,7 @@ def cut_points(lines: DataFrame, batches: int) -> list[int]:
     if low is None or batches < 2:
         return []
     width = -(-(high - low + 1) // CELLS)
-    counts = sorted((int(r["cell"]), r["n"]) for r in lines.groupBy(F.floor((F.col("doc_id") - low) / width).alias("cell")).agg(F.count("*").alias("n")).collect())
+    counts = sorted((int(r["cell"]), r["n"]) for r in lines.groupBy(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width).cast("decimal(20,0)")).alias("cell")).agg(F.count("*").alias("n")).collect())
     share, seen, cuts = sum(n for _, n in counts) / batches, 0, []
     for cell, n in counts[:-1]:
         seen += n

@@ -45,3 +45,14 @@ def test_cases(spark):
     assert line_dedup(table(spark, [])).count() == 0
     more = table(spark, [(1, "a", 5, "b", 7)], "doc_id int, text string, at int, lines_ string, n_lines long")
     assert line_dedup(more).select("at", "lines_", "deduped", "n_lines").first() == (5, "b", "a", 1)
+
+
+def test_ids_over_the_whole_range_of_long(spark):
+    """Ids as hashes are: batches are cut without overflow, and the largest id keeps its line."""
+    from folio.llm.op10_line_dedup import line_dedup
+
+    line = "a line that all of the documents hold"
+    ids = [-(2**63), -(2**62), -5, 0, 7, 2**62, 2**63 - 1]
+    rows = [(i, f"own line of {i}\n{line}") for i in ids]
+    out = {r.doc_id: (r.n_lines, r.n_dropped, r.deduped) for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == {i: (2, 0 if i == 2**63 - 1 else 1, t if i == 2**63 - 1 else t.split("\n")[0]) for i, t in rows}

@@ -220,7 +220,7 @@ _compiled: dict = {}
 
 def compiled(pieces) -> Transducer:
     """One transducer for each model and worker."""
-    key = hashlib.sha256(repr(pieces[0]).encode()).digest()
+    key = hashlib.sha256(repr(pieces).encode()).digest()
     if key not in _compiled:
         _compiled[key] = Transducer(*pieces)
     return _compiled[key]

@@ -35,3 +35,14 @@ def test_cases(spark):
     assert encode(table(spark, [])).count() == 0 and digests(table(spark, [])).count() == 0
     more = table(spark, [(1, 2, "a", None), (1, 2, "a", None)], "ids int, n_tokens int, text string, doc_id long")
     assert [(r.n_tokens, len(r.ids), r.doc_id) for r in encode(more).collect()] == [(2, 1, None)] * 2
+
+
+def test_models_with_the_same_pieces_and_other_scores_are_told_apart():
+    from folio.llm.op6_sentencepiece import compiled
+
+    names = [f"<{b}>" for b in range(256)] + ["a", "b", "c", "ab", "bc"]
+    ids = list(range(256))
+    one = compiled((names, [0.0] * 259 + [-1.0, -2.0], ids))
+    two = compiled((names, [0.0] * 259 + [-2.0, -1.0], ids))
+    assert one is not two and compiled((names, [0.0] * 259 + [-1.0, -2.0], ids)) is one
+    assert [p.merged("abc") for p in (one, two)] == [["ab", "c"], ["a", "bc"]]

@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, stored
 from .textbytes import BYTE, U, mix
 
 GRAM, BINS, ROUNDS = 4, 1 << 15, 12
@@ -62,7 +62,7 @@ def counted(batches):
 def learn(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages and log(share of each bin), bins x languages, from all rows (text, lang) with a language and a text."""
     rows = labelled.where("lang is not null and text is not null").select("text", "lang")
-    sums = rows.mapInArrow(counted, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    sums = stored(rows.mapInArrow(counted, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n")), "sums")
     if (found := sums.select("lang").distinct().count()) > LANGUAGES:
         raise ValueError(f"{found} languages; the model is bounded at {LANGUAGES}")
     got = sums.toPandas()

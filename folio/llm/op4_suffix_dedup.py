@@ -247,7 +247,7 @@ def later(rows: DataFrame, name: str) -> DataFrame:
 def suffix_dedup(docs: DataFrame, width: int = 100) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept, spans): the bytes left of each text and the removed runs [from, to)."""
     if not 64 + GRAM <= width <= 108:
-        raise ValueError("width must be from 88 to 108 bytes")
+        raise ValueError(f"width must be from {64 + GRAM} to 108 bytes")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shape = "gram long, span long, doc_id long, place long"
     order = ["gram", "span", "doc_id", "place"]

@@ -35,29 +35,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, stored
+from .marks import bitmap_of, chained, marked
 from .textbytes import U, joined_words, word_table
 
 #: What ends a piece, and what separates words in it.
 BREAK = np.isin(np.arange(256), [ord(c) for c in ".,;:!?\n\x0b\x0c\r"])
 APART = BREAK | np.isin(np.arange(256), [0x20, 0x09])
-#: Bytes of text in work at a time, if a break allows; least and most bits of a bitmap, as powers of two; parts of a ranking.
-WORK, LEAST_BITS, MOST_BITS, SALTS = 4_000_000, 20, 28, 64
-SEGMENT = 1 << 20
-
-
-def _hash_long(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """XXH64 of 8 bytes."""
-    turned = lambda v, n: v << U(n) | v >> U(64 - n)
-    h = seed + U(2870177450012600261 + 8) ^ turned(x * U(14029467366897019727), 31) * U(11400714785074694791)
-    h = turned(h, 27) * U(11400714785074694791) + U(9650029242287828579)
-    h = (h ^ h >> U(33)) * U(14029467366897019727)
-    h = (h ^ h >> U(29)) * U(1609587929392839161)
-    return h ^ h >> U(32)
-
-
-def chained(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """The same as F.xxhash64(prefix, word) of two longs."""
-    return _hash_long(word, _hash_long(prefix, np.array([42], U)))
+#: Bytes of text in work at a time, if a break allows; parts of a ranking.
+WORK, SALTS = 4_000_000, 64
 
 
 def language_hash(lang: str) -> int:
@@ -123,12 +108,6 @@ def count_words(batches):
         yield pa.RecordBatch.from_arrays([pa.array([language_hash(lang)] * rows, pa.int64()), pa.array([0] * rows, pa.int64()), pa.array([*words.view(np.int64).tolist(), None], pa.int64()), pa.array([*n.tolist(), len(part.words)], pa.int64()), pa.array([None] * (rows - 1) + [lang])], ["language", "prefix", "word", "n", "lang"])
 
 
-def _marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bits = U(len(bitmap).bit_length() + 2)
-    at = hashes >> U(64) - bits
-    return bitmap[at >> U(3)] >> (at & U(7)).astype(np.uint8) & 1 == 1
-
-
 def count_grams(n: int, bitmap):
     """For mapInArrow over (lang, text): rows (language, prefix, word, n) of the n-grams of each part whose two parts of n-1 words are marked."""
 
@@ -139,7 +118,7 @@ def count_grams(n: int, bitmap):
                 part.longer()
             if len(part.words) < n:
                 continue
-            known = _marked(marks, part.grams)
+            known = marked(marks, part.grams)
             at = np.flatnonzero(part.whole(n) & known[:-1] & known[1:])
             prefix, word = part.grams[at], part.words[at + n - 1]
             _, first, count = np.unique(chained(prefix, word), return_index=True, return_counts=True)
@@ -157,7 +136,7 @@ def spell(most: int, bitmap):
             buffer = None
             while part.n < min(most, len(part.words)):
                 part.longer()
-                at = np.flatnonzero(part.whole(part.n) & _marked(marks, part.grams))
+                at = np.flatnonzero(part.whole(part.n) & marked(marks, part.grams))
                 grams, first = np.unique(part.grams[at], return_index=True)
                 if len(grams):
                     buffer, start, end, _ = buffer or joined_words(part.data, part.ends, APART)
@@ -168,29 +147,6 @@ def spell(most: int, bitmap):
     return run
 
 
-def _segment(bits: int):
-    """For applyInArrow over the marks of one segment of a bitmap: the segment's bytes."""
-
-    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        there = np.zeros(min(SEGMENT, 1 << bits), np.uint8)
-        there[rows.column("at").to_numpy() % SEGMENT] = 1
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bytes": pa.array([np.packbits(there, bitorder="little").tobytes()], pa.binary())})
-
-    return run
-
-
-def bitmap_of(grams: DataFrame):
-    """A broadcast bitmap of the column `gram`, of about 32 bits for each row and 2 ** MOST_BITS bits at most."""
-    spark = grams.sparkSession
-    bits = min(MOST_BITS, max(LEAST_BITS, (32 * grams.count()).bit_length()))
-    places = grams.select(F.shiftrightunsigned("gram", 64 - bits).alias("at")).distinct().withColumn("segment", F.floor(F.col("at") / SEGMENT))
-    out = np.zeros(1 << bits - 3, np.uint8)
-    for row in places.groupBy("segment").applyInArrow(_segment(bits), "segment long, bytes binary").collect():
-        lo = row.segment * SEGMENT // 8
-        out[lo : lo + len(row.bytes)] = np.frombuffer(row.bytes, np.uint8)
-    return spark.sparkContext.broadcast(out.tobytes())
-
-
 def frequent_grams(texts: DataFrame, most: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Rows (language, lang, n) of all words of each language; rows (language, length, gram, f, heads, tails) of all phrases of 1 to
     `most` words found `least` times or more, with the hashes of their first 1.. and last 1.. words."""
@@ -201,7 +157,7 @@ def frequent_grams(texts: DataFrame, most: int, least: int) -> tuple[DataFrame,
     none = F.array().cast("array<long>")
     levels = [level.where("word is not null").select("language", F.lit(1).alias("length"), F.col("word").alias("gram"), "f", none.alias("heads"), none.alias("tails"))]
     for n in range(2, most + 1):
-        bitmap = bitmap_of(levels[-1])
+        bitmap = bitmap_of(levels[-1], "gram")
         found = texts.mapInArrow(count_grams(n, bitmap), "language long, prefix long, word long, n long")
         found = found.groupBy("language", "prefix", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
         shorter = levels[-1].select("language", F.col("gram").alias("prefix"), "heads", "tails")
@@ -236,7 +192,7 @@ def collocations(docs: DataFrame, most: int = 5, least: int = 100, first: int |
             salted = salted.withColumn("place_", F.rank().over(Window.partitionBy(*keys).orderBy(*best))).where(F.col("place_") <= first)
         scored = salted.drop("salt_", "place_")
     scored = stored(scored, "scored")
-    spelt = texts.mapInArrow(spell(most, bitmap_of(scored)), "gram long, phrase string").groupBy("gram").agg(F.min("phrase").alias("phrase"))
+    spelt = texts.mapInArrow(spell(most, bitmap_of(scored, "gram")), "gram long, phrase string").groupBy("gram").agg(F.min("phrase").alias("phrase"))
     out = scored.join(spelt, "gram")
     if not first:
         return out.select("lang", F.lit(None).cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

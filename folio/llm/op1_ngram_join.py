@@ -4,17 +4,22 @@ Two texts link when the Jaccard similarity of their sets of k-word shingles is a
 
 1. A text's shingles become 64-bit hashes, sorted. Sizes fall into bands [e, e * den // num]; a linked pair lies in
    one band or in two neighbouring ones, so tile b holds the bands b and b + 1.
+   The text's parity bitmap has a bit for each cell of the hash range that holds an odd number of its shingles.
 2. A linked pair of tile b differs in at most d_b shingles. The hash range is cut into d_b + 1 + spare parts, so at
    least one non-empty part is the same in both. The parts' hashes are the tile's keys; only texts that share a key
    can link. A text with more than `spare` empty parts also gives keys for those, so no pair is lost.
 3. Keys are sorted by range over (key, id), so a key of very many texts lies in several partitions and none is held in
-   memory; texts that share a key form stars around the smallest id, and connected stars are the blocks to compare. Large
-   blocks are cut by size band and salt into tiles of bounded size, and pairs of tiles are compared.
-4. In a tile, the bit counts of XORed parity bitmaps bound the overlap from above; pairs that pass are decided by
-   the exact intersection of their sorted arrays. Without `count`, a pair whose ends the tile has already joined is
-   skipped, so links grow with the texts and not with their square; components stay those of all links. With `count`
-   every pair is decided and the tile gives each text's number of links, still with a spanning forest for step 5, so
-   work but not rows grows with the square of a group's size. A pair of texts is in one tile only, so sums are exact.
+   memory; texts of one tile that share a key form stars around the smallest id, and connected stars are the tile's blocks.
+4. Blocks are searched by bitmaps alone, about a byte for each shingle. The bits of two XORed bitmaps are at most the
+   shingles in which the texts differ, so they bound the overlap from above. A block is walked breadth-first over the pairs that pass, each
+   text against those not yet reached and of fitting size; large blocks are cut by salt into tiles of bounded size first. What it
+   reaches spans all pairs that can link, and connected, it is a group: chains of chance keys end here, before an array is made.
+5. Arrays are made of the groups' texts only: a bounded bitmap of their ids filters the scan. A large group is cut by size band
+   and salt, and pairs of tiles are compared: pairs that pass the bitmap bound are decided by the exact intersection of
+   their sorted arrays. Without `count`, a pair whose ends the tile has already joined is skipped, so links grow with the
+   texts and not with their square; components stay those of all links. With `count` every pair is decided and the tile gives
+   each text's number of links, still with a spanning forest, so work but not rows grows with the square of a group's size. A
+   pair of texts is in one tile only, so sums are exact.
 
 Texts with equal sets are collapsed to their smallest doc_id before step 2. Shingles are compared by 64-bit hashes.
 
@@ -33,10 +38,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, documents, drop_stored, sized, stored
+from .marks import bitmap_of, hashed, marked
 from .textbytes import U, chunks, mix, spread, word_table
 
 #: Most shingles and texts of one side of a tile.
 TILE_SHINGLES, TILE_TEXTS = 4_000_000, 4_096
+#: Most texts and bytes of bitmaps of a block that one task compares whole, and about those of one salt of a larger one.
+BLOCK_TEXTS, BLOCK_BYTES = 8_192, 32_000_000
 #: Most copies whose ids are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -87,14 +95,13 @@ class Bands:
             self.parts[tile] = differ + 1 + spare, spare
         return self.parts[tile]
 
-    def keys(self, own: np.ndarray) -> np.ndarray:
-        """The keys of a set of sorted hashes: those of its own band's tile and of the tile below, if it can link there."""
-        n = len(own)
-        if not n:
-            return own
-        band, out = self.band(n), []
+    def keys(self, own: np.ndarray) -> list[np.ndarray]:
+        """The keys of a set of sorted hashes: those of its own band's tile, and of the tile below if it can link there."""
+        n, out = len(own), []
+        band = self.band(n) if n else -1
         for tile in (band, band - 1):
             if tile < 0 or tile < band and n > (self.edges[band] - 1) * self.den // self.num:
+                out.append(np.zeros(0, U))
                 continue
             k, spare = self.cut(tile)
             part = ((own >> U(32)) * U(k)) >> U(32)
@@ -105,23 +112,41 @@ class Bands:
                 empty = np.setdiff1d(np.arange(k, dtype=U), there)
                 there, sums = np.append(there, empty), np.append(sums, np.zeros(len(empty), U))
             out.append(mix(sums + mix(there * U(0xE7037ED1A0B428DB) + U((tile + 1) * 0x8EBC6AF09C88C6E3 & 0xFFFFFFFFFFFFFFFF))))
-        return np.concatenate(out)
+        return out
+
+
+def parity(own: np.ndarray) -> bytes:
+    """The parity bitmap of a set, of about four to eight bits for each hash."""
+    bits = 1 << min(16, max(8, (4 * len(own)).bit_length()))
+    return np.packbits(np.bincount((own & U(bits - 1)).astype(np.int64), minlength=bits) & 1 == 1, bitorder="little").tobytes()
+
+
+def folded(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps of several sizes at the size of the smallest, one in a row: halves are XORed, which keeps parities."""
+    width = min(len(x) for x in maps)
+    out = np.empty((len(maps), width // 8), U)
+    for i, x in enumerate(maps):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(x, U).reshape(-1, width // 8), axis=0)
+    return out
 
 
 def text_sets(k: int, num: int, den: int):
-    """For mapInArrow over (doc_id, text): the set's size, a 128-bit hash of the set, and its keys."""
+    """For mapInArrow over (doc_id, text): the set's size, band, 128-bit hash and bitmap, and its keys in two tiles."""
 
     def run(batches):
         bands = Bands(num, den)
         for batch in batches:
-            sizes, one, two, keys = [], [], [], []
+            sizes, band, one, two, maps, keys = [], [], [], [], [], []
             for own in shingle_sets(batch.column("text"), k):
                 sizes.append(len(own))
+                band.append(bands.band(len(own)) if len(own) else -1)
+                maps.append(parity(own))
                 one.append(np.add.reduce(mix(own), dtype=U))
                 two.append(np.add.reduce(mix(own ^ U(0x589965CC75374CC3)), dtype=U))
                 keys.append(bands.keys(own))
             if sizes:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(np.array(one, U).view(np.int64)), pa.array(np.array(two, U).view(np.int64)), spread(keys, pa.int64())], ["doc_id", "n_shingles", "s1", "s2", "keys"])
+                own, below = (spread(list(x), pa.int64()) for x in zip(*keys, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(band, pa.int32()), pa.array(np.array(one, U).view(np.int64)), pa.array(np.array(two, U).view(np.int64)), pa.array(maps, pa.binary()), own, below], ["doc_id", "n_shingles", "band", "s1", "s2", "map", "own", "below"])
 
     return run
 
@@ -155,15 +180,83 @@ def stars(keyed: DataFrame) -> DataFrame:
     return found.where("edge is null").select("a", "b").union(across)
 
 
-def hash_arrays(k: int, num: int, den: int):
-    """For mapInArrow over (doc_id, block, salts, text): the sorted hashes of each text, with its band."""
+def reachable(n: np.ndarray, maps: np.ndarray, ids: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs of ids that span all pairs whose overlap, bounded by the bitmaps, reaches the threshold. n ascends."""
+    links, rest = [], np.arange(len(n))
+    while len(rest) > 1:
+        reached, rest = [rest[0]], rest[1:]
+        while reached and len(rest):
+            i = reached.pop()
+            size = n[rest]
+            lo, hi = np.searchsorted(size * den, n[i] * num), np.searchsorted(size * num, n[i] * den, side="right")
+            window = rest[lo:hi]
+            apart = np.bitwise_count(maps[window] ^ maps[i]).sum(axis=1, dtype=np.int64)
+            over = (n[i] + n[window] - apart) // 2
+            may = over * den >= (n[i] + n[window] - over) * num
+            if may.any():
+                near = window[may]
+                reached += near.tolist()
+                links += [(int(ids[i]), other) for other in ids[near].tolist()]
+                rest = np.concatenate([rest[:lo], window[~may], rest[hi:]])
+    return links
+
+
+def _block_pairs(rows: pa.Table, num: int, den: int) -> dict:
+    rows = rows.sort_by([("n", "ascending"), ("doc_id", "ascending")])
+    pairs = reachable(rows.column("n").to_numpy(), folded(rows.column("map").to_pylist()), rows.column("doc_id").to_numpy(), num, den)
+    return {"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())}
+
+
+def block_pairs(num: int, den: int):
+    """For mapInArrow over (block, doc_id, n, map), sorted by block: pairs that span the possible links of each block. A block may go on in the next batch."""
 
     def run(batches):
-        bands = Bands(num, den)
+        held = None
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = pa.concat_tables([held, now]).combine_chunks() if held is not None else now
+            if not len(now):
+                continue
+            block = now.column("block").to_numpy()
+            starts = np.flatnonzero(np.append(True, block[1:] != block[:-1])).tolist()
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                yield pa.RecordBatch.from_pydict(_block_pairs(now.slice(a, b - a), num, den))
+            held = now.slice(starts[-1])
+        if held is not None and len(held):
+            yield pa.RecordBatch.from_pydict(_block_pairs(held, num, den))
+
+    return run
+
+
+def salted_pairs(num: int, den: int):
+    """For applyInArrow over a tile of a large block."""
+    return lambda tile: pa.table(_block_pairs(tile, num, den))
+
+
+def possible_links(blocks: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) that span all pairs of the rows (block, doc_id, n, map) of a block that can link by size and bitmap."""
+    rows = stored(blocks.join(blocks.groupBy("block").agg(F.count("*").alias("texts"), F.sum(F.length("map")).alias("bytes")), "block"), "maps")
+    salts = F.ceil(F.greatest(F.col("texts") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    rows = rows.withColumn("salts", salts).drop("texts", "bytes")
+    small = rows.where("salts = 1").select("block", "doc_id", "n", "map").repartition("block").sortWithinPartitions("block")
+    large = rows.where("salts > 1").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    large = large.select("block", F.least("salt", "other").alias("t1"), F.greatest("salt", "other").alias("t2"), "doc_id", "n", "map")
+    tiles = large.groupBy("block", "t1", "t2").applyInArrow(salted_pairs(num, den), "a long, b long")
+    return small.mapInArrow(block_pairs(num, den), "a long, b long").union(tiles).distinct()
+
+
+def hash_arrays(k: int, num: int, den: int, members):
+    """For mapInArrow over (doc_id, text): the sorted hashes of each text whose doc_id is marked, with its band."""
+
+    def run(batches):
+        bands, there = Bands(num, den), np.frombuffer(members.value, np.uint8)
         for batch in batches:
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(marked(there, hashed(ids.view(U)))))
             sets = list(shingle_sets(batch.column("text"), k))
             band = [bands.band(len(s)) if len(s) else -1 for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("block"), pa.array(band, pa.int32()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "block", "band", "n", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(band, pa.int32()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "band", "n", "hashes"])
 
     return run
 
@@ -243,16 +336,24 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, count
     n_links, the number of other sets that the document's set links with. See the module for the method and for the cases.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keys = stored(docs.mapInArrow(text_sets(k, num, den), "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>"), "keys")
-    sets = stored(keys.drop("keys"), "sets")
+    keys = stored(docs.mapInArrow(text_sets(k, num, den), "doc_id long, n_shingles long, band int, s1 long, s2 long, map binary, own array<long>, below array<long>"), "keys")
+    sets = stored(keys.select("doc_id", "n_shingles", "s1", "s2"), "sets")
     copies = stored(sets.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"), F.max("n_shingles").alias("n")), "copies")
     others = stored(sets.join(copies.where("n_copies > 1").select("s1", "s2", "rep"), ["s1", "s2"]).where("doc_id <> rep").select("doc_id", "s1", "s2").distinct(), "others")
     reps = keys.where("n_shingles > 0 and doc_id is not null").join(sized(others, BROADCAST_ROWS), ["doc_id", "s1", "s2"], "left_anti")
-    keyed = reps.select("doc_id", F.explode("keys").alias("key"))
-    blocks = stored(components(stars(keyed)).withColumnsRenamed({"node": "doc_id", "component": "block"}), "blocks")
+    # A text is a node of its own band's tile and of the one below; stars and blocks never cross tiles.
+    tiles = F.explode(F.array(F.struct(F.col("band").alias("tile"), F.col("own").alias("keys")), F.struct((F.col("band") - 1).alias("tile"), F.col("below").alias("keys")))).alias("t")
+    node = F.xxhash64("doc_id", "t.tile")
+    keyed = reps.select("doc_id", tiles).select(node.alias("doc_id"), F.explode("t.keys").alias("key"))
+    blocks = components(stars(keyed)).withColumnsRenamed({"component": "block"})
+    nodes = reps.select("doc_id", F.col("n_shingles").alias("n"), "map", tiles).where(F.size("t.keys") > 0).select("doc_id", "n", "map", node.alias("node"))
+    groups = components(possible_links(nodes.join(blocks, "node").drop("node"), num, den))
+    groups = stored(groups.withColumnsRenamed({"node": "doc_id", "component": "block"}), "groups")
     drop_stored(keys)
 
-    arrays = stored(docs.join(blocks.hint("shuffle_hash"), "doc_id").select("doc_id", "block", "text").mapInArrow(hash_arrays(k, num, den), "doc_id long, block long, band int, n long, hashes binary").where("n > 0").dropDuplicates(["doc_id", "hashes"]), "arrays")
+    members = bitmap_of(groups.select(F.xxhash64("doc_id").alias("mark")), "mark")
+    named = docs.where("doc_id is not null").mapInArrow(hash_arrays(k, num, den, members), "doc_id long, band int, n long, hashes binary")
+    arrays = stored(named.where("n > 0").join(groups, "doc_id").dropDuplicates(["doc_id", "hashes"]), "arrays")
     links = stored(tile_pairs(arrays).groupBy("block", "t1", "t2").applyInArrow(tile_links(num, den, count), "a long, b long, n long"), "links")
     drop_stored(arrays)
     joined = stored(components(links.where("b is not null").select("a", "b")), "joined")

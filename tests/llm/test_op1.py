@@ -37,6 +37,7 @@ def test_tiles_of_large_blocks(spark, monkeypatch):
     import folio.llm.op1_ngram_join as m
 
     monkeypatch.setattr(m, "TILE_TEXTS", 7)
+    monkeypatch.setattr(m, "BLOCK_TEXTS", 5)
     rows = list(enumerate(noisy_texts(5, n=120, words=60)))
     assert result(ngram_join(table(spark, rows), 3, 80, 100)) == plain(rows, 3, 80, 100)
 
@@ -73,3 +74,31 @@ def test_stars_connect_each_key_over_all_partitions(spark, parts):
     first = {k: min(i for j, i in rows if j == k) for k, _ in rows}
     assert smallest_reachable(ids, got) == smallest_reachable(ids, [(first[k], i) for k, i in rows])
     assert len(got) <= len(set(rows)) + 2 * parts
+
+
+def test_bitmaps_bound_the_difference():
+    """XOR of parity bitmaps of any two sizes, folded, never has more bits than the sets differ in."""
+    import numpy as np
+
+    from folio.llm.op1_ngram_join import folded, parity
+
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        one = np.unique(rng.integers(0, 2**63, rng.integers(1, 900)).astype(np.uint64))
+        two = np.unique(np.concatenate([one[: rng.integers(0, len(one) + 1)], rng.integers(0, 2**63, rng.integers(0, 900)).astype(np.uint64)]))
+        maps = folded([parity(one), parity(two)])
+        apart = int(np.bitwise_count(maps[0] ^ maps[1]).sum())
+        assert apart <= len(np.setxor1d(one, two)) and (apart - len(one) - len(two)) % 2 == 0
+
+
+def test_chains_of_chance_keys_make_no_arrays(spark, monkeypatch):
+    """Texts that share a passage but aren't near end as groups of their own before arrays are made."""
+    import folio.llm.op1_ngram_join as m
+
+    made = []
+    pairs = m.tile_pairs
+    monkeypatch.setattr(m, "tile_pairs", lambda arrays: made.append(arrays.count()) or pairs(arrays))
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(90)) + " " + passage) for i in range(80)] + [(100, "d0w0 " * 5 + passage), (101, "d0w0 " * 5 + passage + " more")]
+    assert result(ngram_join(table(spark, rows), 3, 80, 100)) == plain(rows, 3, 80, 100)
+    assert made == [2]

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from folio.llm import marks
 from folio.llm import op12_collocations as m
 
 from .helpers import SF, table
@@ -55,26 +56,26 @@ def test_equals_a_plain_count(spark, monkeypatch, least, first, work):
 
 
 def test_equals_a_plain_count_with_a_full_bitmap(spark, monkeypatch):
-    monkeypatch.setattr(m, "LEAST_BITS", 4)
-    monkeypatch.setattr(m, "MOST_BITS", 4)
+    monkeypatch.setattr(marks, "LEAST_BITS", 4)
+    monkeypatch.setattr(marks, "MOST_BITS", 4)
     rows = list(phrases(9, 150))
     assert got(m.collocations(table(spark, rows, DDL), least=2)) == plain(rows, least=2)
 
 
 def test_segments_of_a_bitmap(spark, monkeypatch):
-    monkeypatch.setattr(m, "SEGMENT", 1 << 10)
+    monkeypatch.setattr(marks, "SEGMENT", 1 << 10)
     hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 5000)
-    marks = np.frombuffer(m.bitmap_of(table(spark, [(int(h),) for h in hashes], "gram long")).value, np.uint8)
-    assert m._marked(marks, hashes.view(np.uint64)).all()
+    bitmap = np.frombuffer(marks.bitmap_of(table(spark, [(int(h),) for h in hashes], "gram long"), "gram").value, np.uint8)
+    assert marks.marked(bitmap, hashes.view(np.uint64)).all()
     others = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)
-    assert m._marked(marks, others.view(np.uint64)).mean() < 0.1
+    assert marks.marked(bitmap, others.view(np.uint64)).mean() < 0.1
 
 
 def test_hashes_are_those_of_spark(spark):
     rows = [(-5, 7), (0, 0), (2**63 - 1, -(2**63)), (123456789, -987654321)]
     want = [r.h for r in table(spark, rows, "a long, b long").select(F.xxhash64("a", "b").alias("h")).collect()]
     a, b = np.array(rows, np.int64).T
-    assert m.chained(a.copy().view(np.uint64), b.copy().view(np.uint64)).view(np.int64).tolist() == want
+    assert marks.chained(a.copy().view(np.uint64), b.copy().view(np.uint64)).view(np.int64).tolist() == want
 
 
 def test_query_equals_sql(spark):

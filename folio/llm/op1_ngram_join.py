@@ -207,6 +207,17 @@ def _block_pairs(rows: pa.Table, num: int, den: int) -> dict:
     return {"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())}
 
 
+def only_marked(column: str, bitmap):
+    """For mapInArrow: the rows whose hash in the column is marked, so that few others meet the shuffle of a join."""
+
+    def run(batches):
+        there = np.frombuffer(bitmap.value, np.uint8)
+        for batch in batches:
+            yield batch.filter(pa.array(marked(there, batch.column(column).to_numpy().view(U))))
+
+    return run
+
+
 def block_pairs(num: int, den: int):
     """For mapInArrow over (block, doc_id, n, map), sorted by block: pairs that span the possible links of each block. A block may go on in the next batch."""
 
@@ -235,9 +246,10 @@ def salted_pairs(num: int, den: int):
 
 def possible_links(blocks: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) that span all pairs of the rows (block, doc_id, n, map) of a block that can link by size and bitmap."""
-    rows = stored(blocks.join(blocks.groupBy("block").agg(F.count("*").alias("texts"), F.sum(F.length("map")).alias("bytes")), "block"), "maps")
+    sizes = blocks.groupBy("block").agg(F.count("*").alias("texts"), F.sum(F.length("map")).alias("bytes"))
     salts = F.ceil(F.greatest(F.col("texts") / BLOCK_TEXTS, F.col("bytes") / BLOCK_BYTES)).cast("int")
-    rows = rows.withColumn("salts", salts).drop("texts", "bytes")
+    # Stored, since a sort above a merge join on the same key is left out, and adaptive execution may still make that join another.
+    rows = stored(blocks.join(sizes, "block").withColumn("salts", salts).drop("texts", "bytes"), "salted")
     small = rows.where("salts = 1").select("block", "doc_id", "n", "map").repartition("block").sortWithinPartitions("block")
     large = rows.where("salts > 1").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"))
     large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
@@ -345,9 +357,10 @@ def ngram_join(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, count
     tiles = F.explode(F.array(F.struct(F.col("band").alias("tile"), F.col("own").alias("keys")), F.struct((F.col("band") - 1).alias("tile"), F.col("below").alias("keys")))).alias("t")
     node = F.xxhash64("doc_id", "t.tile")
     keyed = reps.select("doc_id", tiles).select(node.alias("doc_id"), F.explode("t.keys").alias("key"))
-    blocks = components(stars(keyed)).withColumnsRenamed({"component": "block"})
-    nodes = reps.select("doc_id", F.col("n_shingles").alias("n"), "map", tiles).where(F.size("t.keys") > 0).select("doc_id", "n", "map", node.alias("node"))
-    groups = components(possible_links(nodes.join(blocks, "node").drop("node"), num, den))
+    blocks = stored(components(stars(keyed)).withColumnsRenamed({"component": "block"}), "blocks")
+    nodes = reps.select("doc_id", F.col("n_shingles").alias("n"), "map", tiles).select(node.alias("node"), "doc_id", "n", "map")
+    nodes = nodes.mapInArrow(only_marked("node", bitmap_of(blocks, "node")), nodes.schema)
+    groups = components(possible_links(stored(nodes.join(blocks, "node").drop("node"), "maps"), num, den))
     groups = stored(groups.withColumnsRenamed({"node": "doc_id", "component": "block"}), "groups")
     drop_stored(keys)
 

@@ -76,6 +76,18 @@ def test_stars_connect_each_key_over_all_partitions(spark, parts):
     assert len(got) <= len(set(rows)) + 2 * parts
 
 
+def test_equals_all_pairs_where_joins_change_while_they_run(spark):
+    """Merge joins by the plan that adaptive execution turns into broadcast ones."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+    rows = list(enumerate(noisy_texts(11, n=400, words=150)))
+    try:
+        assert result(ngram_join(table(spark, rows).repartition(5), 3, 90, 100)) == plain(rows, 3, 90, 100)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_bitmaps_bound_the_difference():
     """XOR of parity bitmaps of any two sizes, folded, never has more bits than the sets differ in."""
     import numpy as np

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folio.shared import written
+
 
 def replace_groups(old: DataFrame, new: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     """Old rows of the given groups go, all new rows come; a group without new rows is just cleared."""
@@ -20,13 +22,18 @@ def upsert(old: DataFrame, new: DataFrame, key: str, provided: dict[str, Column]
 
 
 def numbered(rows: DataFrame, order: list[str], into: str) -> DataFrame:
-    """Rows with their place 1..n in the given order. Ranges of the order are sorted in parallel; a range's first number follows from the
-    counts of the ranges before it, which are one row each."""
-    parts = rows.repartitionByRange(*order).withColumn("part_", F.spark_partition_id())
-    parts = parts.withColumn("own_", F.row_number().over(Window.partitionBy("part_").orderBy(*order)))
+    """Rows with their place 1..n in the given order; ties in the order of a hash of the row.
+
+    Ranges of the order are sorted in parallel and written once with each row's place in its range: range bounds are sampled anew whenever a
+    plan with other columns is run, so counts and rows must come from one table. A range's first number follows from the counts
+    of the ranges before it, which are one row each.
+    """
+    spread = [*order, F.xxhash64(*rows.columns)]
+    parts = rows.repartitionByRange(*spread).sortWithinPartitions(*spread).withColumn("place_", F.monotonically_increasing_id())
+    parts = written(parts, "numbered").withColumns({"part_": F.shiftright("place_", 33), "own_": F.col("place_").bitwiseAND(F.lit((1 << 33) - 1))})
     sizes = parts.groupBy("part_").agg(F.count("*").alias("n_"))
     before = sizes.select("part_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before_"))
-    return parts.join(F.broadcast(before), "part_").withColumn(into, (F.col("before_") + F.col("own_")).cast("long")).drop("part_", "own_", "before_")
+    return parts.join(F.broadcast(before), "part_").withColumn(into, (F.col("before_") + F.col("own_") + 1).cast("long")).drop("part_", "own_", "place_", "before_")
 
 
 def get_or_create(dim: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:

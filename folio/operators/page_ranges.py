@@ -124,7 +124,7 @@ RECONCILED = phrases("amounts reported for governmental activities\\b.*\\bare di
 FOOTER = r"(?im)^.*(?:" + phrases("see (?:accompanying )?notes? to (?:the )?(?:basic )?(?:financial|required)", "the accompanying notes? are an integral part", "notes? are an integral part")[5:] + r").*$\n?"
 CONTINUED = r"(?i)\bcont(?:inued\b|\.|'d\b)|\bpage\s+[2-9][0-9]*\s+of\s+[0-9]+\b"
 FROM_PREVIOUS = r"(?i)\bcontinued\s+from\s+previous\s+page\b|\(continued\)"
-SPACED = r"(?m)^[ \t]*(?:[A-Za-z]\s){2,}"
+SPACED = r"(?m)^[^\S\n]*[A-Za-z][^\S\n][A-Za-z][^\S\n]+\S"
 OTHER_TITLE = r"(?i)\bstatement\s+of\b|\breconciliation\b|\bschedule\b"
 OWN_FUND = r"\b(?:proprietary|enterprise|internal\s+service)"
 OVERFLOW_NOT = phrases("notes? to", "required supplementary", "supplementary", "statistical", "fiduciary", "balance sheet\\b.{0,60}\\bgovernmental funds", "governmental funds\\b.{0,60}\\bbalance sheet")

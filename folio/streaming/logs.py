@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,11 +28,13 @@ def aligned(log: DataFrame) -> DataFrame:
 
 
 def read_log(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
-    """The log of one year, or of all: a table partitioned by year, of which only that year's files are read. A folder without files is empty."""
-    try:
-        rows = spark.read.option("mergeSchema", True).parquet(folder)
-    except AnalysisException:
+    """The log of one year, or of all: a table partitioned by year, of which only that year's files are read. A folder that is missing or
+    without files is empty; files that can't be read raise."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(at) or not any(s.isDirectory() or s.getPath().getName().endswith(".parquet") for s in files.listStatus(at)):
         return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in LOG.items()))
+    rows = spark.read.option("mergeSchema", True).parquet(folder)
     return aligned(rows if year is None else rows.where(F.col("year") == year))
 
 
@@ -69,17 +70,19 @@ def windowed_counts(events: DataFrame, every: str = "1 day", late: str = "2 days
     return events.groupBy(F.window("ts", every).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-def ingest(spark: SparkSession, stream: DataFrame, version: str, key: str):
-    """Writes each micro-batch as the next version of a table whose groups it replaces; returns the started query.
+def ingest(spark: SparkSession, stream: DataFrame, folder: str, key: str, rows: int = 1_000_000):
+    """Writes each micro-batch into a keyed store, replacing the groups of its keys; returns the started query.
 
-    version: a folder for the table's versions, named by batch id, so that a repeated batch overwrites its own output.
+    Only the key ranges that a batch touches are rewritten. A version carries the number of its batch, so a batch that is repeated after a failure
+    changes nothing. The stream's progress lies beside the table, and a new start goes on from there.
     """
-    from folio.operators.upsert import replace_groups
+    from folio.sources.store import KeyedStore
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = batch
-        if batch_id > 0:
-            now = replace_groups(batch.sparkSession.read.parquet(f"{version}/{batch_id - 1}"), batch, batch, key)
-        now.write.mode("overwrite").parquet(f"{version}/{batch_id}")
+        store = KeyedStore(batch.sparkSession, folder, key, rows)
+        if store.versions():
+            store.replace(batch, batch=batch_id)
+        else:
+            store.create(batch, batch=batch_id)
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{version}/_progress").trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/_progress").trigger(availableNow=True).start()

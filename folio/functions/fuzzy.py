@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -22,12 +24,32 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - row.bit_count()) / (len(a) + len(b))
 
 
-def partial(a: str, b: str) -> float:
-    """The best ratio of the shorter text to a stretch of the longer one of at most its length."""
+def partial(a: str, b: str, least: float = 0.0) -> float:
+    """The best ratio of the shorter text to a stretch of the longer one of at most its length; 0 if it is below `least`.
+
+    A stretch is only compared if the characters that it shares with the shorter text, kept as counts while it slides, could beat the best so far.
+    """
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
-    return max(ratio(short, long[max(0, i) : i + len(short)]) for i in range(1 - len(short), len(long)))
+    size, wanted, held = len(short), Counter(short), Counter()
+    best, shared = 0.0, 0
+    for end in range(1, len(long) + size):
+        if end <= len(long):
+            ch = long[end - 1]
+            held[ch] += 1
+            shared += held[ch] <= wanted[ch]
+        if end > size:
+            ch = long[end - size - 1]
+            shared -= held[ch] <= wanted[ch]
+            held[ch] -= 1
+        stretch = long[max(0, end - size) : end]
+        bound = 200.0 * shared / (size + len(stretch))
+        if bound > best and bound >= least:
+            best = max(best, ratio(short, stretch))
+            if best == 100.0:
+                break
+    return best if best >= least else 0.0
 
 
 def token_set(a: str, b: str) -> float:

@@ -70,7 +70,7 @@ def windowed_counts(events: DataFrame, every: str = "1 day", late: str = "2 days
     return events.groupBy(F.window("ts", every).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-def ingest(spark: SparkSession, stream: DataFrame, folder: str, key: str, rows: int = 1_000_000):
+def ingest_keyed(spark: SparkSession, stream: DataFrame, folder: str, key: str, rows: int = 1_000_000):
     """Writes each micro-batch into a keyed store, replacing the groups of its keys; returns the started query.
 
     Only the key ranges that a batch touches are rewritten. A version carries the number of its batch, so a batch that is repeated after a failure
@@ -86,3 +86,20 @@ def ingest(spark: SparkSession, stream: DataFrame, folder: str, key: str, rows:
             store.create(batch, batch=batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/_progress").trigger(availableNow=True).start()
+
+
+def ingest(spark: SparkSession, stream: DataFrame, version: str, key: str):
+    """Writes each micro-batch as the next whole version of a table whose groups it replaces; returns the started query.
+
+    version: a folder for the table's versions, named by batch id, so that a repeated batch overwrites its own output. Each batch
+    rewrites the table: for small tables that are read as plain Parquet; ingest_keyed() rewrites what a batch touches only.
+    """
+    from folio.operators.upsert import replace_groups
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = batch
+        if batch_id > 0:
+            now = replace_groups(batch.sparkSession.read.parquet(f"{version}/{batch_id - 1}"), batch, batch, key)
+        now.write.mode("overwrite").parquet(f"{version}/{batch_id}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{version}/_progress").trigger(availableNow=True).start()

@@ -53,7 +53,8 @@ def test_new_rows_and_their_children_are_all_there(spark, partitions):
     new = rows(spark, n).withColumn("k", F.col("k").cast("string"))
     both, child = worklist.insert_with_child(work, new, ["k"])
     assert tuple(both.agg(F.count("*"), F.count_distinct("Id"), F.max("Id")).first()) == (n + 1, n + 1, n + 4)
-    assert child.join(both, child.ID == both.Id).where(child.k == both.k).count() == n
+    own = both.select(F.col("Id").alias("ID"), F.col("k").alias("name"))
+    assert child.join(own, "ID").where("k = name").count() == n
 
 
 def test_find_or_create_over_many_ranges(spark, partitions):

@@ -111,7 +111,7 @@ def test_a_stream_goes_on_and_a_repeated_batch_changes_nothing(spark, tmp_path):
     table = str(tmp_path / "table")
     for i in range(3):
         spark.createDataFrame([(k, f"{i}") for k in range(i, i + 4)], "k long, v string").coalesce(1).write.mode("append").parquet(at)
-        logs.ingest(spark, spark.readStream.schema("k long, v string").parquet(at), table, "k", rows=2).awaitTermination()
+        logs.ingest_keyed(spark, spark.readStream.schema("k long, v string").parquet(at), table, "k", rows=2).awaitTermination()
     store = KeyedStore(spark, table, "k")
     assert {tuple(r) for r in store.read().collect()} == {(0, "0"), (1, "1"), (2, "2"), (3, "2"), (4, "2"), (5, "2")}
     was = store.versions()

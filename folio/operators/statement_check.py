@@ -8,9 +8,7 @@ the array. Names, sections and labels are compared without case. A missing amoun
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.operators.rule_sets import RULES, SELF_CHECKED
@@ -33,15 +31,6 @@ def rules_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, RULE)
 
 
-def rule_set(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, rule_set): the statement's type; PROP_SNP with net assets, without net position and deferrals, is that of a nonprofit."""
-    s = F.lower(F.trim("section"))
-    held = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
-    nonprofit = held(s == "net assets") & ~held(s == "net position") & ~held(s.contains("deferred outflows") | s.contains("deferred inflows"))
-    kind = F.first("stmt_type")
-    return rows.groupBy("doc_id").agg(F.when((kind == "PROP_SNP") & nonprofit, "PROP_SNP_NONPROFIT").otherwise(kind).alias("rule_set"))
-
-
 def _sum(items: Column) -> Column:
     return F.aggregate(items, F.lit(0).cast(MONEY), lambda a, x: (a + x["amt"]).cast(MONEY))
 
@@ -107,53 +96,68 @@ def _sums(r: dict[str, Column]) -> Column:
     )
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """One row for each column of a table: its items and totals in order, what its document is, and what its table says beside it.
+
+    rule_set is the statement's type; PROP_SNP with net assets, without net position and deferrals, is that of a nonprofit. between: the
+    columns that stand strictly between Total and Component Units; null without both. premiums: (row_order, amt) of the table's column of
+    premiums. seen: (sec, row_order) of the table's totals. What is gathered meets the shuffle by document once more; no row is read twice.
+    """
+    s, flag = F.lower(F.trim("section")), F.col("flag")
+    item = F.struct("row_order", s.alias("sec"), "flag", F.lower(F.trim(F.coalesce("datapoint", F.lit("")))).alias("name"), F.lower(F.coalesce("label", F.lit(""))).alias("lab"), F.coalesce("amt", F.lit(0)).cast(MONEY).alias("amt"), "col_pos", "section", "datapoint")
+    held = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    of = rows.groupBy(*TABLE, "col").agg(
+        F.sort_array(F.collect_list(F.when(flag.isin("DP", "CP"), item))).alias("items"), F.min("stmt_type").alias("kind"), F.collect_set("col_pos").alias("places"),
+        held(s == "net assets").alias("assets"), held((s == "net position") | s.contains("deferred outflows") | s.contains("deferred inflows")).alias("others"),
+    )
+    doc, table = Window.partitionBy("doc_id"), Window.partitionBy(*TABLE)
+    place = lambda name: F.min(F.when(F.col("col") == name, F.array_min("places"))).over(doc)
+    kind, nonprofit = F.min("kind").over(doc), F.max("assets").over(doc) & ~F.max("others").over(doc)
+    kind = F.when((kind == "PROP_SNP") & nonprofit, "PROP_SNP_NONPROFIT").otherwise(kind)
+    cols = F.array_distinct(F.flatten(F.collect_list(F.transform("places", lambda p: F.struct(p.alias("at"), F.col("col").alias("col")))).over(doc)))
+    of = of.withColumns({"rule_set": kind, "lo": place("Total"), "hi": place("Component Units"), "cols": cols})
+    between = F.transform(F.filter("cols", lambda c: (c["at"] > F.col("lo")) & (c["at"] < F.col("hi"))), lambda c: c["col"])
+    of = of.withColumns({"between": F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), between), "totals": F.filter("items", lambda x: x["flag"] == "CP")})
+    ours = F.transform("totals", lambda x: F.struct(x["row_order"].alias("row_order"), x["amt"].alias("amt")))
+    seen = F.transform("totals", lambda x: F.struct(x["sec"].alias("sec"), x["row_order"].alias("row_order")))
+    return of.withColumns({"premiums": F.max(F.when(F.lower(F.trim("col")) == "premium/discount", ours)).over(table), "seen": F.array_distinct(F.flatten(F.collect_list(seen).over(table)))}).select(*TABLE, "col", "rule_set", "between", "items", "totals", "premiums", "seen")
+
+
 def check_statements(rows: DataFrame) -> DataFrame:
     """Rows (doc_id, table_id, section, row_order, datapoint, status, formula) of all totals.
 
     status: PASS, the failing columns as `a: FAIL | b: FAIL` in their order, or Skipped. formula: which of the rule's sums or formulas
-    counted, from 0. Of several rules for a total the last counts. Types in SELF_CHECKED come back with a null status.
+    counted, from 0. Of several rules for a total the last counts. Rules for blank names count in their section only; a schedule's rule
+    for the first total of each section of a table only. Types in SELF_CHECKED come back with a null status.
+
+    Rows are shuffled twice, by table and column and by document; all groups after that lie within a document, so Spark moves nothing again.
     """
-    spark = rows.sparkSession
-    rows = rows.join(rule_set(rows), "doc_id").withColumns({"sec": F.lower(F.trim("section")), "name": F.lower(F.trim(F.coalesce("datapoint", F.lit("")))), "lab": F.lower(F.coalesce("label", F.lit(""))), "amt": F.coalesce("amt", F.lit(0)).cast(MONEY)})
-    gathered = rows.where("flag in ('DP', 'CP')").groupBy(*TABLE, "col").agg(F.sort_array(F.collect_list(F.struct("row_order", "sec", "flag", "name", "lab", "amt"))).alias("items"))
-    totals = rows.where("flag = 'CP'").select("rule_set", *TABLE, "section", "sec", "row_order", "datapoint", "name", "col", "col_pos", F.col("amt").alias("reported"))
-    table = F.broadcast(rules_table(spark).withColumnsRenamed({"name": "rule_name", "section": "rule_section"}))
-    checks = totals.join(table.withColumnRenamed("rule_set", "rule_of"), (F.col("rule_set") == F.col("rule_of")) & ((F.col("name") == F.col("rule_name")) | (F.col("rule_name") == "*"))).drop("rule_of")
-    premium = totals.where(F.lower(F.trim("col")) == "premium/discount").select(*TABLE, "row_order", F.col("reported").alias("premium"))
-    checks = _own(checks, totals).join(gathered, [*TABLE, "col"]).join(premium, [*TABLE, "row_order"], "left")
-    r = {c: F.col(c) for c in ("items", "contains", "excludes", "row_order", "kind", "sec", "reported", "premium")} | {"column": F.lower(F.trim("col")), "section": F.col("rule_section")}
-    found = checks.select(*TABLE, "row_order", "seq", "pick", "only", "col", "col_pos", "reported", F.posexplode(F.when(F.col("kind") == "chains", _formulas(F.col("items"), F.col("chains"))).otherwise(_sums(r))).alias("formula", "x"))
+    table = F.broadcast(rules_table(rows.sparkSession).withColumnsRenamed({"name": "rule_name", "section": "rule_section", "rule_set": "rule_of"}))
+    totals = _gathered(rows).select("*", F.explode("totals").alias("t")).select(*TABLE, "col", "rule_set", "between", "items", "premiums", "seen", *[F.col(f"t.{c}").alias(c) for c in ("row_order", "sec", "name", "section", "datapoint", "col_pos")], F.col("t.amt").alias("reported"))
+    checks = totals.join(table, (F.col("rule_set") == F.col("rule_of")) & ((F.col("name") == F.col("rule_name")) | (F.col("rule_name") == "*")), "left")
+    premium = F.get(F.filter("premiums", lambda p: p["row_order"] == F.col("row_order")), F.lit(0))["amt"]
+    first = F.array_min(F.transform(F.filter("seen", lambda x: x["sec"] == F.col("sec")), lambda x: x["row_order"]))
+    counts = F.col("kind").isNotNull() & ((F.col("kind") != "blank") | (F.col("sec") == F.col("rule_section"))) & ((F.col("kind") != "schedule") | (F.col("row_order") == first))
+    r = {c: F.col(c) for c in ("items", "contains", "excludes", "row_order", "kind", "sec", "reported")} | {"column": F.lower(F.trim("col")), "section": F.col("rule_section"), "premium": premium}
+    tried = F.when(counts, F.when(F.col("kind") == "chains", _formulas(F.col("items"), F.col("chains"))).otherwise(_sums(r)))
+    total = [*TABLE, "row_order", "section", "datapoint"]
+    found = checks.select(*total, "rule_set", "between", "seq", "pick", "only", "col", "col_pos", "reported", F.posexplode_outer(tried).alias("formula", "x"))
     good = F.abs(F.col("x.value") - F.col("reported")) <= 1
-    by = [*TABLE, "row_order", "seq", "pick", "only"]
-    whole = found.groupBy(*by, "formula").agg(F.bool_and("x.usable").alias("usable"), F.count_if(good).alias("good"), F.count("*").alias("all"), F.array_sort(F.collect_list(F.when(~good, F.struct("col_pos", "col")))).alias("fails"))
+    by = [*total, "seq", "pick", "only"]
+    kept = [F.first(c).alias(c) for c in ("rule_set", "between")]
+    whole = found.groupBy(*by, "formula").agg(F.bool_and("x.usable").alias("usable"), F.count_if(good).alias("good"), F.count("*").alias("all"), F.array_sort(F.collect_list(F.when(~good, F.struct("col_pos", "col")))).alias("fails"), *kept)
     rank = F.when(~F.col("usable"), 2).when((F.col("pick") == "match") & (F.col("good") < F.col("all")), 1).otherwise(0)
     more = F.when(F.col("pick") == "more", -F.col("good")).otherwise(0)
-    best = whole.groupBy(*by).agg(F.min(F.struct(rank.alias("rank"), more.alias("more"), "formula", "fails")).alias("b"))
-    skipped = F.col("b.rank") == 2
+    best = whole.groupBy(*by).agg(F.min(F.when(F.col("formula").isNotNull(), F.struct(rank.alias("rank"), more.alias("more"), "formula", "fails"))).alias("b"), *kept)
+    skipped, there = F.col("b.rank") == 2, F.col("b").isNotNull()
     verdict = F.struct("seq", skipped.alias("skipped"), F.col("b.fails").alias("fails"), F.when(~skipped, F.col("b.formula")).alias("formula"))
-    last = lambda c: F.max(F.when(c, verdict))
+    last = lambda c: F.max(F.when(there & c, verdict))
     later = F.col("only") != "always"
-    both = best.groupBy(*TABLE, "row_order").agg(last(~later).alias("a"), last(later & ~skipped).alias("z"), F.max(F.when(later, F.col("only"))).alias("only"))
+    both = best.groupBy(*total).agg(last(~later).alias("a"), last(later & ~skipped).alias("z"), F.max(F.when(there & later, F.col("only"))).alias("only"), *kept)
     open_ = F.col("a").isNull() | F.col("a.skipped")
     again = F.col("z").isNotNull() & F.when(F.col("only") == "open", open_).otherwise(open_ | (F.size("a.fails") > 0))
-    both = both.select(*TABLE, "row_order", F.when(again, F.col("z")).otherwise(F.col("a")).alias("v"))
-    out = totals.select("rule_set", *TABLE, "section", "row_order", "datapoint").distinct().join(both, [*TABLE, "row_order"], "left").join(_between(rows), "doc_id", "left")
+    out = both.select(*total, "rule_set", "between", F.when(again, F.col("z")).otherwise(F.col("a")).alias("v"))
     fails = F.filter("v.fails", lambda f: ~F.exists(F.coalesce("between", F.array().cast("array<string>")), lambda c: F.concat(f["col"], F.lit(": FAIL")).contains(c)))
     fails = F.when(F.col("rule_set") == "SOA", fails).otherwise(F.col("v.fails"))
     status = F.when(F.col("rule_set").isin(SELF_CHECKED), F.lit(None)).when(F.col("v").isNull(), "Skipped - no rule defined").when(F.col("v.skipped"), "Skipped - no chain matched").when(F.size(fails) == 0, "PASS").otherwise(F.array_join(F.transform(fails, lambda f: F.concat(f["col"], F.lit(": FAIL"))), " | "))
     return out.select(*TABLE, "section", "row_order", "datapoint", status.alias("status"), "v.formula")
-
-
-def _own(checks: DataFrame, totals: DataFrame) -> DataFrame:
-    """Rules for blank names count in their section only; a schedule's rule for the first total of each section of a table only."""
-    first = totals.groupBy(*TABLE, "sec").agg(F.min("row_order").alias("first"))
-    out = checks.join(first, [*TABLE, "sec"], "left")
-    tests = [(F.col("kind") != "blank") | (F.col("sec") == F.col("rule_section")), (F.col("kind") != "schedule") | (F.col("row_order") == F.col("first"))]
-    return out.where(reduce(lambda a, b: a & b, tests)).drop("first")
-
-
-def _between(rows: DataFrame) -> DataFrame:
-    """Rows (doc_id, between): the columns that stand strictly between Total and Component Units; null without both."""
-    cols = rows.groupBy("doc_id").agg(F.min(F.when(F.col("col") == "Total", F.col("col_pos"))).alias("lo"), F.min(F.when(F.col("col") == "Component Units", F.col("col_pos"))).alias("hi"), F.collect_set(F.struct("col_pos", "col")).alias("cols"))
-    between = F.transform(F.filter("cols", lambda c: (c["col_pos"] > F.col("lo")) & (c["col_pos"] < F.col("hi"))), lambda c: c["col"])
-    return cols.select("doc_id", F.when(F.col("lo").isNotNull() & F.col("hi").isNotNull(), between).alias("between"))

@@ -31,6 +31,13 @@ def statement(kind: str, items: DataFrame, totals: DataFrame) -> DataFrame:
     return row(items, "DP").unionByName(row(totals, "CP"))
 
 
+def columned(kind: str, section: str, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """rows (doc_id, row_order, flag, label, datapoint, amts: an amount for each column) as statement rows of one section."""
+    named = F.array(*[F.lit(c) for c in columns])
+    each = rows.select("*", F.posexplode("amts").alias("col_pos", "amt"))
+    return each.select("doc_id", F.lit(kind).alias("stmt_type"), F.lit("p1").alias("table_id"), F.lit(section).alias("section"), F.col("row_order").cast("int").alias("row_order"), "flag", "label", "datapoint", F.get(named, F.col("col_pos")).alias("col"), "col_pos", F.col("amt").cast("decimal(38,4)").alias("amt"))
+
+
 def made(sums: DataFrame, *rows: tuple) -> DataFrame:
     """Totals of each row of sums (l_orderkey, ...): (section, row_order, datapoint, amount)."""
     each = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(at).alias("row_order"), F.lit(name).alias("datapoint"), amt.cast("decimal(38,4)").alias("amt")) for s, at, name, amt in rows])
@@ -116,3 +123,59 @@ def statement_files_pass(spark, sf_dir):
     totals = made(rows.groupBy("l_orderkey").agg(F.sum("amt").alias("whole")), ("Fund balances", 100, "Total Fund Balances", F.col("whole") + off(1)), ("Fund balances", 101, "Total of something else", F.lit(0)))
     checked = check_statements(statement("GOV_BS", items, totals)).withColumn("flag", F.lit("CP"))
     return total_check.file_passes(checked, ["doc_id"])
+
+
+def _fails(*parts: tuple[str, str]) -> str:
+    """The failing columns of (name, offset), in order."""
+    return "coalesce(nullif(concat_ws(' | ', " + ", ".join(f"CASE WHEN abs({o}) > 1 THEN '{c}: FAIL' END" for c, o in parts) + "), ''), 'PASS')"
+
+
+@query(f"""
+WITH o AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+SELECT k AS doc_id, unnest([100, 101]) AS row_order, unnest([{_fails(("Governmental", _off(1)), ("Total", _off(3)))}, {_fails(("Total", _off(7)), ("Component Units", _off(2)))}]) AS status FROM o
+""")
+def statement_check_soa(spark, sf_dir):
+    """Four columns, of which the one between Total and Component Units is never told; transfers are no part of the first total."""
+    rows, moved, factors = lines(spark, sf_dir), F.col("l_returnflag") == "R", (1, 3, 1, 2)
+    amounts = lambda a: F.array(*[(a * f).cast("decimal(38,4)") for f in factors])
+    items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.when(moved, "Transfers in").otherwise("Taxes").alias("label"), F.when(moved, "Transfers").otherwise("Taxes").alias("datapoint"), amounts(F.col("amt")).alias("amts"))
+    sums = rows.groupBy("l_orderkey").agg(F.coalesce(F.sum(F.when(~moved, F.col("amt"))), F.lit(0)).alias("own"), F.coalesce(F.sum(F.when(moved, F.col("amt"))), F.lit(0)).alias("transfers"))
+    zero = F.lit(0)
+    first = [F.col("own") * f + o for f, o in zip(factors, (off(1), off(3), off(7), zero), strict=True)]
+    second = [a + F.col("transfers") * f + o for a, f, o in zip(first, factors, (zero, off(7), off(1), off(2)), strict=True)]
+    for at, name, amts in ((100, "Total General Revenues", first), (101, "Total General Revenues and Transfer", second)):
+        items = items.unionByName(sums.select(F.col("l_orderkey").alias("doc_id"), F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), F.array(*[a.cast("decimal(38,4)") for a in amts]).alias("amts")))
+    return result(check_statements(columned("SOA", "General Revenues", items, ["Governmental", "Total", "Reconciling", "Component Units"])))
+
+
+@query(f"""
+WITH o AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+SELECT k AS doc_id, unnest([100, 101, 102]) AS row_order, unnest([{_SAY.format(f"abs({_off(1)}) <= 1")}, {_SAY.format(f"abs({_off(3)}) <= 1")}, {_SAY.format(f"abs({_off(7)}) <= 1")}]) AS status FROM o
+""")
+def statement_check_gov_bs(spark, sf_dir):
+    """Liabilities and fund balances with totals of their own, deferred inflows by their section, and the sum of the three."""
+    rows = lines(spark, sf_dir)
+    section = F.when(F.col("l_returnflag") == "R", "Liabilities").when(F.col("l_returnflag") == "A", "Fund Balances").otherwise("Deferred Inflows of Resources")
+    items = rows.select(F.col("l_orderkey").alias("doc_id"), section.alias("section"), F.col("l_linenumber").alias("row_order"), F.lit("item").alias("label"), F.lit("Item").alias("datapoint"), "amt")
+    of = lambda flag: F.coalesce(F.sum(F.when(F.col("l_returnflag") == flag, F.col("amt"))), F.lit(0))
+    sums = rows.groupBy("l_orderkey").agg(of("R").alias("owed"), of("A").alias("held"), of("N").alias("deferred"))
+    owed, held = F.col("owed") + off(1), F.col("held") + off(3)
+    totals = made(sums, ("Liabilities", 100, "Total Liabilities", owed), ("Fund Balances", 101, "Total Fund Balances", held), ("Sum", 102, "Total Liabilities, Deferred Inflows of Resources, And Fund Balances", owed + held + F.col("deferred") + off(7)))
+    return result(check_statements(statement("GOV_BS", items, totals)))
+
+
+@query(f"""
+WITH o AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+SELECT k AS doc_id, unnest([100, 101]) AS row_order, unnest([{_fails(("Principal", _off(1)), ("Interest", _off(3)), ("Total Debt Service", _off(7)))}, 'Skipped - no rule defined']) AS status FROM o
+""")
+def statement_check_dsr(spark, sf_dir):
+    """A debt schedule: its premium isn't summed and counts towards the debt service; a section's second total has no rule."""
+    rows, zero = lines(spark, sf_dir), F.lit(0)
+    cast = lambda amts: F.array(*[a.cast("decimal(38,4)") for a in amts])
+    amt, premium = F.col("amt"), F.col("l_orderkey") % 9
+    items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.lit("2024").alias("label"), F.lit("2024").alias("datapoint"), cast([amt, amt * 2, zero, amt * 3]).alias("amts"))
+    sums = rows.groupBy("l_orderkey").agg(F.sum("amt").alias("amt"))
+    first = [amt + off(1), amt * 2 + off(3), premium, amt * 3 + premium + off(7)]
+    for at, name, amts in ((100, "Total", first), (101, "Grand total of all", [zero] * 4)):
+        items = items.unionByName(sums.select(F.col("l_orderkey").alias("doc_id"), F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), cast(amts).alias("amts")))
+    return result(check_statements(columned("DSR", "Bonds", items, ["Principal", "Interest", "Premium/Discount", "Total Debt Service"])))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions.names import state_code
@@ -13,12 +13,21 @@ WEIGHTS = {"uei": 50, "year": 20, "state": 10, "entity": 8, "entity_part": 5}
 
 def newest_filing(wanted: DataFrame, filings: DataFrame) -> DataFrame:
     """For each wanted row (row_id, uei, state, low, high) the newest filing (uei, state, year, report) of its uei and state with a year from low to
-    high; else the newest of its uei in the state first in the alphabet that has one. Adds year, report, found_state."""
-    pairs = wanted.join(filings.withColumnRenamed("state", "own_state"), "uei").where(F.col("year").between(F.col("low"), F.col("high")))
-    other = (F.col("own_state") != F.col("state")).cast("int")
-    key = F.struct(other.alias("other"), F.when(other == 1, F.col("own_state")).alias("by"), (-F.col("year")).alias("back"), "report", "own_state")
-    best = pairs.groupBy("row_id").agg(F.min(key).alias("b"))
-    return wanted.join(best, "row_id", "left").select(*wanted.columns, (-F.col("b.back")).alias("year"), "b.report", F.col("b.own_state").alias("found_state"))
+    high; else the newest of its uei in the state first in the alphabet that has one; of one state's and year's the least report. Adds year, report, found_state.
+
+    A uei's filings become one array, an entry for each state and year, before they meet the wanted rows: those are joined to one row each, so
+    however many of both share a uei, no pairs are made. Without a state wanted no filing counts.
+    """
+    each = filings.where(F.col("uei").isNotNull() & F.col("state").isNotNull() & F.col("year").isNotNull()).groupBy("uei", "state", "year").agg(F.min("report").alias("report"))
+    held = each.groupBy("uei").agg(F.collect_list(F.struct("state", "year", "report")).alias("held"))
+
+    def entry(x):
+        other = (x["state"] != F.col("state")).cast("int")
+        return F.struct(other.alias("other"), F.when(other == 1, x["state"]).alias("by"), (-x["year"]).alias("back"), x["report"].alias("report"), x["state"].alias("own_state"))
+
+    inside = F.filter("held", lambda x: x["year"].between(F.col("low"), F.col("high")) & F.col("state").isNotNull())
+    best = wanted.join(held, "uei", "left").withColumn("b", F.array_min(F.transform(inside, entry)))
+    return best.select(*wanted.columns, (-F.col("b.back")).alias("year"), "b.report", F.col("b.own_state").alias("found_state"))
 
 
 def reliance(wanted: dict[str, Column], own: dict[str, Column]) -> Column:
@@ -78,6 +87,13 @@ def first_found(left: DataFrame, sources: list[tuple[DataFrame, list[str]]], val
 
 
 def results_to_jobs(jobs: DataFrame, results: DataFrame, most: int = 64) -> DataFrame:
-    """Jobs (custom_id) with their results (safe_id, result): an id is made safe by writing all but letters, digits, _ and - as _, cut at most."""
+    """Jobs (custom_id) with their results (safe_id, result): an id is made safe by writing all but letters, digits, _ and - as _, cut at most.
+
+    Different ids that become the same safe id raise, as their results could not be told apart.
+    """
     safe = F.substring(F.regexp_replace("custom_id", "[^A-Za-z0-9_-]", "_"), 1, most)
-    return jobs.withColumn("safe_id", safe).join(results, "safe_id", "left").drop("safe_id")
+    by = Window.partitionBy("safe_id")
+    low, high = F.min("custom_id").over(by), F.max("custom_id").over(by)
+    clash = F.raise_error(F.concat(F.lit("ids with the same safe id: "), low, F.lit(", "), high)).cast("string")
+    named = jobs.withColumn("safe_id", safe).withColumn("safe_id", F.when(low == high, F.col("safe_id")).when(F.col("custom_id").isNotNull(), clash))
+    return named.join(results, "safe_id", "left").drop("safe_id")

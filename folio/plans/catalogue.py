@@ -246,7 +246,7 @@ def best_scored_match(spark, sf_dir):
     wanted = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), F.col("c_nationkey").alias("nation"), "c_acctbal")
     there = read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), "s_acctbal")
     score = 50 + F.when(F.col("row_id") % 10 == F.col("s_suppkey") % 10, 20).otherwise(0) + F.when(F.col("s_acctbal") > F.col("c_acctbal"), 10).otherwise(0)
-    return matching.best_scored(wanted, there, "nation", score, [F.col("s_acctbal"), F.col("s_suppkey")], ["s_suppkey"])
+    return matching.best_scored(wanted, there, "nation", score, [F.col("s_acctbal"), F.col("s_suppkey")], ["s_suppkey"], equal=[(F.col("row_id") % 10, F.col("s_suppkey") % 10)])
 
 
 @query("""

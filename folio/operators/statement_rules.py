@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What a debt label holds, in the order in which the kinds are tried. Labels are compared as `debt_label` writes them.
@@ -99,34 +99,34 @@ def repair_shifts(rows: DataFrame) -> DataFrame:
 
     rows: table_id, section, row_order, flag, label, a, b, total (decimals; null is blank). An item with just one addend,
     equal to its total, moves to the other column if that makes both columns of a 'total' row agree at once. The totals
-    are taken in order, each with at most one move, and each sees what the earlier ones moved: so a section is one group,
-    as large as a section of one statement is.
+    are taken in order, each with at most one move, and each sees what the earlier ones moved: so a section is one array,
+    as long as a section of one statement is. Rows of one row_order go by their values.
     """
-
-    def run(part):
-        part = part.sort_values("row_order", kind="stable").reset_index(drop=True)
-        part["moved"] = False
-        item = part["flag"] == "DP"
-        anchors = part[(part["flag"] == "CP") & part["label"].fillna("").str.strip().str.lower().str.startswith("total") & part["a"].notna() & part["b"].notna()]
-        for anchor in anchors.itertuples():
-            over = {c: sum(part.loc[item & part[c].notna(), c], Decimal(0)) - getattr(anchor, c) for c in ("a", "b")}
-            if over["a"] != -over["b"]:
-                continue
-            for k in part.index[item & (part["a"].isna() != part["b"].isna()) & part["total"].notna()]:
-                here, there = ("a", "b") if part.at[k, "b"] is None else ("b", "a")
-                if part.at[k, here] == part.at[k, "total"] == over[here]:
-                    part.at[k, there], part.at[k, here], part.at[k, "moved"] = part.at[k, here], None, True
-                    break
-        return part
-
     kept = ["table_id", "section", "row_order", "flag", "label", "a", "b", "total"]
-    section = Window.partitionBy("table_id", "section")
-    item, anchor = F.col("flag") == "DP", (F.col("flag") == "CP") & F.lower(F.trim("label")).startswith("total")
-    off = lambda c: F.sum(F.when(item, F.coalesce(F.col(c), F.lit(0))).otherwise(0)).over(section) - F.col(c)
-    out = rows.select(*kept, off("a").alias("off_a"), off("b").alias("off_b"), F.bool_or(item & (F.col("total") == 0)).over(section).alias("zero"))
-    could = anchor & (F.col("off_a") == -F.col("off_b")) & ((F.col("off_a") != 0) | F.coalesce("zero", F.lit(False)))
-    out = out.select(*kept, F.coalesce(F.bool_or(could).over(section), F.lit(False)).alias("could"))
-    # Before the first move all totals see the sums of the input, so sections without such a total need no loop.
-    first = out.where("could").select(*kept)
-    moved = first.groupBy("table_id", "section").applyInPandas(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in first.schema) + ", moved boolean")
-    return moved.unionByName(out.where("not could").select(*kept, F.lit(False).alias("moved")))
+    item = lambda x: F.coalesce(x["flag"] == "DP", F.lit(False))
+    total = lambda x: F.coalesce((x["flag"] == "CP") & F.lower(F.trim(x["label"])).startswith("total") & x["a"].isNotNull() & x["b"].isNotNull(), F.lit(False))
+    of_items = lambda c: F.coalesce(F.sum(F.when(F.col("flag") == "DP", F.col(c))), F.lit(0))
+    gathered = F.sort_array(F.collect_list(F.struct(*kept[2:], F.lit(False).alias("moved")))).alias("rows")
+    zero = F.coalesce(F.bool_or((F.col("flag") == "DP") & (F.col("total") == 0)), F.lit(False)).alias("zero")
+    of = rows.groupBy("table_id", "section").agg(gathered, of_items("a").alias("off_a"), of_items("b").alias("off_b"), zero)
+
+    def held(rows: Column, c: str) -> Column:
+        return F.aggregate(rows, F.lit(0).cast("decimal(38,4)"), lambda s, x: (s + F.when(item(x), F.coalesce(x[c], F.lit(0))).otherwise(0)).cast("decimal(38,4)"))
+
+    def lone(x: Column, here: str, there: str, over: Column) -> Column:
+        return item(x) & x[there].isNull() & F.coalesce((x[here] == x["total"]) & (x[here] == over), F.lit(False))
+
+    def other(x: Column) -> Column:
+        """The row with its addends changed over."""
+        return F.struct(*[x[{"a": "b", "b": "a"}.get(c, c)].alias(c) for c in kept[2:]], F.lit(True).alias("moved"))
+
+    def repaired(rows: Column, anchor: Column) -> Column:
+        over_a, over_b = held(rows, "a") - anchor["a"], held(rows, "b") - anchor["b"]
+        fits = F.transform(rows, lambda x: lone(x, "a", "b", over_a) | lone(x, "b", "a", over_b))
+        at = F.when(over_a == -over_b, F.array_position(fits, True))
+        return F.when(at > 0, F.transform(rows, lambda x, i: F.when(i == at - 1, other(x)).otherwise(x))).otherwise(rows)
+
+    # Before the first move all totals see the sums of the input, so sections without a total that an item could mend need no walk.
+    could = F.exists("rows", lambda x: total(x) & (F.col("off_a") - x["a"] == x["b"] - F.col("off_b")) & ((F.col("off_a") != x["a"]) | F.col("zero")))
+    out = F.when(could, F.aggregate(F.filter("rows", total), F.col("rows"), repaired)).otherwise(F.col("rows"))
+    return of.select("table_id", "section", F.explode(out).alias("x")).select("table_id", "section", "x.*")

@@ -1,10 +1,15 @@
 """Operators that have to grow no faster than their input: against plain walks and all pairs, and by their plans."""
 
 import random
+from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from folio.operators import matching
+from folio.operators import matching, statement_rules
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 def best(spark, wanted, there, **more):
@@ -30,3 +35,35 @@ def test_best_scored_makes_no_pairs(spark):
     score = F.when(F.col("row_id") % 10 == F.col("id") % 10, 1).otherwise(0)
     out = matching.best_scored(wanted, there, "block", score, [F.col("id")], ["id"], [(F.col("row_id") % 10, F.col("id") % 10)])
     assert out.agg(F.count("*"), F.sum(F.expr("score = 1 and id = 99990 + row_id % 10").cast("int"))).first() == (100_000, 100_000)
+
+
+def walked(part):
+    rows = sorted(([*r, False] for r in part), key=lambda r: r[0])
+    for anchor in [r for r in rows if r[1] == "CP" and (r[2] or "").strip().lower().startswith("total") and r[3] is not None and r[4] is not None]:
+        over = [sum(r[c] for r in rows if r[1] == "DP" and r[c] is not None) - anchor[c] for c in (3, 4)]
+        if over[0] == -over[1]:
+            for r in rows:
+                here = 3 if r[4] is None else 4
+                if r[1] == "DP" and (r[3] is None) != (r[4] is None) and r[here] == r[5] == over[here - 3]:
+                    r[3], r[4], r[6] = r[4], r[3], True
+                    break
+    return rows
+
+
+def test_repair_shifts_equals_a_walk_without_python(spark):
+    rng, rows = random.Random(2), []
+    for t in range(300):
+        items = [(rng.choice("ab"), rng.randrange(4)) for _ in range(rng.randrange(5))]
+        for k, (c, v) in enumerate(items):
+            rows.append((t, None if t % 7 == 0 else "s", k, "DP", "x", v if c == "a" else None, v if c == "b" else rng.choice([None, None, None, 1]), rng.choice([v, v, v, None])))
+        for k in range(rng.randrange(4)):
+            off = rng.choice([-2, -1, 0, 1, 2])
+            a, b = (sum(v for c, v in items if c == x) for x in "ab")
+            rows.append((t, None if t % 7 == 0 else "s", 10 + k, "CP", rng.choice([" Total", "Sum", None]), rng.choice([a + off] * 5 + [None]), b - off, a + b))
+    df = spark.createDataFrame([tuple(D(x) if k > 4 and x is not None else x for k, x in enumerate(r)) for r in rows], "table_id int, section string, row_order int, flag string, label string, a decimal(38,4), b decimal(38,4), total decimal(38,4)")
+    out = statement_rules.repair_shifts(df)
+    want = sorted(((t, *r) for t in range(300) for r in walked([r[2:] for r in rows if r[0] == t])), key=str)
+    got = sorted(((r[0], *[int(x) if isinstance(x, D) else x for x in r[2:]]) for r in out.collect()), key=str)
+    assert got == want and sum(r[-1] for r in got) > 10
+    fresh = plan(statement_rules.repair_shifts(df))
+    assert "Pandas" not in fresh and fresh.count("Exchange hashpartitioning") == 1

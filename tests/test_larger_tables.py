@@ -6,6 +6,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from folio.operators import matching, statement_rules
+from folio.operators.statement_check import check_statements
 
 
 def plan(df):
@@ -67,3 +68,9 @@ def test_repair_shifts_equals_a_walk_without_python(spark):
     assert got == want and sum(r[-1] for r in got) > 10
     fresh = plan(statement_rules.repair_shifts(df))
     assert "Pandas" not in fresh and fresh.count("Exchange hashpartitioning") == 1
+
+
+def test_statement_check_moves_rows_once(spark):
+    rows = spark.createDataFrame([(1, "SNP", "A", "s", 0, "CP", "x", "Total Assets", "c", 0, D(1))], "doc_id long, stmt_type string, table_id string, section string, row_order int, flag string, label string, datapoint string, col string, col_pos int, amt decimal(38,4)")
+    told = plan(check_statements(rows))
+    assert told.count("Exchange hashpartitioning") == 1 and "Window" not in told and "Sort" not in told.replace("SortAggregate", "") and "SortAggregate" not in told

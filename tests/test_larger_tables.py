@@ -3,10 +3,12 @@
 import random
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from folio.operators import matching, statement_rules
 from folio.operators.statement_check import check_statements
+from folio.sources.store import KeyedStore
 
 
 def plan(df):
@@ -74,3 +76,17 @@ def test_statement_check_moves_rows_once(spark):
     rows = spark.createDataFrame([(1, "SNP", "A", "s", 0, "CP", "x", "Total Assets", "c", 0, D(1))], "doc_id long, stmt_type string, table_id string, section string, row_order int, flag string, label string, datapoint string, col string, col_pos int, amt decimal(38,4)")
     told = plan(check_statements(rows))
     assert told.count("Exchange hashpartitioning") == 1 and "Window" not in told and "Sort" not in told.replace("SortAggregate", "") and "SortAggregate" not in told
+
+
+@pytest.mark.parametrize(("kind", "lows"), [("long", [-5, 0, 3, 3000000000]), ("int", [1]), ("int", []), ("string", ["", "a'b", "b\\", "ü"]), ("double", [-1.5, 0.1, 7.0])])
+def test_a_range_is_found_by_halving(spark, tmp_path, kind, lows):
+    keys = [None, *lows, *(["z", "A", "a"] if kind == "string" else [-9, 2, 10**9] if kind != "double" else [-9.0, 0.2, 1e300])]
+    store = KeyedStore(spark, str(tmp_path), "k")
+    got = spark.createDataFrame([(k,) for k in keys], f"k {kind}").select("k", store._place([None, *lows]).alias("p")).collect()
+    assert [(r.k, r.p) for r in got] == [(k, 0 if k is None else sum(x <= k for x in lows)) for k in keys]
+
+
+def test_many_ranges_take_few_steps(spark, tmp_path):
+    """A million keys in 20,000 ranges."""
+    place = KeyedStore(spark, str(tmp_path), "id")._place([None, *range(50, 1_000_000, 50)])
+    assert spark.range(1_000_000).agg(F.count_if(place == F.floor(F.col("id") / 50))).first()[0] == 1_000_000

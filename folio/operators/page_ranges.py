@@ -12,6 +12,7 @@ A keyword that is split between two pages is not seen.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -47,9 +48,9 @@ def entered(nodes: DataFrame, by: list[str], at: str, fan: int = FAN, largest: i
     return rows.select(*by, *[F.col("x.kid.kid_")[c].alias(c) for c in rest], F.col("x.entry").alias("entry"))
 
 
-def taken_pages(steps: DataFrame, by: list[str], fan: int = FAN) -> DataFrame:
-    """Rows (by, page) that the automaton takes, from rows (by, page, to, take): for each state the next state and whether the page is taken."""
-    return entered(steps, by, "page", fan).where(F.get("take", F.col("entry"))).select(*by, "page")
+def taken_pages(steps: DataFrame, by: list[str], fan: int = FAN, largest: int | None = None) -> DataFrame:
+    """Rows (by, page) that the automaton takes, from rows (by, page, to, take): for each state the next state and whether the page is taken. largest: the last page, if known."""
+    return entered(steps, by, "page", fan, largest).where(F.get("take", F.col("entry"))).select(*by, "page")
 
 
 def step(*states: list[tuple[Column | None, object, object]]) -> Column:
@@ -199,6 +200,10 @@ FUNDS = (
 )
 
 
+#: All statements that are found.
+STATEMENTS = ("SNP", "SOA", *(fund.name for fund in FUNDS))
+
+
 def _all(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
@@ -293,27 +298,35 @@ def activities_step(f: dict[str, Column]) -> Column:
     return step([(f["anchor"], 1, True), (None, 0, False)], [(f["stop"], 2, False), (f["goes_on"], 1, True), (None, 2, False)], [(None, 2, False)])
 
 
-def page_tests(pages: DataFrame, first_page: int = FIRST_PAGE) -> tuple[DataFrame, dict[str, list[str]]]:
-    """The pages from first_page on with what each says about each statement, as columns STATEMENT_test, and the tests' names."""
+def page_tests(pages: DataFrame, first_page: int = FIRST_PAGE, statements: Iterable[str] = STATEMENTS) -> tuple[DataFrame, dict[str, list[str]]]:
+    """The pages from first_page on with what each says about each of the statements, as columns STATEMENT_test, and the tests' names."""
     own = pages.where(F.col("page") >= first_page).select("doc_id", "page", F.regexp_replace(F.coalesce("text", F.lit("")), r"\n\z", "").alias("text"))
-    last = own.select("doc_id", (F.col("page") + 1).alias("page"), tail(F.col("text"), 5).alias("before"))
-    own = own.join(last, ["doc_id", "page"], "left").withColumn("before", F.coalesce("before", F.lit("")))
+    funds = [(i, fund) for i, fund in enumerate(FUNDS) if fund.name in statements]
+    if funds:
+        last = own.select("doc_id", (F.col("page") + 1).alias("page"), tail(F.col("text"), 5).alias("before"))
+        own = own.join(last, ["doc_id", "page"], "left").withColumn("before", F.coalesce("before", F.lit("")))
     text = F.col("text")
-    found = {"SNP": position_flags(text), "SOA": activities_flags(text)}
-    for i, fund in enumerate(FUNDS):
+    found = {name: flags(text) for name, flags in (("SNP", position_flags), ("SOA", activities_flags)) if name in statements}
+    for i, fund in funds:
         found[fund.name] = fund_flags(fund, text, F.col("before"))
         found[fund.name]["next_title"] = titled(text, FUNDS[i + 1].title) if i + 1 < len(FUNDS) else F.lit(False)
     columns = [c.alias(f"{name}_{test}") for name, tests in found.items() for test, c in tests.items()]
     return own.select("doc_id", "page", *columns), {name: list(tests) for name, tests in found.items()}
 
 
-def statement_pages(pages: DataFrame, first_page: int = FIRST_PAGE, fan: int = FAN) -> DataFrame:
-    """Rows (doc_id, statement, page) of the pages that hold SNP, SOA and the five fund statements, from rows (doc_id, page, text)."""
-    tested, names = page_tests(pages, first_page)
+def statement_pages(pages: DataFrame, first_page: int = FIRST_PAGE, fan: int = FAN, statements: Iterable[str] = STATEMENTS) -> DataFrame:
+    """Rows (doc_id, statement, page) of the pages that hold each of the statements, from rows (doc_id, page, text). Each is found by its
+    own tests, so only those of the wanted ones are made, and the last page is read off the pages before any is."""
+    statements = set(statements)
+    if unknown := statements - set(STATEMENTS):
+        raise ValueError(f"no such statements: {sorted(unknown)}")
+    largest = pages.agg(F.max("page")).first()[0] or 0
+    tested, names = page_tests(pages, first_page, statements)
     flags = {name: {t: F.col(f"{name}_{t}") for t in tests} for name, tests in names.items()}
-    steps = {"SNP": position_step(flags["SNP"]), "SOA": activities_step(flags["SOA"])} | {fund.name: fund_step(flags[fund.name], fund.governmental) for fund in FUNDS}
+    steps = {name: step_of(flags[name]) for name, step_of in (("SNP", position_step), ("SOA", activities_step)) if name in statements}
+    steps |= {fund.name: fund_step(flags[fund.name], fund.governmental) for fund in FUNDS if fund.name in statements}
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("statement"), s["to"].alias("to"), s["take"].alias("take")) for n, s in steps.items()])).alias("x")
-    return taken_pages(tested.select("doc_id", "page", each).select("doc_id", "x.statement", "page", "x.to", "x.take"), ["doc_id", "statement"], fan)
+    return taken_pages(tested.select("doc_id", "page", each).select("doc_id", "x.statement", "page", "x.to", "x.take"), ["doc_id", "statement"], fan, largest)
 
 
 def ranges(taken: DataFrame, by: list[str]) -> DataFrame:

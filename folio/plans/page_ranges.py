@@ -64,7 +64,7 @@ s AS (
 SELECT doc_id, statement, min(page) AS first_page, max(page) AS last_page, count(*) AS n_pages FROM s WHERE taken GROUP BY ALL
 """)
 def statement_page_ranges(spark, sf_dir):
-    taken = m.statement_pages(planted_pages(spark, sf_dir), first_page=1).where(F.col("statement").isin("SNP", "SOA"))
+    taken = m.statement_pages(planted_pages(spark, sf_dir), first_page=1, statements=("SNP", "SOA"))
     return m.ranges(taken, ["doc_id", "statement"])
 
 

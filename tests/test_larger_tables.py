@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from folio.operators import matching, statement_rules
+from folio.operators import matching, page_ranges, statement_rules
 from folio.operators.statement_check import check_statements
 from folio.sources.store import KeyedStore
 
@@ -90,3 +90,14 @@ def test_many_ranges_take_few_steps(spark, tmp_path):
     """A million keys in 20,000 ranges."""
     place = KeyedStore(spark, str(tmp_path), "id")._place([None, *range(50, 1_000_000, 50)])
     assert spark.range(1_000_000).agg(F.count_if(place == F.floor(F.col("id") / 50))).first()[0] == 1_000_000
+
+
+def test_only_the_wanted_statements_are_tested(spark):
+    text = "Statement of Net Position\nTotal assets 1,234\nTotal liabilities 5\nNet position\n"
+    pages = spark.createDataFrame([(1, 1, text), (1, 2, "Balance sheet, governmental funds\nAssets\nFund balances\n" + "1,234 " * 9), (1, 3, "Statement of Activities\nProgram revenues\nexpenses")], "doc_id long, page int, text string")
+    every = sorted(map(tuple, page_ranges.statement_pages(pages, 1).collect()))
+    some = page_ranges.statement_pages(pages, 1, statements=("SNP", "SOA"))
+    assert sorted(map(tuple, some.collect())) == [r for r in every if r[1] in ("SNP", "SOA")] != [] and len(every) > len(some.collect())
+    assert "Join" not in plan(page_ranges.statement_pages(pages, 1, statements=("SNP", "SOA")))
+    with pytest.raises(ValueError):
+        page_ranges.statement_pages(pages, 1, statements=("XYZ",))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import dates, names
 from folio.functions.text import match_pct
-from folio.operators.near_names import near_pairs
+from folio.operators.near_names import best_near
 from folio.operators.pages import best_hit
 
 #: Pages and lines looked at, and the shares and scores that pass.
@@ -103,18 +103,13 @@ def fiscal_year(lines: DataFrame, wanted: DataFrame, statement_pages: DataFrame
 def auditor(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows (doc_id, status, score): whether a document names its auditor; wanted: doc_id, auditor as 'firm (contact)'.
 
-    A line that holds the firm's normal name scores 100. Only documents without one compare names by likeness, with the lines that near_pairs()
-    leaves: all that can reach the score.
+    A line that holds the firm's normal name scores 100; else the best likeness of the firm's or the contact's name to a line counts.
     """
     parts = names.firm_and_contact(F.col("auditor"))
     asked = wanted.select("doc_id", names.auditor_name(parts["firm"]).alias("firm"), names.auditor_name(parts["contact"]).alias("contact"))
-    of = lines.select("doc_id", names.auditor_name(F.col("text")).alias("own")).where("own <> ''").join(asked, "doc_id")
-    exact = of.where((F.col("firm") != "") & F.col("own").contains(F.col("firm"))).select("doc_id").distinct()
-    rest = asked.join(exact, "doc_id", "left_anti")
-    sought = rest.select("doc_id", F.explode(F.array("firm", "contact")).alias("name"))
-    near = near_pairs(sought.withColumn("name_id", F.xxhash64("doc_id", "name")), of.select("doc_id", "own", F.xxhash64("doc_id", "own").alias("line_id")).distinct(), ("name_id", "name"), ("line_id", "own"), NAME_SCORE, ["doc_id"])
-    near = near.groupBy("doc_id").agg(F.max("score").alias("score"))
-    found = exact.withColumn("score", F.lit(100.0)).unionByName(near)
+    # no filter on own: it would be pushed below the projection, and each line's name be made twice
+    of = lines.select("doc_id", names.auditor_name(F.col("text")).alias("own")).join(asked, "doc_id")
+    found = best_near(of, "doc_id", ["firm", "contact"], "own", NAME_SCORE)
     return wanted.select("doc_id").join(found, "doc_id", "left").select("doc_id", F.when(F.col("score").isNotNull(), "PASS").otherwise("FAIL").alias("status"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.fuzzy import partial
+from folio.functions.fuzzy import best_partial, partial
 
 SIZES = (3, 2, 1)
 
@@ -98,3 +98,21 @@ def near_pairs(left: DataFrame, right: DataFrame, left_named: tuple[str, str], r
         scored = found.mapInPandas(_scored(least), schema).select(*by, "l", "r", "score")
         pairs = scored if pairs is None else pairs.unionByName(scored)
     return pairs.groupBy(*by, "l", "r").agg(F.max("score").alias("score")).withColumnsRenamed({"l": left_named[0], "r": right_named[0]})
+
+
+def best_near(rows: DataFrame, by: str, names: list[str], text: str, least: float) -> DataFrame:
+    """Rows (by, score): the best likeness, as near_pairs() gives it, of any of the names of a row to its text; where it reaches `least`.
+
+    For names that are looked for in texts of their own only: each text is read once, where it lies, and no q-grams are shuffled.
+    """
+    kind = rows.schema[by].dataType.simpleString()
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [(key[0], max(best_partial(name, list(own), least) for name in key[1:])) for key, own in part.groupby([by, *names], sort=False)[text]]
+            yield pd.DataFrame([x for x in found if x[1] >= least], columns=[by, "score"])
+
+    if least <= 0:
+        raise ValueError("least must be over 0")
+    texts = rows.where(F.col(by).isNotNull()).select(by, *[F.coalesce(c, F.lit("")).alias(c) for c in (*names, text)])
+    return texts.mapInPandas(run, f"`{by}` {kind}, score double").groupBy(by).agg(F.max("score").alias("score"))

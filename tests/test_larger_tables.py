@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from folio.operators import matching, page_ranges, statement_rules
+from folio.operators import document_checks, matching, page_ranges, statement_rules
 from folio.operators.statement_check import check_statements
 from folio.sources.store import KeyedStore
 
@@ -101,3 +101,10 @@ def test_only_the_wanted_statements_are_tested(spark):
     assert "Join" not in plan(page_ranges.statement_pages(pages, 1, statements=("SNP", "SOA")))
     with pytest.raises(ValueError):
         page_ranges.statement_pages(pages, 1, statements=("XYZ",))
+
+
+def test_auditor_reads_lines_once(spark):
+    lines = spark.createDataFrame([(1, 0, 0, "by Kpmg")], "doc_id int, page int, line int, text string")
+    wanted = spark.createDataFrame([(1, "KPMG LLP (Ann Lee)")], "doc_id int, auditor string")
+    told = plan(document_checks.auditor(lines, wanted))
+    assert told.count("Exchange hashpartitioning") <= 5 and "explode" not in told and told.count("MapInPandas") == 1

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from folio.functions.fuzzy import partial, ratio
+from folio.functions.fuzzy import best_partial, partial, ratio
 from folio.operators import near_names as m
 
 
@@ -55,3 +55,25 @@ def test_cases(spark):
     assert m.near_pairs(left.limit(0), right, ("a", "x"), ("b", "y"), 85, ["d"]).count() == 0
     with pytest.raises(ValueError):
         m.near_pairs(left, right, ("a", "x"), ("b", "y"), 40)
+
+
+def test_the_best_of_many_texts_equals_each_tried(spark):
+    rng = random.Random(8)
+    for seed in range(60):
+        texts = list(names(seed, rng.randrange(1, 12), 70)) + ["", "ü", "𝄞 kpmg 𝄞"][: rng.randrange(4)]
+        for name in ["kpmg", "crowe", "baker tilly us", "ü ber prüfer", "clifton larson allen", "𝄞 kpmg", ""]:
+            for least in (60.0, 85.0, 100.0):
+                want = max([partial(name, t) for t in texts if t], default=0.0) if name else 0.0
+                assert best_partial(name, texts, least) == (want if want >= least else 0.0)
+
+
+def test_best_near_equals_pairs(spark):
+    rng = random.Random(9)
+    rows = [(d, a, c, t) for d in range(40) for a, c in [(next(names(d, 1, 30)), rng.choice(["", None, "ann lee"]))] for t in [*names(d + 50, 6, 60), rng.choice(["", None, "anne lee"])]]
+    got = {r.d: r.score for r in m.best_near(spark.createDataFrame(rows, "d int, a string, c string, t string").repartition(3), "d", ["a", "c"], "t", 80).collect()}
+    want = {}
+    for d, *sought, t in rows:
+        for name in sought:
+            if name and t:
+                want[d] = max(want.get(d, 0), partial(name, t))
+    assert got == {d: s for d, s in want.items() if s >= 80} and 5 < len(got) < 40

@@ -50,14 +50,21 @@ def digit_drop(value: Column, total: Column) -> Column:
     either is null.
     """
     near = value.between(F.least(total * F.lit(Decimal("0.8")), total * F.lit(Decimal("1.2"))), F.greatest(total * F.lit(Decimal("0.8")), total * F.lit(Decimal("1.2"))))
-    digits = F.abs(value).cast("decimal(30,0)").cast("string")
-    with_digit = lambda p: F.transform(F.sequence(F.lit(0), F.lit(9)), lambda d: F.concat(F.substring(digits, F.lit(1), p), d.cast("string"), F.substring(digits, p + 1, F.length(digits))))
-    made = F.flatten(F.transform(F.sequence(F.lit(0), F.length(digits)), with_digit))
-    signed = F.transform(made, lambda t: t.cast("decimal(38,4)") * F.when(value < 0, -1).otherwise(1))
-    fits = F.array_distinct(F.filter(signed, lambda x: F.abs(x - total) <= 1))
-    fixed = (value == F.floor(value)) & (F.size(fits) == 1)
+    whole = (value == F.floor(value)) & (F.abs(value) < F.lit(Decimal(10) ** 30))
+    digits = F.abs(value).cast("decimal(38,0)").cast("string")
+    signed = lambda x: F.when(value < 0, -x).otherwise(x).cast("decimal(38,4)")
+    # Only the two or three whole numbers within 1 of the sum are tried: one with a digit more than the value comes from it by adding
+    # one if a single insertion parts the two; a zero put before the value leaves it as it is, and a 0 may become any single digit.
+    # Amounts keep their type: beside a decimal(38,0) Spark would round them.
+    lowest, fits = F.ceil(signed(total) - 1).cast("decimal(38,4)"), []
+    for k in range(3):
+        x = (lowest + k).cast("decimal(38,4)")
+        text = x.cast("decimal(38,0)").cast("string")
+        made = (x == F.abs(value)) | ((F.length(text) == F.length(digits) + 1) & (F.levenshtein(digits, text, 1) == 1)) | ((value == 0) & (x < 10))
+        fits.append(F.when((x >= 0) & (x - signed(total) <= 1) & made, x))
+    fixed = F.when(~near, whole & (sum(f.isNotNull().cast("int") for f in fits) == 1))
     state = F.when(near, "ok").when(fixed, "repaired").otherwise("fail")
-    kept = F.when(~near & fixed, F.get(fits, F.lit(0))).otherwise(value).cast("decimal(38,4)")
+    kept = F.when(fixed, signed(F.coalesce(*fits))).otherwise(value).cast("decimal(38,4)")
     return F.when(value.isNotNull() & total.isNotNull(), F.struct(kept.alias("value"), state.alias("state")))
 
 

@@ -108,3 +108,30 @@ def test_auditor_reads_lines_once(spark):
     wanted = spark.createDataFrame([(1, "KPMG LLP (Ann Lee)")], "doc_id int, auditor string")
     told = plan(document_checks.auditor(lines, wanted))
     assert told.count("Exchange hashpartitioning") <= 5 and "explode" not in told and told.count("MapInPandas") == 1
+
+
+def dropped(value, total):
+    """A lost digit by trying every digit in every place."""
+    if min(total * D("0.8"), total * D("1.2")) <= value <= max(total * D("0.8"), total * D("1.2")):
+        return value, "ok"
+    text, sign = str(abs(int(value))), -1 if value < 0 else 1
+    fits = {x for p in range(len(text) + 1) for d in "0123456789" for x in [sign * D(text[:p] + d + text[p:])] if abs(x - total) <= 1}
+    return (fits.pop(), "repaired") if value == int(value) and len(fits) == 1 else (value, "fail")
+
+
+def test_digit_drop_equals_every_digit_tried_without_arrays(spark):
+    rng, pairs = random.Random(4), []
+    for _ in range(3000):
+        n = rng.choice([0, 1, 2, 9, 10, 11, 99, 100, 1000, rng.randrange(10**6), rng.randrange(10**12), 10**25 + rng.randrange(10**9)])
+        text = str(n)
+        at = rng.randrange(len(text))
+        short = int(rng.choice([text[:at] + text[at + 1 :], text, text[at:]]) or 0)
+        sign = rng.choice([1, 1, -1])
+        pairs.append((D(sign * short) + rng.choice([0, 0, 0, D("0.5")]), sign * rng.choice([1, 1, 1, -1]) * n + rng.choice([D(0), D(1), D(-1), D("0.5"), D("-0.75"), D("1.5")])))
+    pairs += [(D(v), D(t)) for v in range(-12, 13) for t in range(-25, 26)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, v decimal(38,4), t decimal(38,4)")
+    made = statement_rules.digit_drop(F.col("v"), F.col("t"))
+    got = [tuple(r.x) for r in sorted(df.select("i", made.alias("x")).collect())]
+    assert got == [dropped(*p) for p in pairs] and {s for _, s in got} == {"ok", "repaired", "fail"}
+    assert "lambda" not in plan(df.select(made.alias("x")))
+    assert spark.range(1).select(statement_rules.digit_drop(F.lit(None).cast("decimal(38,4)"), F.lit(1).cast("decimal(38,4)")).alias("x")).first().x is None

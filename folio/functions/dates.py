@@ -58,8 +58,9 @@ def year_end(cell: Column, last_year: Column | None = None) -> Column:
 
 
 def line_dates(line: Column) -> Column:
-    """All dates of a line as structs (year, month, raw), the latest first."""
+    """All dates of a line as structs (year, month, raw), the latest first. A line without two digits beside each other has none and isn't searched."""
     found = F.concat(*[F.regexp_extract_all(line, F.lit(p), F.lit(0)) for p in (NAMED, DAY_FIRST, NUMERIC)])
+    found = F.when(line.rlike("[0-9]{2}"), found).when(line.isNotNull(), F.array().cast("array<string>"))
     dated = F.transform(F.array_distinct(found), lambda raw: F.struct(year_end(raw).alias("end"), raw.alias("raw")))
     good = F.filter(dated, lambda d: d["end"].isNotNull())
     return F.reverse(F.array_sort(F.transform(good, lambda d: F.struct(d["end"]["year"].alias("year"), d["end"]["month"].alias("month"), d["raw"].alias("raw")))))

@@ -35,6 +35,7 @@ OTHER_REPORTS = [
     r"(?:federal|state)\s+(?:and\s+(?:federal|state)\s+)?(?:financial\s+assistance\s+)?program", r"(?:federal|state)\s+(?:financial\s+)?award",
     r"schedule\s+of\s+(?:findings|expenditures)", r"single\s+audit",
 ]
+MARGIN = rf"(?i)^(?:{'|'.join(MARGINS)})$"
 HEADING = r"^\s*opinions?\b[:\s\-–—]*$"
 SENTENCE = r"\bin\s+our\s+opinion\b"
 #: Headings that end a section.
@@ -67,8 +68,9 @@ def one_of(patterns: list[str]) -> str:
 
 
 def plain(text: Column) -> Column:
-    """Runs of white space, no-break spaces among them, as one space; curly apostrophes straight; trimmed."""
-    return F.trim(F.regexp_replace(F.translate(text, "’‘", "''"), r"[\s ]+", " "))
+    """Runs of white space, no-break spaces among them, as one space; curly apostrophes straight; trimmed. Single spaces aren't replaced by themselves."""
+    straight = F.when(text.rlike("[’‘]"), F.translate(text, "’‘", "''")).otherwise(text)
+    return F.trim(F.regexp_replace(straight, r"[\s\u00a0]{2,}|[\t-\r\u00a0]", " "))
 
 
 def unglued(text: Column) -> Column:
@@ -79,7 +81,7 @@ def unglued(text: Column) -> Column:
 def top_lines(lines: DataFrame, n: int) -> DataFrame:
     """Adds top, from 0: the first n lines of each page that aren't margins and have three characters or more."""
     text = plain(F.col("text"))
-    seen = lines.where((F.length(text) >= 3) & ~text.rlike(rf"(?i)^(?:{'|'.join(MARGINS)})$"))
+    seen = lines.where((F.length(text) >= 3) & ~text.rlike(MARGIN))
     return seen.withColumn("top", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("line")) - 1).where(F.col("top") < n)
 
 

@@ -2,19 +2,20 @@
 
 A statement starts on a page whose top has its title. Its rows are looked for line by line, on at most SPAN_PAGES pages: a line takes the
 first kind of row that is still missing and that it shows, so the kinds still missing are a bitmask that a line may clear one bit of. A line is one number (which kinds
-it shows), a page an array of at most ROW_LINES of them, and only pages that follow a title are brought together: a group is SPAN_PAGES pages.
+it shows), a page an array of at most TOP_LINES + ROW_LINES of them, made from its lines in one pass; SPAN_PAGES pages come together by a window.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions import dates
-from folio.operators.document_checks import title_windows
-from folio.operators.opinions import one_of, plain, top_lines
+from folio.operators.opinions import MARGIN, one_of, plain
 
 #: Lines of a page's top and of a title, lines searched for rows, pages of a statement, scores by the year end that is found.
 TOP_LINES, TITLE_SPAN, ROW_LINES, SPAN_PAGES = 8, 3, 60, 6
@@ -62,30 +63,47 @@ STATEMENTS = (
 )
 
 
-def excluded_pages(lines: DataFrame) -> DataFrame:
-    """Rows (doc_id, page): pages whose top names another kind of page."""
-    tops = top_lines(lines, TOP_LINES).withColumn("t", plain(F.col("text")))
-    bad = (F.col("top") < EXCLUDED_LINES) & (F.length("t") < EXCLUDED_CHARS) & ~F.col("t").rlike(BREAKS_OFF) & F.col("t").rlike(one_of(EXCLUDED))
-    of = tops.groupBy("doc_id", "page").agg(F.bool_or(bad).alias("bad"), F.bool_or(F.col("t").rlike(one_of(ALLOWED))).alias("allowed"))
-    return of.where(F.col("bad") & ~F.col("allowed")).select("doc_id", "page")
+#: A pattern that may fit a few lines but not more lines around them.
+_BOUND = re.compile(r"[\^$]|\(\?<?[=!]|\\[AZzGB]")
 
 
-def titled_pages(lines: DataFrame, statements: tuple[Statement, ...] = STATEMENTS) -> DataFrame:
-    """Rows (doc_id, step, start): pages whose top has a statement's title in one to TITLE_SPAN neighbouring lines."""
-    tops = top_lines(lines, TOP_LINES).select("doc_id", "page", F.col("top").alias("line"), plain(F.col("text")).alias("text"))
-    return title_windows(tops, {s.step: spaced(s.titles) for s in statements}, TOP_LINES, TITLE_SPAN).select("doc_id", F.col("title").alias("step"), F.col("page").alias("start"))
+def _titled(tops: Column, statement: Statement) -> Column:
+    """Whether one to TITLE_SPAN neighbouring lines of a page's top have a title. What a line has, longer stretches around it have too, unless the
+    pattern is bound to ends, so that the longest stretches do, and only where the whole top has it."""
+    title, n = spaced(statement.titles), F.size(tops)
+    bound = any(_BOUND.search(p) for p in statement.titles)
+    joined = lambda i, k: F.array_join(F.slice(tops, i, F.lit(k)), " ").rlike(title)
+    tests = lambda i: reduce(lambda x, y: x | y, [((i + k - 1) <= n) & joined(i, k) for k in range(1, TITLE_SPAN + 1)]) if bound else joined(i, TITLE_SPAN)
+    found = F.exists(F.sequence(F.lit(1), n if bound else F.greatest(F.lit(1), n - TITLE_SPAN + 1)), tests)
+    return (n > 0) & (found if bound else F.array_join(tops, " ").rlike(title) & found)
 
 
-def _pages(lines: DataFrame, wanted: DataFrame, statements: tuple[Statement, ...]) -> DataFrame:
-    """Rows (doc_id, page, hits, columns, exact, partial): of each statement, by its place, the kinds of rows that each line shows, and whether a line has a column."""
-    of = lines.withColumn("t", F.lower(plain(F.translate("text", "–—“”", '--""')))).where(F.col("t") != "")
-    of = of.withColumn("at", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("line")) - 1).join(wanted.select("doc_id", "fye"), "doc_id")
+def _pages(lines: DataFrame, statements: tuple[Statement, ...]) -> DataFrame:
+    """Rows (doc_id, page, hits, columns, ends, other, titled): of each statement, by its place, the kinds of rows that each line shows, whether a line has
+    a column and whether the page's top has a title; the year ends on the page; whether its top names another kind of page. Lines are read and shuffled once.
+    """
+    # blank lines by their raw text: a filter on what is made of it would make it twice
+    of = lines.where(F.col("text").rlike("[^\\s\u00a0]")).select("doc_id", "page", "line", plain(F.col("text")).alias("p"))
+    low = F.lower(F.when(F.col("p").rlike("[–—“”]"), F.translate("p", "–—“”", '--""')).otherwise(F.col("p")))
+    of = of.select("doc_id", "page", "line", F.when((F.length("p") >= 3) & ~F.col("p").rlike(MARGIN), F.col("p")).alias("top"), low.alias("t"))
     bits = [sum((F.col("t").rlike(spaced((p,))).cast("int") * (1 << i) for i, p in enumerate(s.rows)), F.lit(0)) for s in statements]
-    of = of.withColumn("hit", F.when(F.col("at") < TOP_LINES + ROW_LINES, F.struct("at", F.array(*bits).alias("of"))))
-    kinds = F.when(F.col("t").rlike("[0-9]"), F.transform(dates.line_dates(F.col("t")), lambda d: dates.compare(F.col("fye"), d)))
-    has = lambda *k: F.coalesce(F.bool_or(F.arrays_overlap(F.col("kinds"), F.array(*[F.lit(x) for x in k]))), F.lit(False))
-    column = [F.bool_or(F.col("t").rlike(spaced(s.columns) if s.columns else AMOUNT)) for s in statements]
-    return of.withColumn("kinds", kinds).groupBy("doc_id", "page").agg(F.array_sort(F.collect_list("hit")).alias("hits"), F.array(*column).alias("columns"), has("EXACT").alias("exact"), has("MONTH", "YEAR").alias("partial"))
+    column = [F.col("t").rlike(spaced(s.columns) if s.columns else AMOUNT) for s in statements]
+    ends = F.when(F.col("t").rlike("[0-9]"), F.transform(dates.line_dates(F.col("t")), lambda d: F.struct(d["month"].alias("month"), d["year"].alias("year"))))
+    of = of.select("doc_id", "page", F.struct("line", "top", F.array(*bits).alias("of"), F.array(*column).alias("columns"), ends.alias("ends")).alias("x"))
+    of = of.groupBy("doc_id", "page").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    tops = F.slice(F.filter(F.transform("x", lambda x: x["top"]), lambda t: t.isNotNull()), 1, TOP_LINES)
+    held = lambda k: F.exists("x", lambda x: x["columns"][k])
+    hits = F.transform(F.slice("x", 1, TOP_LINES + ROW_LINES), lambda x, i: F.struct(i.alias("at"), x["of"].alias("of")))
+    of = of.select(
+        "doc_id", "page", tops.alias("tops"), F.filter(hits, lambda h: F.exists(h["of"], lambda b: b > 0)).alias("hits"),
+        F.array(*[held(k) for k in range(len(statements))]).alias("columns"),
+        F.flatten(F.filter(F.transform("x", lambda x: x["ends"]), lambda e: F.size(e) > 0)).alias("ends"),
+    )
+    bad = F.exists(F.slice("tops", 1, EXCLUDED_LINES), lambda t: (F.length(t) < EXCLUDED_CHARS) & t.rlike(one_of(EXCLUDED)) & ~t.rlike(BREAKS_OFF))
+    other = bad & ~F.exists("tops", lambda t: t.rlike(one_of(ALLOWED)))
+    low = F.transform("tops", lambda t: F.lower(t))
+    of = of.select("doc_id", "page", "hits", "columns", "ends", other.alias("other"), low.alias("tops"))
+    return of.select("doc_id", "page", "hits", "columns", "ends", "other", F.array(*[_titled(F.col("tops"), s) for s in statements]).alias("titled"))
 
 
 def _left(missing: Column, shown: Column) -> Column:
@@ -101,17 +119,27 @@ def find_statements(lines: DataFrame, wanted: DataFrame, statements: tuple[State
     one of these pages has the year end, else REVIEW. Rows end before an excluded page. A scanned page with the title ends the search as OCR REQUIRED. Steps of
     another sector are NOT APPLICABLE; no page is FAIL. Cases: null texts are blank; a missing year end matches nothing.
     """
-    starts = titled_pages(lines, statements)
-    scans = starts.select("doc_id", F.col("start").alias("page")).limit(0) if scanned is None else scanned.select("doc_id", "page").distinct()
-    starts = starts.join(scans.select("doc_id", F.col("page").alias("start"), F.lit(True).alias("image")), ["doc_id", "start"], "left")
-    cover = starts.select("*", F.explode(F.sequence(F.col("start"), F.col("start") + SPAN_PAGES - 1)).alias("page"))
-    place = F.array_position(F.array(*[F.lit(s.step) for s in statements]), F.col("step")).cast("int") - 1
-    of = cover.join(_pages(lines, wanted, statements), ["doc_id", "page"]).join(excluded_pages(lines).withColumn("other", F.lit(True)), ["doc_id", "page"], "left").withColumn("k", place)
-    first, last = F.when(F.col("page") == F.col("start"), TOP_LINES).otherwise(0), F.when(F.col("page") == F.col("start"), TOP_LINES + ROW_LINES).otherwise(ROW_LINES)
-    inside = F.filter("hits", lambda h: (h["at"] >= first) & (h["at"] < last))
-    shown = F.filter(F.transform(inside, lambda h: F.get(h["of"], F.col("k"))), lambda b: b > 0)
-    page = F.struct("page", shown.alias("shown"), F.get("columns", F.col("k")).alias("column"), "exact", "partial", (F.coalesce("other", F.lit(False)) & (F.col("page") > F.col("start"))).alias("stop"))
-    of = of.groupBy("doc_id", "step", "start").agg(F.array_sort(F.collect_list(page)).alias("pages"), F.first("k").alias("k"), F.first("image").alias("image"))
+    of = _pages(lines, statements).join(wanted.select("doc_id", "fye"), "doc_id")
+    is_ = lambda *kinds: F.exists("ends", lambda e: dates.compare(F.col("fye"), e).isin(*kinds))
+    page = F.struct("page", "hits", "columns", is_("EXACT").alias("exact"), is_("MONTH", "YEAR").alias("partial"), "other")
+    span = F.collect_list("of").over(Window.partitionBy("doc_id").orderBy("page").rangeBetween(0, SPAN_PAGES - 1))
+    of = of.select("doc_id", "page", "titled", page.alias("of")).select("doc_id", F.col("page").alias("start"), "titled", span.alias("span"))
+    places = F.filter(F.sequence(F.lit(0), F.lit(len(statements) - 1)), lambda k: F.get("titled", k))
+    of = of.select("doc_id", "start", "span", F.explode(places).alias("k")).withColumn("step", F.get(F.array(*[F.lit(s.step) for s in statements]), F.col("k")))
+    if scanned is None:
+        of = of.withColumn("image", F.lit(None).cast("boolean"))
+    else:
+        scans = scanned.select("doc_id", F.col("page").alias("start")).distinct()
+        of = of.join(scans.withColumn("image", F.lit(True)), ["doc_id", "start"], "left")
+
+    def seen_from(p: Column) -> Column:
+        """A page of a statement: rows count from below the first page's top."""
+        first = F.when(p["page"] == F.col("start"), TOP_LINES).otherwise(0)
+        inside = F.filter(p["hits"], lambda h: (h["at"] >= first) & (h["at"] < first + ROW_LINES))
+        shown = F.filter(F.transform(inside, lambda h: F.get(h["of"], F.col("k"))), lambda b: b > 0)
+        return F.struct(p["page"].alias("page"), shown.alias("shown"), F.get(p["columns"], F.col("k")).alias("column"), p["exact"].alias("exact"), p["partial"].alias("partial"), (p["other"] & (p["page"] > F.col("start"))).alias("stop"))
+
+    of = of.select("doc_id", "step", "start", "k", "image", F.transform(F.sort_array("span"), seen_from).alias("pages"))
     stop = F.array_min(F.transform(F.filter("pages", lambda p: p["stop"]), lambda p: p["page"]))
     of = of.withColumns({"own": F.filter("pages", lambda p: stop.isNull() | (p["page"] < stop)), "all": F.get(F.array(*[F.lit((1 << len(s.rows)) - 1) for s in statements]), F.col("k"))})
     walk = lambda a, p: F.when(a["missing"] == 0, a).otherwise(F.struct(F.aggregate(p["shown"], a["missing"], _left).alias("missing"), p["page"].alias("last")))

@@ -20,7 +20,7 @@ PER_PAGE = 10
 def planted_lines(spark, sf_dir):
     lines = read(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "own"))
     # digits of the documents' own lines don't count, so that the planted dates alone decide
-    lines = lines.select("doc_id", F.translate("own", "0123456789", "").alias("own"), F.explode(F.sequence(F.col("at") * 4, F.col("at") * 4 + 3)).alias("i"))
+    lines = lines.select("doc_id", F.regexp_replace("own", "[0-9]+", "").alias("own"), F.explode(F.sequence(F.col("at") * 4, F.col("at") * 4 + 3)).alias("i"))
     i, doc = F.col("i"), F.col("doc_id")
     k = ((doc + i + F.floor(i / PER_PAGE) * (doc % 5)) % len(PLANTED)).cast("int")
     text = F.when(i % 4 < 3, F.get(F.array(*[F.lit(x) for x in PLANTED]), k)).otherwise(F.col("own"))

@@ -1,12 +1,13 @@
 """Operators that have to grow no faster than their input: against plain walks and all pairs, and by their plans."""
 
 import random
+import re
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from folio.operators import document_checks, matching, page_ranges, statement_rules
+from folio.operators import document_checks, matching, page_ranges, statement_finder, statement_rules
 from folio.operators.statement_check import check_statements
 from folio.sources.store import KeyedStore
 
@@ -135,3 +136,17 @@ def test_digit_drop_equals_every_digit_tried_without_arrays(spark):
     assert got == [dropped(*p) for p in pairs] and {s for _, s in got} == {"ok", "repaired", "fail"}
     assert "lambda" not in plan(df.select(made.alias("x")))
     assert spark.range(1).select(statement_rules.digit_drop(F.lit(None).cast("decimal(38,4)"), F.lit(1).cast("decimal(38,4)")).alias("x")).first().x is None
+
+
+def test_finder_moves_lines_once(spark):
+    lines = spark.createDataFrame([(1, 0, 0, "Balance Sheet")], "doc_id int, page int, line int, text string")
+    wanted = spark.createDataFrame([(1, "LG", (6, 2021))], "doc_id int, sector string, fye struct<month:int,year:int>")
+    told = plan(statement_finder.find_statements(lines, wanted))
+    assert len(re.findall(r"Exchange hashpartitioning\(doc_id#\d+, page#\d+", told)) == 1
+
+
+def test_titles_bound_to_ends_are_tried_in_every_stretch(spark):
+    tops = spark.createDataFrame([(["x", "Balance", "Sheet", "y"],), (["x", "old Balance", "Sheet", "y"],), (["Balance Sheet"],), ([],)], "tops array<string>")
+    for title, want in ((r"^balance sheet$", [True, False, True, False]), (r"\bbalance sheet\b", [True, True, True, False])):
+        s = statement_finder.Statement("S", ("LG",), (title,), ("x",))
+        assert [r[0] for r in tops.coalesce(1).select(statement_finder._titled(F.col("tops"), s)).collect()] == want

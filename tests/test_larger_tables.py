@@ -7,7 +7,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from folio.operators import document_checks, matching, page_ranges, statement_finder, statement_rules
+from folio.operators import document_checks, matching, opinions, page_ranges, statement_finder, statement_rules
 from folio.operators.statement_check import check_statements
 from folio.sources.store import KeyedStore
 
@@ -150,3 +150,11 @@ def test_titles_bound_to_ends_are_tried_in_every_stretch(spark):
     for title, want in ((r"^balance sheet$", [True, False, True, False]), (r"\bbalance sheet\b", [True, True, True, False])):
         s = statement_finder.Statement("S", ("LG",), (title,), ("x",))
         assert [r[0] for r in tops.coalesce(1).select(statement_finder._titled(F.col("tops"), s)).collect()] == want
+
+
+def test_plain_equals_its_full_form(spark):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("aB1 \t\n\u00a0'’‘é") for _ in range(rng.randrange(12))) for _ in range(2000)] + [None]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    full = F.trim(F.regexp_replace(F.translate("x", "’‘", "''"), "[\\s\u00a0]+", " "))
+    assert df.where(~opinions.plain(F.col("x")).eqNullSafe(full)).count() == 0

@@ -8,6 +8,8 @@ a minimum or maximum, which Spark combines before the shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ STOPS = [
 PASSES = [r"\bpresent(?:s|ed)?\s+fairly\b", r"\btrue\s+and\s+fair\b", r"\bunmodified\b", r"\bunqualified\b"]
 REVIEWS = [r"\bqualified\b(?!\s+opinion\s+is\s+not)"]
 FAILS = [r"\bdoes\s+not\s+present\s+fairly\b", r"\badverse\b", r"\bdisclaimer\b"]
+#: A word of each phrase above, of the opinion's sentence and of the start of a report's text; lines without one aren't searched for the rest.
+OPINION_WORDS, SENTENCE_WORDS, BODY_WORDS = ["fair", "adverse", "disclaimer", "unmodified", "qualified"], ["opinion"], ["audited", "opinion"]
 #: Bases of accounting that come with an opinion of their own beside the one on general principles, and the headings of both.
 REGULATORY = [
     r"regulatory\s+basis", r"prescribed\s+or\s+permitted\s+by\s+the\s+division", r"modified\s+cash\s+basis", r"statutory\s+basis\s+of\s+accounting",
@@ -68,31 +72,43 @@ def one_of(patterns: list[str]) -> str:
 
 
 def plain(text: Column) -> Column:
-    """Runs of white space, no-break spaces among them, as one space; curly apostrophes straight; trimmed. Single spaces aren't replaced by themselves."""
-    straight = F.when(text.rlike("[’‘]"), F.translate(text, "’‘", "''")).otherwise(text)
-    return F.trim(F.regexp_replace(straight, r"[\s\u00a0]{2,}|[\t-\r\u00a0]", " "))
+    """Runs of white space, no-break spaces among them, as one space; curly apostrophes straight; trimmed. Only texts that have what is replaced are
+    searched by patterns."""
+    straight = F.when(text.contains("’") | text.contains("‘"), F.translate(text, "’‘", "''")).otherwise(text)
+    spaced = reduce(lambda c, x: c | text.contains(x), ["\t", "\n", "\v", "\f", "\r", "\u00a0"], text.contains("  "))
+    return F.trim(F.when(spaced, F.regexp_replace(straight, r"[\s\u00a0]{2,}|[\t-\r\u00a0]", " ")).otherwise(straight))
+
+
+def plain_lines(lines: DataFrame) -> DataFrame:
+    """Rows (doc_id, page, line, text): the lines that aren't blank, as plain(), dealt out by page once for all that reads them."""
+    there = lines.where(F.col("doc_id").isNotNull() & F.col("page").isNotNull() & F.col("text").rlike(r"[^\s\u00a0]"))
+    return there.select("doc_id", "page", "line", plain(F.col("text")).alias("text")).repartition("doc_id", "page")
 
 
 def unglued(text: Column) -> Column:
-    """A title as plain(), words parted where a small letter or digit meets a capital, apostrophes closed up."""
-    return F.regexp_replace(plain(F.regexp_replace(text, r"(?<=[a-z0-9])(?=[A-Z])", " ")), r"\s*'\s*", "'")
+    """A plain() text, words parted where a small letter or digit meets a capital, apostrophes closed up."""
+    parted = F.regexp_replace(text, r"(?<=[a-z0-9])(?=[A-Z])", " ")
+    return F.when(text.contains("'"), F.regexp_replace(parted, r"\s*'\s*", "'")).otherwise(parted)
 
 
-def top_lines(lines: DataFrame, n: int) -> DataFrame:
-    """Adds top, from 0: the first n lines of each page that aren't margins and have three characters or more."""
-    text = plain(F.col("text"))
-    seen = lines.where((F.length(text) >= 3) & ~text.rlike(MARGIN))
-    return seen.withColumn("top", F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("line")) - 1).where(F.col("top") < n)
+def top_lines(lines: DataFrame, n: int, word: str) -> DataFrame:
+    """Adds top, from 0, to plain_lines(): the first n lines of each page that aren't margins and have three characters or more; pages whose
+    lines don't have the word, in large or small letters, are left out."""
+    page = Window.partitionBy("doc_id", "page").orderBy("line")
+    above, whole = page.rowsBetween(Window.unboundedPreceding, Window.currentRow), page.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = lines.withColumns({"seen": (F.length("text") >= 3) & ~F.col("text").rlike(MARGIN), "has": F.col("text").rlike(f"(?i){word}")})
+    seen = seen.withColumns({"top": (F.count(F.when(F.col("seen"), 1)).over(above) - 1).cast("int"), "has": F.max("has").over(whole)})
+    return seen.where(F.col("seen") & F.col("has") & (F.col("top") < n)).select(*lines.columns, "top")
 
 
 def report_pages(lines: DataFrame) -> DataFrame:
-    """Rows (doc_id, page): pages with the title of a report on the statements; those that say so in full, if a document has any. Pages of
-    contents and titles of other reports don't count; a title ends where the report's text begins."""
-    tops = top_lines(lines, TITLE_LINES).withColumn("t", unglued(F.col("text")))
-    body = F.min(F.when(F.col("t").rlike(one_of(BODY)), F.col("top")))
-    pages = tops.groupBy("doc_id", "page").agg(body.alias("body"), F.array_sort(F.collect_list(F.struct("top", "t"))).alias("x"))
-    title = F.array_join(F.transform(F.filter("x", lambda x: F.col("body").isNull() | (x["top"] < F.col("body"))), lambda x: x["t"]), " ")
-    pages = pages.select("doc_id", "page", title.alias("title"))
+    """Rows (doc_id, page) of plain_lines(): pages with the title of a report on the statements; those that say so in full, if a document has any.
+    Pages of contents and titles of other reports don't count; a title ends where the report's text begins. Every title has the word report."""
+    tops = top_lines(lines, TITLE_LINES, "report").withColumn("t", unglued(F.col("text")))
+    whole = Window.partitionBy("doc_id", "page").orderBy("line").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    body = F.min(F.when(F.col("t").rlike(one_of(BODY_WORDS)) & F.col("t").rlike(one_of(BODY)), F.col("top"))).over(whole)
+    pages = tops.withColumns({"body": body, "x": F.collect_list("t").over(whole)}).where(F.col("top") == 0)
+    pages = pages.select("doc_id", "page", F.array_join(F.slice("x", F.lit(1), F.coalesce("body", F.size("x"))), " ").alias("title"))
     held = pages.where(F.col("title").rlike(one_of(REPORT)) & ~F.col("title").rlike(one_of(CONTENTS)) & ~F.col("title").rlike(one_of(OTHER_REPORTS)))
     full = F.col("title").rlike(one_of(REPORT_ON_STATEMENTS))
     held = held.select("doc_id", "page", full.alias("full")).withColumn("any", F.bool_or("full").over(Window.partitionBy("doc_id")))
@@ -105,14 +121,15 @@ def sections(lines: DataFrame) -> DataFrame:
     From the first heading of the opinion on; if nothing stands between that and the next heading, from LINES_BEFORE lines before the
     first sentence that gives an opinion.
     """
+    lines = plain_lines(lines)
     reports = report_pages(lines)
     cover = reports.select("doc_id", F.col("page").alias("report"), F.explode(F.sequence(F.col("page"), F.col("page") + SECTION_PAGES - 1)).alias("page"))
-    of = lines.where(plain(F.col("text")) != "").join(cover, ["doc_id", "page"]).withColumn("text", plain(F.col("text")))
+    of = lines.join(cover, ["doc_id", "page"])
     group = Window.partitionBy("doc_id", "report").orderBy("page", "line")
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     first = lambda c: F.min(F.when(c, F.col("n"))).over(whole)
     of = of.withColumns({"n": F.row_number().over(group), "stop": F.col("text").rlike(rf"(?i)^(?:{'|'.join(STOPS)})\b")})
-    of = of.withColumns({"head": first(F.col("text").rlike("(?i)" + HEADING)), "told": first(F.col("text").rlike("(?i)" + SENTENCE))})
+    of = of.withColumns({"head": first(F.col("text").rlike("(?i)" + HEADING)), "told": first(F.col("text").rlike(one_of(SENTENCE_WORDS)) & F.col("text").rlike("(?i)" + SENTENCE))})
     of = of.withColumns({"after": first(F.col("n") > F.col("head")), "from": F.when(F.col("told").isNotNull(), F.greatest(F.lit(1), F.col("told") - LINES_BEFORE))})
     headed = F.max((F.col("n") == F.col("after")) & ~F.col("stop")).over(whole)
     of = of.withColumn("start", F.when(headed, F.col("after")).otherwise(F.col("from")))
@@ -128,11 +145,12 @@ def sections(lines: DataFrame) -> DataFrame:
 def operative(cut: DataFrame) -> DataFrame:
     """Adds block and regulatory: where a section of sections() gives an opinion on a regulatory basis beside one on general principles, the
     lines of the former; else the section. Without a heading for the former, the lines that don't speak of the latter."""
-    blob = F.array_join(F.transform("section", lambda x: x["text"]), " ")
-    at = lambda p: F.array_position(F.transform("section", lambda x: x["text"].rlike(one_of(p))), True)
-    of = cut.withColumns({"both": blob.rlike(one_of(REGULATORY)) & blob.rlike(one_of(GENERAL)), "own": at(REGULATORY_HEAD), "other": at(GENERAL_HEAD)})
+    of = cut.withColumn("blob", F.array_join(F.transform("section", lambda x: x["text"]), " "))
+    of = of.withColumn("both", F.col("blob").rlike(one_of(REGULATORY)) & F.col("blob").rlike(one_of(GENERAL)))
+    at = lambda p: F.when(F.col("both"), F.array_position(F.transform("section", lambda x: x["text"].rlike(one_of(p))), True))
     general = lambda t: t.rlike(one_of(GENERAL_HEAD)) | t.rlike(r"(?i)\badverse\b") | (t.rlike(one_of(FAILS)) & t.rlike(one_of(GENERAL)))
-    rest = F.filter("section", lambda x: ~general(x["text"]))
+    of = of.withColumns({"own": at(REGULATORY_HEAD), "other": at(GENERAL_HEAD), "rest": F.when(F.col("both"), F.filter("section", lambda x: ~general(x["text"])))})
+    rest = F.col("rest")
     size = F.when(F.col("other") > F.col("own"), F.col("other") - F.col("own")).otherwise(F.size("section"))
     block = F.when(~F.col("both"), F.col("section")).when((F.col("own") > 0) & (F.col("own") != F.col("other")), F.slice("section", F.greatest(F.col("own"), F.lit(1)).cast("int"), size.cast("int")))
     block = block.when(F.size(rest) > 0, rest).otherwise(F.col("section"))
@@ -160,12 +178,12 @@ def opinion(blocks: DataFrame, wanted: DataFrame) -> DataFrame:
     read, null if all were. Without a report page, a section or a phrase: FAIL, score 0.
     """
     line = lambda x: F.struct(x["page"].alias("page"), x["line"].alias("line"), x["text"].alias("text"))
-    fails = F.filter("block", lambda x: x["text"].rlike(one_of(FAILS)))
-    others = F.filter("block", lambda x: _kind(x["text"]).isNotNull())
-    reviews = F.filter("block", lambda x: x["text"].rlike(one_of(REVIEWS)))
-    failed, told = F.get(fails, F.lit(0)), F.get(others, F.lit(0))
-    last = F.element_at(F.when(F.size(reviews) > 0, reviews), -1)
-    of = blocks.select("doc_id", "report", "regulatory", F.when(failed.isNotNull(), F.struct("report", line(failed).alias("at"))).alias("failed"),
+    having = lambda test: F.filter("said", lambda x: test(x["text"]))
+    of = blocks.withColumn("said", F.filter("block", lambda x: x["text"].rlike(one_of(OPINION_WORDS))))
+    of = of.withColumns({"fails": having(lambda t: t.rlike(one_of(FAILS))), "others": having(lambda t: _kind(t).isNotNull()), "reviews": having(lambda t: t.rlike(one_of(REVIEWS)))})
+    failed, told = F.get("fails", F.lit(0)), F.get("others", F.lit(0))
+    last = F.element_at(F.when(F.size("reviews") > 0, F.col("reviews")), -1)
+    of = of.select("doc_id", "report", "regulatory", F.when(failed.isNotNull(), F.struct("report", line(failed).alias("at"))).alias("failed"),
                        F.when(failed.isNotNull(), F.struct("report", F.lit("FAIL").alias("kind"), line(failed).alias("at"))).when(told.isNotNull(), F.struct("report", _kind(told["text"]).alias("kind"), line(told).alias("at"))).alias("first"),
                        F.when(last.isNotNull(), F.struct("report", line(last).alias("at"))).alias("last"), F.when(F.col("regulatory"), F.col("report")).alias("basis"))
     best = of.groupBy("doc_id").agg(F.min("first").alias("first"), F.min("failed").alias("failed"), F.max("last").alias("last"), F.min("basis").alias("basis"))
@@ -189,8 +207,12 @@ def opinion_year(blocks: DataFrame, verdicts: DataFrame, wanted: DataFrame) -> D
     of = joined.join(wanted, "doc_id").where(F.col("fye").isNotNull())
     of = of.withColumn("dated", F.transform("block", lambda x: F.struct(x["page"].alias("page"), F.transform(dates.line_dates(x["text"]), lambda d: dates.compare(F.col("fye"), d)).alias("kinds"))))
     found = lambda kinds: F.get(F.filter("dated", lambda x: F.arrays_overlap(x["kinds"], F.array(*[F.lit(k) for k in kinds]))), F.lit(0))
-    across = F.filter(dates.line_dates(F.array_join(F.transform("block", lambda x: x["text"]), " ")), lambda d: dates.compare(F.col("fye"), d) == "EXACT")
-    of = of.withColumns({"exact": found(["EXACT"]), "part": found(["MONTH", "YEAR"]), "raw": F.get(across, F.lit(0))["raw"]})
+    of = of.withColumns({"exact": found(["EXACT"]), "part": found(["MONTH", "YEAR"])})
+    # only documents without the very date in a line are searched over lines, and only if they have the year's last two digits
+    joined = F.when(F.col("exact").isNull(), F.array_join(F.transform("block", lambda x: x["text"]), " "))
+    of = of.withColumn("joined", joined).withColumn("joined", F.when(F.contains("joined", F.right(F.col("fye.year").cast("string"), F.lit(2))), F.col("joined")))
+    across = F.filter(dates.line_dates(F.col("joined")), lambda d: dates.compare(F.col("fye"), d) == "EXACT")
+    of = of.withColumn("raw", F.get(across, F.lit(0))["raw"])
     month = F.regexp_extract("raw", r"^\p{L}+", 0)
     year = F.col("fye.year").cast("string")
     on = lambda test: F.get(F.filter("block", test), F.lit(0))["page"]

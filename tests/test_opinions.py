@@ -123,3 +123,31 @@ def test_empty(spark):
     one = spark.createDataFrame([(1, (6, 2021))], "doc_id int, fye struct<month:int,year:int>").withColumn("status", F.lit("clash"))
     found = m.opinion(blocks, one)
     assert [tuple(r) for r in found.collect()] == [(1, "FAIL", 0.0, None, None, None)] and m.opinion_year(blocks, found, one).first().status == "FAIL"
+
+
+def test_lines_are_dealt_out_once(spark):
+    """The title, the cover and the section read one shuffle of the lines, and titles are put together without an aggregate of objects."""
+    docs = {1: [REPORT + ["Opinion", "unmodified"]], 2: [["x y"]]}
+    cut = m.sections(table(spark, docs))
+    assert {(r.doc_id, len(r.section)) for r in cut.collect()} == {(1, 1)}
+    plan = m.report_pages(m.plain_lines(table(spark, docs)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "Aggregate" not in plan
+
+
+def test_unglued_of_plain(spark):
+    """unglued() takes texts that plain() has made, with the same result as cleaning them again."""
+    texts = ["INDEPENDENT AUDITOR ' S  REPORT", "comINDEPENDENT\tAUDITORS’ REPORT", "a1B 'c ' ", "‘x’Y zZ", "", "AbC\n\n'"]
+    t = spark.createDataFrame([(x,) for x in texts], "x string").select(m.unglued(m.plain(F.col("x"))).alias("u"), "x")
+    for r in t.collect():
+        norm = " ".join(r.x.replace("’", "'").replace("‘", "'").replace(" ", " ").split())
+        assert r.u == re.sub(r"\s*'\s*", "'", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", norm))
+
+
+def test_year_over_lines_of_two_digits(spark):
+    """A date over lines with a year of two digits is found; the last two digits alone are none."""
+    head = REPORT + ["Opinion"]
+    docs = {1: [head + ["unmodified as of 6/30", "-21 and since"]], 2: [head + ["unmodified as of June", "30, 21"]], 3: [head + ["unmodified, 21 of them"]]}
+    wanted = spark.createDataFrame([(d, (6, 2021)) for d in docs], "doc_id int, fye struct<month:int,year:int>")
+    blocks = m.operative(m.sections(table(spark, docs)))
+    got = {r.doc_id: r.status for r in m.opinion_year(blocks, m.opinion(blocks, wanted), wanted).collect()}
+    assert got[2] == "PASS" and got[3] == "FAIL"

@@ -23,11 +23,15 @@ def statement_rank(c):
 
 
 def carry_group(rows: DataFrame) -> DataFrame:
-    """Adds parent: the datapoint of the last DPG row above in the file, over the ends of sections."""
+    """Adds parent: the datapoint of the last DPG row above in the file, over the ends of sections.
+
+    The rows are dealt out by file even if they lie so already: a task then doesn't hold what made them beside its own sort, and its share is
+    measured by these rows, which are wider.
+    """
     line = Window.partitionBy("deal", "file").orderBy("section_pos", "row_order", "col_pos")
     head = F.struct(F.col("datapoint").alias("name"))
     above = F.last(F.when(F.col("flag") == "DPG", head), ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("parent", above["name"])
+    return rows.repartition("deal", "file").withColumn("parent", above["name"])
 
 
 def number_items(rows: DataFrame) -> DataFrame:
@@ -40,23 +44,23 @@ def facts(rows: DataFrame, chart: DataFrame, templates: DataFrame) -> DataFrame:
     """Stored cells: rows (deal, file, stmt_type, template, section, section_pos, row_order, category, coa_id, template_type, group_name, value, coord, disp_seq, status).
 
     chart: as resolve() takes it; templates: stmt_type, template. Headings and blank cells aren't stored; an item that isn't resolved is
-    stored under its template and section, and dropped where it has no template either.
+    stored under its template and section, and dropped where it has no template either. Cells are resolved where they lie, after the sort of
+    carry_group(), without a join to their items; only what is stored is shuffled again, by deal, to be numbered.
     """
-    own = carry_group(rows).where("flag <> 'DPG'").where(~is_empty(F.col("raw"))).join(F.broadcast(templates), "stmt_type", "left")
-    items = own.select("deal", "file", "stmt_type", "template", "section", "section_pos", "row_order", "datapoint", "parent").distinct()
-    found = resolve(items, chart).where("coa_id is not null or template is not null")
+    held = rows.where((F.col("flag") == "DPG") | ~is_empty(F.col("raw")))
+    own = carry_group(held).where("flag <> 'DPG'").where(~is_empty(F.col("raw"))).join(F.broadcast(templates), "stmt_type", "left")
     key = ["deal", "file", "section_pos", "row_order"]
-    numbered_items = number_items(found).select(*key, "coa_id", "status", "disp_seq")
-    out = own.join(numbered_items, key)
+    placed = own.where(" and ".join(f"{k} is not null" for k in key))
+    out = number_items(resolve(placed, chart).where("coa_id is not null or template is not null"))
     loose = F.col("coa_id").isNull()
     return out.select(*key[:2], "stmt_type", "template", "section", *key[2:], F.col("col").alias("category"), "coa_id", F.when(loose, F.col("template")).alias("template_type"), F.when(loose, F.col("section")).alias("group_name"), F.trim("raw").alias("value"), "coord", "disp_seq", "status")
 
 
 def ingest_counts(stored: DataFrame, rows: DataFrame) -> DataFrame:
     """One row for each deal: its files, stored cells, and items by how they were resolved; items count once, cells for each column."""
-    item = F.struct("file", "section_pos", "row_order")
-    kind = lambda s: F.count_distinct(F.when(F.col("status") == s, item)).alias(s)
-    cells = stored.groupBy("deal").agg(F.count("*").alias("cells"), kind("mapped"), kind("ambiguous"), kind("unmapped"))
+    kind = lambda s: F.count_if(F.col("status") == s).alias(s)
+    items = stored.groupBy("deal", "file", "section_pos", "row_order", "status").agg(F.count("*").alias("n"))
+    cells = items.groupBy("deal").agg(F.sum("n").alias("cells"), kind("mapped"), kind("ambiguous"), kind("unmapped"))
     files = rows.groupBy("deal").agg(F.count_distinct("file").alias("files"))
     return files.join(cells, "deal", "left").select("deal", "files", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("cells", "mapped", "ambiguous", "unmapped")])
 

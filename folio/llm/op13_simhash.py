@@ -126,7 +126,8 @@ def near_links(nodes: DataFrame, radius: int) -> DataFrame:
     tables = [F.struct(F.lit(t).alias("table"), F.col("print").bitwiseAND(F.lit(m).cast("long")).alias("kept")) for t, m in enumerate(masks(radius))]
     keyed = nodes.select("node", "print", F.explode(F.array(*tables)).alias("key")).select("key.*", "node", "print")
     sizes = keyed.groupBy("table", "kept").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(keyed.join(sizes, ["table", "kept"]), "met")
+    # Spark takes both sides for no larger than the nodes' file, of which each row is here once for each table; so no side is broadcast.
+    met = stored(keyed.join(sizes.hint("merge"), ["table", "kept"]), "met")
     small = met.where(F.col("n") <= TILE).select("table", "kept", "node", "print").repartition("table", "kept").sortWithinPartitions("table", "kept")
     salts = F.ceil(F.col("n") / TILE).cast("int")
     large = met.where(F.col("n") > TILE).withColumn("salt", F.pmod(F.xxhash64("print"), salts).cast("int"))

@@ -65,6 +65,14 @@ def test_links_of_many_close_fingerprints(spark, monkeypatch):
     assert smallest_reachable(range(len(nodes)), links) == smallest_reachable(range(len(nodes)), every)
 
 
+def test_buckets_are_never_broadcast(spark, monkeypatch):
+    """Spark sizes the nodes of all tables as the nodes' own file, which may lie below its limit for broadcasts when they don't fit the driver."""
+    plans, stored = {}, m.stored
+    monkeypatch.setattr(m, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or stored(df, name))
+    m.near_links(stored(spark.range(50).selectExpr("id as node", "id as print"), "nodes"), 4)
+    assert "Broadcast" not in plans["met"] and "SortMergeJoin" in plans["met"]
+
+
 def test_cases(spark):
     rows = [(5, None), (3, ""), (9, " \n"), (4, "A b"), (6, "a B"), (None, "a b"), (None, "nowhere else"), (8, "x " * 60_000), (7, "a b"), (7, "other words than those of the rest"), (10, "Other words  than those of the rest")]
     out = {(r.doc_id, r.print): r.component_id for r in m.simhash(table(spark, rows)).collect()}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.operators import total_check
-from folio.operators.statement_check import check_statements
+from folio.operators.statement_check import check_lines, check_statements
 from folio.plans.catalogue import money, query, read
 
 OFF = [0, 1, -2, 0, 3]
@@ -32,10 +32,15 @@ def statement(kind: str, items: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def columned(kind: str, section: str, rows: DataFrame, columns: list[str]) -> DataFrame:
-    """rows (doc_id, row_order, flag, label, datapoint, amts: an amount for each column) as statement rows of one section."""
-    named = F.array(*[F.lit(c) for c in columns])
-    each = rows.select("*", F.posexplode("amts").alias("col_pos", "amt"))
-    return each.select("doc_id", F.lit(kind).alias("stmt_type"), F.lit("p1").alias("table_id"), F.lit(section).alias("section"), F.col("row_order").cast("int").alias("row_order"), "flag", "label", "datapoint", F.get(named, F.col("col_pos")).alias("col"), "col_pos", F.col("amt").cast("decimal(38,4)").alias("amt"))
+    """rows (doc_id, row_order, flag, label, datapoint, amts: an amount for each column) as the lines of one section."""
+    named, places = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(k) for k in range(len(columns))])
+    return rows.select("doc_id", F.lit(kind).alias("stmt_type"), F.lit("p1").alias("table_id"), F.lit(section).alias("section"), F.col("row_order").cast("int").alias("row_order"), "flag", "label", "datapoint", named.alias("cols"), places.alias("col_pos"), "amts")
+
+
+def totalled(sums: DataFrame, *rows: tuple) -> DataFrame:
+    """Totals of each row of sums (l_orderkey, ...): (row_order, datapoint, amounts), as rows of columned()."""
+    each = F.array(*[F.struct(F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), F.array(*[a.cast("decimal(38,4)") for a in amts]).alias("amts")) for at, name, amts in rows])
+    return sums.select(F.col("l_orderkey").alias("doc_id"), F.explode(each).alias("x")).select("doc_id", "x.*")
 
 
 def made(sums: DataFrame, *rows: tuple) -> DataFrame:
@@ -143,9 +148,8 @@ def statement_check_soa(spark, sf_dir):
     zero = F.lit(0)
     first = [F.col("own") * f + o for f, o in zip(factors, (off(1), off(3), off(7), zero), strict=True)]
     second = [a + F.col("transfers") * f + o for a, f, o in zip(first, factors, (zero, off(7), off(1), off(2)), strict=True)]
-    for at, name, amts in ((100, "Total General Revenues", first), (101, "Total General Revenues and Transfer", second)):
-        items = items.unionByName(sums.select(F.col("l_orderkey").alias("doc_id"), F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), F.array(*[a.cast("decimal(38,4)") for a in amts]).alias("amts")))
-    return result(check_statements(columned("SOA", "General Revenues", items, ["Governmental", "Total", "Reconciling", "Component Units"])))
+    totals = totalled(sums, (100, "Total General Revenues", first), (101, "Total General Revenues and Transfer", second))
+    return result(check_lines(columned("SOA", "General Revenues", items.unionByName(totals), ["Governmental", "Total", "Reconciling", "Component Units"])))
 
 
 @query(f"""
@@ -176,6 +180,5 @@ def statement_check_dsr(spark, sf_dir):
     items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.lit("2024").alias("label"), F.lit("2024").alias("datapoint"), cast([amt, amt * 2, zero, amt * 3]).alias("amts"))
     sums = rows.groupBy("l_orderkey").agg(F.sum("amt").alias("amt"))
     first = [amt + off(1), amt * 2 + off(3), premium, amt * 3 + premium + off(7)]
-    for at, name, amts in ((100, "Total", first), (101, "Grand total of all", [zero] * 4)):
-        items = items.unionByName(sums.select(F.col("l_orderkey").alias("doc_id"), F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), cast(amts).alias("amts")))
-    return result(check_statements(columned("DSR", "Bonds", items, ["Principal", "Interest", "Premium/Discount", "Total Debt Service"])))
+    totals = totalled(sums, (100, "Total", first), (101, "Grand total of all", [zero] * 4))
+    return result(check_lines(columned("DSR", "Bonds", items.unionByName(totals), ["Principal", "Interest", "Premium/Discount", "Total Debt Service"])))

@@ -6,7 +6,8 @@ from decimal import Decimal as D
 import pytest
 
 from folio.operators.rule_sets import RULES
-from folio.operators.statement_check import check_statements
+from folio.operators.statement_check import check_lines, check_statements
+from folio.plans.statements import statement_check_soa
 
 ROWS = "doc_id int, stmt_type string, table_id string, section string, row_order int, flag string, label string, datapoint string, col string, col_pos int, amt decimal(38,4)"
 COLS = ["Total", "City", "Component Units", "Premium/Discount", "Total Debt Service"]
@@ -147,3 +148,30 @@ def test_equals_plain(spark, kind):
     got = {(r.doc_id, r.row_order): r.status for r in check_statements(spark.createDataFrame(rows, ROWS)).collect()}
     assert got == want
     assert {"PASS"} < set(want.values())
+
+
+LINES = ROWS.replace("col string, col_pos int, amt decimal(38,4)", "cols array<string>, col_pos array<int>, amts array<decimal(38,4)>")
+
+
+def test_lines_of_all_columns_equal_rows_of_one(spark):
+    """Also where lines lack columns, columns share a name or a place, and lines share a place."""
+    rng, rows, lines = random.Random(11), [], []
+    for n, kind in enumerate(k for k in RULES if k != "PROP_SNP_NONPROFIT"):
+        for doc, cols, own in statements(kind, n % 2, 25):
+            ragged, ties = rng.random() < 0.3, rng.random() < 0.3
+            names, places = rng.choice([cols, cols, ["Total", *cols[1:-1], "Total"]])[: len(cols)], rng.choice([list(range(len(cols))), [rng.randrange(3) for _ in cols]])
+            for table, section, at, *rest, amounts in own:
+                have = [k for k in range(len(cols)) if not ragged or rng.random() < 0.7]
+                row = (1000 * n + doc, kind, table, section, at // 2 if ties else at, *rest)
+                cells = [(names[k], places[k], amounts[cols[k]]) for k in have]
+                rows += [(*row, *c) for c in cells]
+                lines.append((*row, *([c[i] for c in cells] for i in range(3))))
+    key = lambda df: sorted(map(str, df.collect()))
+    got = key(check_lines(spark.createDataFrame(lines, LINES)))
+    assert got == key(check_statements(spark.createDataFrame(rows, ROWS))) and len(got) > 300
+
+
+def test_columns_are_no_rows(spark):
+    """A line of four columns is gathered once."""
+    told = statement_check_soa(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode" not in told and told.count("Generate explode") == 2

@@ -171,7 +171,9 @@ def _gathered(rows: DataFrame) -> DataFrame:
     columns that stand strictly between Total and Component Units; null without both. blocks: (cols, lines) of its table.
     """
     s, flag, total = F.lower(F.trim("section")), F.col("flag"), F.col("flag") == "CP"
-    of = {"sec": s, "item": flag == "DP", "name": F.lower(F.trim(F.coalesce("datapoint", F.lit("")))), "lab": F.lower(F.coalesce("label", F.lit(""))), "pos": F.col("col_pos"), "amts": F.transform("amts", lambda a: F.coalesce(a, F.lit(0)).cast(MONEY))}
+    of = {"sec": s, "item": flag == "DP", "name": F.lower(F.trim(F.coalesce("datapoint", F.lit("")))), "lab": F.lower(F.coalesce("label", F.lit(""))), "pos": F.col("col_pos"), "amts": F.col("amts").cast(f"array<{MONEY}>")}
+    if rows.schema["amts"].dataType.containsNull:
+        of["amts"] = F.transform("amts", lambda a: F.coalesce(a, F.lit(0)).cast(MONEY))
     of |= {c: F.when(total, F.col(c)) for c in ("section", "datapoint")}
     counted, heading = F.coalesce(total | (flag == "DP"), F.lit(False)), F.struct("cols", F.col("col_pos").alias("pos"))
     held = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
@@ -190,7 +192,7 @@ def _gathered(rows: DataFrame) -> DataFrame:
 
 def check_statements(rows: DataFrame) -> DataFrame:
     """check_lines for tidy rows."""
-    named = {"cols": F.array("col"), "col_pos": F.array("col_pos"), "amts": F.array("amt")}
+    named = {"cols": F.array("col"), "col_pos": F.array("col_pos"), "amts": F.array(F.coalesce(F.col("amt").cast(MONEY), F.lit(0).cast(MONEY)))}
     return check_lines(rows.select("doc_id", "stmt_type", "table_id", "section", "row_order", "flag", "label", "datapoint", *[v.alias(c) for c, v in named.items()]))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.operators import total_check
@@ -37,9 +37,14 @@ def columned(kind: str, section: str, rows: DataFrame, columns: list[str]) -> Da
     return rows.select("doc_id", F.lit(kind).alias("stmt_type"), F.lit("p1").alias("table_id"), F.lit(section).alias("section"), F.col("row_order").cast("int").alias("row_order"), "flag", "label", "datapoint", named.alias("cols"), places.alias("col_pos"), "amts")
 
 
+def amounts(amts: list) -> Column:
+    """An array without nulls."""
+    return F.array(*[F.coalesce(a.cast("decimal(38,4)"), F.lit(0).cast("decimal(38,4)")) for a in amts])
+
+
 def totalled(sums: DataFrame, *rows: tuple) -> DataFrame:
     """Totals of each row of sums (l_orderkey, ...): (row_order, datapoint, amounts), as rows of columned()."""
-    each = F.array(*[F.struct(F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), F.array(*[a.cast("decimal(38,4)") for a in amts]).alias("amts")) for at, name, amts in rows])
+    each = F.array(*[F.struct(F.lit(at).alias("row_order"), F.lit("CP").alias("flag"), F.lit(name).alias("label"), F.lit(name).alias("datapoint"), amounts(amts).alias("amts")) for at, name, amts in rows])
     return sums.select(F.col("l_orderkey").alias("doc_id"), F.explode(each).alias("x")).select("doc_id", "x.*")
 
 
@@ -142,8 +147,7 @@ SELECT k AS doc_id, unnest([100, 101]) AS row_order, unnest([{_fails(("Governmen
 def statement_check_soa(spark, sf_dir):
     """Four columns, of which the one between Total and Component Units is never told; transfers are no part of the first total."""
     rows, moved, factors = lines(spark, sf_dir), F.col("l_returnflag") == "R", (1, 3, 1, 2)
-    amounts = lambda a: F.array(*[(a * f).cast("decimal(38,4)") for f in factors])
-    items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.when(moved, "Transfers in").otherwise("Taxes").alias("label"), F.when(moved, "Transfers").otherwise("Taxes").alias("datapoint"), amounts(F.col("amt")).alias("amts"))
+    items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.when(moved, "Transfers in").otherwise("Taxes").alias("label"), F.when(moved, "Transfers").otherwise("Taxes").alias("datapoint"), amounts([F.col("amt") * f for f in factors]).alias("amts"))
     sums = rows.groupBy("l_orderkey").agg(F.coalesce(F.sum(F.when(~moved, F.col("amt"))), F.lit(0)).alias("own"), F.coalesce(F.sum(F.when(moved, F.col("amt"))), F.lit(0)).alias("transfers"))
     zero = F.lit(0)
     first = [F.col("own") * f + o for f, o in zip(factors, (off(1), off(3), off(7), zero), strict=True)]
@@ -175,9 +179,8 @@ SELECT k AS doc_id, unnest([100, 101]) AS row_order, unnest([{_fails(("Principal
 def statement_check_dsr(spark, sf_dir):
     """A debt schedule: its premium isn't summed and counts towards the debt service; a section's second total has no rule."""
     rows, zero = lines(spark, sf_dir), F.lit(0)
-    cast = lambda amts: F.array(*[a.cast("decimal(38,4)") for a in amts])
     amt, premium = F.col("amt"), F.col("l_orderkey") % 9
-    items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.lit("2024").alias("label"), F.lit("2024").alias("datapoint"), cast([amt, amt * 2, zero, amt * 3]).alias("amts"))
+    items = rows.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("row_order"), F.lit("DP").alias("flag"), F.lit("2024").alias("label"), F.lit("2024").alias("datapoint"), amounts([amt, amt * 2, zero, amt * 3]).alias("amts"))
     sums = rows.groupBy("l_orderkey").agg(F.sum("amt").alias("amt"))
     first = [amt + off(1), amt * 2 + off(3), premium, amt * 3 + premium + off(7)]
     totals = totalled(sums, (100, "Total", first), (101, "Grand total of all", [zero] * 4))

@@ -161,7 +161,7 @@ def _blocks(of: DataFrame) -> DataFrame:
     at = lambda name: F.array_min(F.filter("places", lambda p: p["cols"] == name)["pos"])
     of = of.withColumns({"lo": at("Total"), "hi": at("Component Units")})
     between = F.filter("places", lambda p: (p["pos"] > F.col("lo")) & (p["pos"] < F.col("hi")))["cols"]
-    return of.withColumn("between", between).drop("lines", "headings", "cols", "even", "cells", "places", "lo", "hi")
+    return of.withColumn("between", between).drop("lines", "headings", "cols", "even", "places", "lo", "hi")
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
